@@ -64,7 +64,7 @@ def exact_occupancy(
     shuffle. Here a reading becomes a bit mask of the window starts it falls into, 60 starts to a
     LONG. Masks are OR-ed per (device, mask number) before and after the one wide shuffle, so a
     task sends one row per device and half hour, and neither a hot device nor a hot window gathers
-    its readings in one place. The counts per window are then sums over the bits.
+    its readings in one place. The set bits are then counted per window, with partial counts first.
     """
     slide, size = slide_seconds * 1_000_000, window_seconds * 1_000_000
     # Window starts are counted in slides since the epoch.
@@ -91,24 +91,16 @@ def exact_occupancy(
     seen = words.select("mac", "word", mask.alias("mask")).groupBy("mac", "word").agg(
         F.bit_or("mask").alias("mask")
     )
-    device_bits = F.when(F.col("mac").isNotNull(), F.col("mask")).otherwise(0)
-    per_word = seen.groupBy("word").agg(
-        F.bit_or("mask").alias("present"),
-        *[
-            F.sum(F.shiftrightunsigned(device_bits, bit).bitwiseAND(one)).alias(f"n{bit}")
-            for bit in range(MASK_BITS)
-        ],
-    )
-    counts = per_word.select(
-        "word", "present", F.posexplode(F.array(*[f"n{bit}" for bit in range(MASK_BITS)]))
-    ).filter(F.call_function("shiftright", F.col("present"), F.col("pos")).bitwiseAND(one) == 1)
-    start = (F.col("word") * MASK_BITS + F.col("pos")) * slide_seconds
+    is_set = F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(one) == 1
+    bits = seen.select("mac", "word", "mask", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS - 1))).alias("bit"))
+    counts = bits.filter(is_set).groupBy("word", "bit").agg(F.count("mac").alias("distinct_macs"))
+    start = (F.col("word") * MASK_BITS + F.col("bit")) * slide_seconds
     window = F.struct(
         F.timestamp_seconds(start).alias("start"),
         F.timestamp_seconds(start + window_seconds).alias("end"),
     )
     return with_people(
-        counts.select(window.alias("window"), F.col("col").alias("distinct_macs")), devices_per_person
+        counts.select(window.alias("window"), "distinct_macs"), devices_per_person
     )
 
 

@@ -30,12 +30,16 @@ def mac() -> Column:
     return F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("mac")
 
 
+def rssi() -> Column:
+    return (-F.from_json("props", "k int")["k"]).alias("rssi")
+
+
 def readings(source: DataFrame) -> DataFrame:
     """``event_id`` and the room reading, with epoch seconds in ``timestamp``."""
     return source.select(
         "event_id",
         mac(),
-        (-F.from_json("props", "k int")["k"]).alias("rssi"),
+        rssi(),
         (F.lit(10) + F.col("event_id") % 30).cast("double").alias("temperature"),
         (F.lit(30) + F.col("event_id") % 53).cast("double").alias("humidity"),
         (F.col("value") * 8).alias("light"),
