@@ -77,38 +77,33 @@ def log_format(name: str) -> LogFormat:
     return LogFormat(re.sub(r"\(\?<\w+>", "(", named), groups, fields)
 
 
-def parsed_fields(line: Column, name: str) -> Column:
-    """All fields of a line as a struct of strings; NULL when the line does not match.
-
-    A field that is empty, or whose optional part is missing, is NULL.
-    """
-    fmt = log_format(name)
+def group_values(line: Column, fmt: LogFormat) -> Column:
+    """The values of all groups as an array; another length when the line does not match."""
     around = rf"^[\s\S]*?(?:{fmt.pattern})[\s\S]*$"
     groups = SEPARATOR.join(f"${number}" for number in range(1, fmt.groups + 1))
-    parts = F.split(F.regexp_replace(line, around, groups), SEPARATOR, -1)
-    by_split = F.struct(
-        *[F.nullif(F.get(parts, F.lit(g - 1)), F.lit("")).alias(f) for f, g in fmt.fields.items()]
-    )
+    by_split = F.split(F.regexp_replace(line, around, groups), SEPARATOR, -1)
     # A line that holds the separator itself is parsed group by group.
-    by_group = F.struct(
-        *[
-            F.nullif(F.regexp_extract(line, fmt.pattern, g), F.lit("")).alias(f)
-            for f, g in fmt.fields.items()
-        ]
-    )
-    has_separator = F.contains(line, F.lit(SEPARATOR))
-    return F.when(has_separator & F.regexp_like(line, F.lit(fmt.pattern)), by_group).when(
-        ~has_separator & (F.size(parts) == fmt.groups), by_split
+    by_group = F.when(
+        F.regexp_like(line, F.lit(fmt.pattern)),
+        F.array(*[F.regexp_extract(line, fmt.pattern, g) for g in range(1, fmt.groups + 1)]),
     )
+    return F.when(F.contains(line, F.lit(SEPARATOR)), by_group).otherwise(by_split)
 
 
 def parse_log(lines: DataFrame, name: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """The matching lines' fields, and the lines that do not match."""
-    parsed = lines.withColumn("parsed", parsed_fields(F.col(value), name))
-    return (
-        parsed.filter(F.col("parsed").isNotNull()).select("parsed.*"),
-        parsed.filter(F.col("parsed").isNull()).select(value),
-    )
+    """The matching lines' fields as text, and the lines that do not match.
+
+    A field that is empty, or whose optional part is missing, is NULL. The generator keeps the
+    optimizer from copying the regular expression into every field.
+    """
+    fmt = log_format(name)
+    grouped = lines.select(value, F.explode(F.array(group_values(F.col(value), fmt))).alias("groups"))
+    matches = F.coalesce(F.size("groups") == fmt.groups, F.lit(False))
+    fields = [
+        F.nullif(F.get("groups", F.lit(number - 1)), F.lit("")).alias(field)
+        for field, number in fmt.fields.items()
+    ]
+    return grouped.filter(matches).select(*fields), grouped.filter(~matches).select(value)
 
 
 def clf_timestamp(text: Column | str) -> Column:
