@@ -52,40 +52,35 @@ def fill_by_segment(
     """The same result when one key holds a large share of the rows.
 
     Rows are range-partitioned by (key, order), which cuts a hot key into even, consecutive
-    segments. The segments are written to the shared folder, since their limits come from a sample
-    and must be the same for both reads below. The last known values at the end of each segment are
-    carried to the next ones over a table with at most one row per key and segment; only keys that
-    go on from an earlier segment have something to carry in, at most one per segment, so that
-    table is broadcast.
+    segments, and filled within each segment. The limits of the segments come from a sample, so the
+    rows are written to the shared folder once and everything after reads that table. The last row
+    of each key in each segment has the values to carry on. Only a key that goes on from an earlier
+    segment takes any, at most one key per segment, so that side is broadcast: it has fewer rows
+    than there are segments.
     """
     spark = df.sparkSession
     path = new_folder(spark, "segments")
-    (
-        df.repartitionByRange(segments, key, *order)
-        .withColumn("segment", F.spark_partition_id())
-        .write.parquet(path)
+    within = Window.partitionBy("segment", key).orderBy(*order)
+    running = within.rowsBetween(Window.unboundedPreceding, 0)
+    ranged = df.repartitionByRange(segments, key, *order).withColumn("segment", F.spark_partition_id())
+    ranged.withColumns(
+        {name: F.last(name, ignorenulls=True).over(running) for name in columns}
+        | {"is_last": F.lead(F.lit(1)).over(within).isNull()}
+    ).write.parquet(path)
+    filled = spark.read.parquet(path)
+
+    by_segment = Window.partitionBy(key).orderBy("segment")
+    before = by_segment.rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        filled.filter("is_last")
+        .select(
+            F.col("segment").alias("to_segment"),
+            F.col(key).alias("to_key"),
+            F.row_number().over(by_segment).alias("nth"),
+            *[F.last(name, ignorenulls=True).over(before).alias(f"carried_{name}") for name in columns],
+        )
+        .filter("nth > 1")
     )
-    rows = spark.read.parquet(path)
-
-    position = F.struct(*order)
-    last_known = rows.groupBy("segment", key).agg(
-        *[
-            F.max_by(F.col(name), F.when(F.col(name).isNotNull(), position)).alias(name)
-            for name in columns
-        ]
-    )
-    before = Window.partitionBy(key).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_known.select(
-        F.col("segment").alias("to_segment"),
-        F.col(key).alias("to_key"),
-        F.row_number().over(Window.partitionBy(key).orderBy("segment")).alias("nth"),
-        *[F.last(name, ignorenulls=True).over(before).alias(f"carried_{name}") for name in columns],
-    ).filter("nth > 1")
-
-    running = (
-        Window.partitionBy("segment", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    filled = rows.withColumns({name: F.last(name, ignorenulls=True).over(running) for name in columns})
     joined = filled.join(
         F.broadcast(carried),
         (F.col("segment") == F.col("to_segment")) & F.col(key).eqNullSafe(F.col("to_key")),

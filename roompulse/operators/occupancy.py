@@ -49,7 +49,7 @@ def approximate_occupancy(
 
 def _floor_div(value: Column, step: int) -> Column:
     """Exact integer floor division, also for times before 1970."""
-    return ((value - F.pmod(value, F.lit(step))) / F.lit(step)).cast("long")
+    return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))
 
 
 def exact_occupancy(
@@ -92,7 +92,9 @@ def exact_occupancy(
         F.bit_or("mask").alias("mask")
     )
     is_set = F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(one) == 1
-    bits = seen.select("mac", "word", "mask", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS - 1))).alias("bit"))
+    bits = seen.select(
+        "mac", "word", "mask", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS - 1))).alias("bit")
+    )
     counts = bits.filter(is_set).groupBy("word", "bit").agg(F.count("mac").alias("distinct_macs"))
     start = (F.col("word") * MASK_BITS + F.col("bit")) * slide_seconds
     window = F.struct(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +11,7 @@ from roompulse.plans.batch import (
     READING_SQL_COLUMNS, file_settings, occupancy_text, sensor_feed, with_time_text,
 )
 from roompulse.plans.catalog import READINGS_SQL, query
-from roompulse.plans.readings import (
-    epoch_seconds, events, events_stream, messages, readings, sightings,
-)
+from roompulse.plans.readings import events, events_stream, messages, readings, sightings
 from roompulse.schemas import ROOM_READING, TRAINING_ROW
 from roompulse.sinks.batch import write_lines
 from roompulse.sinks.stream import drain, to_batches, to_csv, to_files, to_index, to_json_lines, to_topic
@@ -27,8 +23,9 @@ from roompulse.streaming.labelling import labelled_readings
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table,
 )
+from roompulse.streaming.outputs import fan_out, table_output
 from roompulse.streaming.routing import route_batches
-from roompulse.streaming.scoring import fan_out, score_batches, score_messages, table_output
+from roompulse.streaming.scoring import score_batches, score_messages
 from roompulse.workspace import new_folder
 
 SCORED_SQL = f"""

@@ -7,11 +7,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Batch shuffles start with many partitions, small enough for an executor even when tens of TB are
+# shuffled; AQE merges them towards the advisory size where there is less.
 CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 # State lives in RocksDB on the executors' disks, with incremental uploads to the checkpoint,

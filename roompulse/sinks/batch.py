@@ -42,11 +42,16 @@ def write_topic(df: DataFrame, settings: Settings, topic: str | None = None) ->
         ).save(settings.topic_path(topic))
 
 
-def write_index(df: DataFrame, settings: Settings, index: str | None = None) -> None:
-    """Append rows to an index as documents."""
+def write_index(
+    df: DataFrame, settings: Settings, index: str | None = None, id_column: str | None = None
+) -> None:
+    """Append rows to an index as documents; with an id column a rewrite replaces documents."""
     index = index or settings.index
     writer = df.write.mode("append").format(settings.index_format)
     if settings.index_format == "es":
-        writer.options(**settings.index_options()).save(index)
+        options = settings.index_options()
+        if id_column is not None:
+            options["es.mapping.id"] = id_column
+        writer.options(**options).save(index)
     else:
         writer.save(settings.index_path(index))

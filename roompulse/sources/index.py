@@ -13,4 +13,5 @@ def read_index(spark: SparkSession, settings: Settings, index: str | None = None
     reader = spark.read.format(settings.index_format)
     if settings.index_format == "es":
         return reader.options(**settings.index_options()).load(index)
-    return reader.load(settings.index_path(index))
+    # A callback's sink keeps one folder per batch, which shows up as a partition column.
+    return reader.load(settings.index_path(index)).drop("batch_id")

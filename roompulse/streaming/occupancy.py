@@ -31,17 +31,13 @@ def exact_windows(
     readings: DataFrame, watermark: str = WATERMARK, window_seconds: int = WINDOW_SECONDS,
     slide_seconds: int = SLIDE_SECONDS, devices_per_person: float = DEVICES_PER_PERSON,
 ) -> DataFrame:
-    """Exact distinct devices in append mode.
+    """Exact distinct devices in append mode, as two chained aggregations.
 
-    The first stateful step keeps one row per (window, device) and spreads a hot window over all
-    tasks; the second counts them, with partial counts before its shuffle. No set is collected, and
-    the watermark evicts both states.
+    The first keeps one row per (window, device), which spreads a hot window over all tasks, and
+    combines a hot device's readings before the shuffle; the second counts the rows of a window, also
+    with partial counts first. No set is collected, and the watermark evicts both states.
     """
-    seen = (
-        readings.withWatermark("timestamp", watermark)
-        .select(sliding_window("timestamp", window_seconds, slide_seconds).alias("window"), "mac")
-        .dropDuplicates(["window", "mac"])
-    )
+    seen = device_windows(readings.withWatermark("timestamp", watermark), window_seconds, slide_seconds)
     counts = seen.groupBy("window").agg(F.count("mac").alias("distinct_macs"))
     return with_people(counts, devices_per_person)
 
@@ -49,7 +45,7 @@ def exact_windows(
 def device_windows(
     readings: DataFrame, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
-    """State of the exact complete-mode table: one row per (window, device)."""
+    """One row per window and device."""
     window = sliding_window("timestamp", window_seconds, slide_seconds)
     return readings.groupBy(window, "mac").agg(F.count(F.lit(1)).alias("readings"))
 

@@ -1,12 +1,9 @@
-"""Live comfort scores: parse, set incomplete readings apart, score, fan out."""
+"""Live comfort scores: parse, set incomplete readings apart, score."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from roompulse.functions.ingest import parse_readings
 from roompulse.functions.scoring import LinearModel, with_score
@@ -33,20 +30,6 @@ def score_messages(
     return score_readings(readings if strict else complete, model), rejected
 
 
-def fan_out(outputs: Sequence[BatchFunction]) -> BatchFunction:
-    """One pass over the source for several outputs: each micro-batch is computed once."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for output in outputs:
-                output(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    return write
-
-
 def score_batches(model: PipelineModel | LinearModel, path: str, rejects: str) -> BatchFunction:
     """Per-batch scoring: scored and rejected readings, each to its own table."""
 
@@ -56,29 +39,3 @@ def score_batches(model: PipelineModel | LinearModel, path: str, rejects: str) -
         write_batch(rejected, rejects, batch_id)
 
     return write
-
-
-def table_output(path: str, file_format: str = "parquet") -> BatchFunction:
-    """A fan-out branch that writes the batch to its own folder of a table."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, file_format)
-
-    return write
-
-
-def console_output(rows: int = 20) -> BatchFunction:
-    """A fan-out branch that shows the first rows of the batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        print(f"batch {batch_id}")
-        batch.show(rows, truncate=False)
-
-    return write
-
-
-def document_id(df: DataFrame) -> DataFrame:
-    """Add ``document_id`` from device and time, so that a replay rewrites the same documents."""
-    return df.withColumn(
-        "document_id", F.sha2(F.concat_ws("|", "mac", F.unix_micros("timestamp").cast("string")), 256)
-    )

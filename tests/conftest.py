@@ -13,6 +13,7 @@ def spark():
     conf = {
         "spark.master": "local[8]",
         "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": os.environ.get("TEST_WAREHOUSE", "/tmp/roompulse-test-warehouse"),
