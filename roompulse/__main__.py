@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--stream-root", help="folder of the topics for a file format")
     top.add_argument("--index-format", default="es")
     top.add_argument("--index-root", help="folder of the indices for a file format")
+    top.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
     top.add_argument("--quiet", action="store_true", help="no console output of streams")
     top.add_argument("--once", action="store_true", help="process what is there and stop")
     job = top.add_subparsers(dest="job", required=True)
@@ -56,6 +57,7 @@ def main(arguments: list[str] | None = None) -> None:
     settings = Settings.from_env(
         stream_format=args.stream_format, stream_root=args.stream_root,
         index_format=args.index_format, index_root=args.index_root,
+        max_offsets_per_trigger=args.max_offsets,
     )
     spark = build_session("roompulse", settings.index_options())
     checkpoints = args.checkpoints or f"{shared_root(spark)}/roompulse"

@@ -28,6 +28,7 @@ class Settings:
 
     ``stream_format`` is ``kafka`` or a file format; a file format reads and writes topics as
     folders below ``stream_root``. ``index_format`` is ``es`` or a file format below ``index_root``.
+    ``max_offsets_per_trigger`` bounds a micro-batch when a stream has to catch up.
     """
 
     broker: str = ENVIRONMENT["broker"][1]
@@ -40,6 +41,7 @@ class Settings:
     index_format: str = "es"
     index_root: str | None = None
     fail_on_data_loss: bool = False
+    max_offsets_per_trigger: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> Settings:
@@ -65,6 +67,8 @@ class Settings:
         }
         if from_beginning:
             options["startingOffsets"] = "earliest"
+        elif self.max_offsets_per_trigger is not None:
+            options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         return options
 
     def kafka_sink_options(self, topic: str) -> dict[str, str]:

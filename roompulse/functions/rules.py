@@ -19,8 +19,8 @@ def comfort_label(
 ) -> Column:
     """1 for a comfortable reading, 0 otherwise; readings on a limit are comfortable.
 
-    A reading without all three values has no label (NULL). ``light_rule='below'`` rejects dark rooms, ``'above'`` rejects bright ones (the variant that
-    labels noise rows).
+    A reading without all three values has no label (NULL). ``light_rule='below'`` rejects dark
+    rooms, ``'above'`` rejects bright ones (the variant that labels noise rows).
     """
     if light_rule not in ("below", "above"):
         raise ValueError(f"light_rule must be 'below' or 'above', not {light_rule!r}")

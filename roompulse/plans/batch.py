@@ -11,7 +11,6 @@ from roompulse.config import Settings
 from roompulse.functions.ingest import (
     epoch_to_timestamp,
     iso_text,
-    parse_messages,
     parse_readings,
     scan_line,
     timestamp_text,

@@ -29,7 +29,7 @@ from roompulse.streaming.labelling import labelled_readings
 from roompulse.streaming.occupancy import approximate_windows
 from roompulse.streaming.outputs import console_output, fan_out, index_output, topic_output
 from roompulse.streaming.routing import route_batches
-from roompulse.streaming.scoring import score_messages
+from roompulse.streaming.scoring import score_batches
 
 Trigger = dict | None
 
@@ -65,7 +65,7 @@ def dump_topic(spark: SparkSession, settings: Settings, path: str) -> None:
 def ingest_environment(
     spark: SparkSession, settings: Settings, checkpoints: str, console: bool = True,
     trigger: Trigger = None,
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     """Environment topic to its index, with ISO time."""
     rows = parse_readings(stream_topic(spark, settings, ENV_TOPIC), ENVIRONMENT_READING)
     return _to_index_and_console(
@@ -76,7 +76,7 @@ def ingest_environment(
 def ingest_devices(
     spark: SparkSession, settings: Settings, checkpoints: str, console: bool = True,
     trigger: Trigger = None,
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     """Device topic to its raw index, with ISO time."""
     rows = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
     return _to_index_and_console(
@@ -87,10 +87,10 @@ def ingest_devices(
 def _to_index_and_console(
     spark: SparkSession, rows: DataFrame, name: str, settings: Settings, index: str, checkpoints: str,
     console: bool, trigger: Trigger,
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     documents = rows.withColumn("timestamp", iso_text("timestamp"))
     outputs = [index_output(settings, index)] + ([console_output()] if console else [])
-    return [start(to_batches(documents, name, checkpoints, fan_out(outputs)), spark, trigger)]
+    return start(to_batches(documents, name, checkpoints, fan_out(outputs)), spark, trigger)
 
 
 def occupancy(
@@ -146,7 +146,7 @@ def live_scores(
     strict: bool = False,
     console: bool = True,
     trigger: Trigger = None,
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     """Score the room topic into the index and to the console in one pass.
 
     Readings with a missing feature go to ``<index>_rejected``. ``strict`` keeps them in the feed,
@@ -154,13 +154,11 @@ def live_scores(
     """
     if isinstance(model, PipelineModel) and not strict:
         model = linear_model(model)
-    scored, rejected = score_messages(stream_topic(spark, settings), model, strict)
+    rows = parse_readings(stream_topic(spark, settings), ROOM_READING)
     outputs = [index_output(settings)] + ([console_output()] if console else [])
-    queries = [start(to_batches(scored, "live_scores", checkpoints, fan_out(outputs)), spark, trigger)]
-    if not strict:
-        sink = index_output(settings, f"{settings.index}_rejected")
-        queries.append(start(to_batches(rejected, "live_rejects", checkpoints, sink), spark, trigger))
-    return queries
+    rejects = index_output(settings, f"{settings.index}_rejected")
+    callback = score_batches(model, fan_out(outputs), rejects, strict)
+    return start(to_batches(rows, "live_scores", checkpoints, callback), spark, trigger)
 
 
 def export_index(

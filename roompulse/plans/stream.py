@@ -126,7 +126,9 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score inside a per-batch callback."""
     root = new_folder(spark, "stream_foreach_batch")
     rows = parse_readings(messages(events_stream(spark, sf_dir)), ROOM_READING)
-    callback = score_batches(FIXED_MODEL, f"{root}/scored", f"{root}/rejected")
+    callback = score_batches(
+        FIXED_MODEL, table_output(f"{root}/scored"), table_output(f"{root}/rejected")
+    )
     drain(to_batches(rows, "stream_foreach_batch", f"{root}/checkpoints", callback), spark)
     return with_time_text(spark.read.parquet(f"{root}/scored").drop("batch_id"))
 
@@ -159,7 +161,9 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "mac": F.col("event_id").cast("string"),
     })
     raw = raw.select(F.to_json(F.struct(*[n for n in raw.columns if n != "event_id"])).alias("value"))
-    callback = score_batches(FIXED_MODEL, f"{root}/scored", f"{root}/rejected")
+    callback = score_batches(
+        FIXED_MODEL, table_output(f"{root}/scored"), table_output(f"{root}/rejected")
+    )
     rows = parse_readings(raw, ROOM_READING)
     drain(to_batches(rows, "stream_rejects", f"{root}/checkpoints", callback), spark)
     scored = spark.read.parquet(f"{root}/scored")

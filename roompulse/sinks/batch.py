@@ -51,7 +51,7 @@ def write_index(
     if settings.index_format == "es":
         options = settings.index_options()
         if id_column is not None:
-            options["es.mapping.id"] = id_column
+            options |= {"es.mapping.id": id_column, "es.mapping.exclude": id_column}
         writer.options(**options).save(index)
     else:
         writer.save(settings.index_path(index))

@@ -61,7 +61,7 @@ def to_index(
         return to_files(df, name, checkpoint_root, settings.index_path(index), settings.index_format)
     options = settings.index_options()
     if id_column is not None:
-        options["es.mapping.id"] = id_column
+        options |= {"es.mapping.id": id_column, "es.mapping.exclude": id_column}
     return (
         _writer(df, name, checkpoint_root, "append")
         .format("es")

@@ -9,7 +9,7 @@ from roompulse.functions.ingest import parse_readings
 from roompulse.functions.scoring import LinearModel, with_score
 from roompulse.operators.comfort_model import complete_and_rejected, score, with_prediction_text
 from roompulse.schemas import ROOM_READING, SCORED_COLUMNS
-from roompulse.sinks.stream import BatchFunction, write_batch
+from roompulse.sinks.stream import BatchFunction
 
 
 def score_readings(readings: DataFrame, model: PipelineModel | LinearModel) -> DataFrame:
@@ -30,12 +30,23 @@ def score_messages(
     return score_readings(readings if strict else complete, model), rejected
 
 
-def score_batches(model: PipelineModel | LinearModel, path: str, rejects: str) -> BatchFunction:
-    """Per-batch scoring: scored and rejected readings, each to its own table."""
+def score_batches(
+    model: PipelineModel | LinearModel, scored: BatchFunction, rejected: BatchFunction,
+    strict: bool = False,
+) -> BatchFunction:
+    """Score each micro-batch of readings and hand on both parts; the batch is parsed once.
+
+    ``strict`` scores every reading, as in ``score_messages``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        complete, rejected = complete_and_rejected(batch)
-        write_batch(score_readings(complete, model), path, batch_id)
-        write_batch(rejected, rejects, batch_id)
+        batch.persist()
+        try:
+            complete, incomplete = complete_and_rejected(batch)
+            scored(score_readings(batch if strict else complete, model), batch_id)
+            if not strict:
+                rejected(incomplete, batch_id)
+        finally:
+            batch.unpersist()
 
     return write

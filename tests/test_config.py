@@ -21,6 +21,8 @@ def test_message_bus_options():
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "room", "failOnDataLoss": "false",
     }
     assert settings.kafka_source_options("room", from_beginning=True)["startingOffsets"] == "earliest"
+    catching_up = Settings(max_offsets_per_trigger=5).kafka_source_options("room")
+    assert catching_up["maxOffsetsPerTrigger"] == "5"
     assert settings.kafka_sink_options("room") == {
         "kafka.bootstrap.servers": "broker:9092", "topic": "room"
     }

@@ -1,5 +1,7 @@
 """Labels and buckets on and around their limits."""
 
+import uuid
+
 import pytest
 
 from roompulse.functions.rules import comfort_label, life_stage, prediction_text
@@ -60,6 +62,20 @@ def test_life_stage_means(spark):
     assert dict(map(tuple, means.collect())) == {"adult": 53.5, "child": 3.0, "teenager": 13.0}
 
 
+def test_managed_table(spark):
+    from roompulse.sinks.batch import write_table
+    from roompulse.sources.tables import catalog_table, literal_rows
+
+    name = f"people_{uuid.uuid4().hex[:8]}"
+    try:
+        for rows in ([("ann", 32)], [("ben", 3), ("cy", 75)]):
+            write_table(literal_rows(spark, rows, ["first_name", "age"]), name)
+        assert sorted(r["age"] for r in catalog_table(spark, name).collect()) == [3, 75]
+        assert spark.catalog.getTable(name).tableType == "MANAGED"
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_score_of_missing_feature_is_null(spark):
     model = LinearModel(("light",), (1.0,), 0.0)
     df = spark.createDataFrame([(None,), (1.0,), (-1.0,), (0.0,)], "light double")

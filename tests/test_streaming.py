@@ -129,7 +129,9 @@ ROWS = [reading("good"), reading("null", light=None), "garbage", reading("text",
 def test_rejects_are_kept_and_the_rest_is_scored(spark, tmp_path):
     write_messages(tmp_path / "in", ROWS)
     rows = parse_readings(spark.readStream.text(f"{tmp_path}/in"), ROOM_READING)
-    callback = score_batches(FIXED_MODEL, f"{tmp_path}/scored", f"{tmp_path}/rejected")
+    callback = score_batches(
+        FIXED_MODEL, table_output(f"{tmp_path}/scored"), table_output(f"{tmp_path}/rejected")
+    )
     drain(to_batches(rows, "q", f"{tmp_path}/cp", callback), spark)
     scored = spark.read.parquet(f"{tmp_path}/scored").collect()
     assert [(r["mac"], r["prediction_str"]) for r in scored] == [("good", "comfortable")]
