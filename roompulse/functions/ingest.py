@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roompulse.schemas import DOCUMENT_ID
+
 # Fixed value: the timestamp text of the output documents.
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
 
@@ -15,14 +17,21 @@ def message_text(value: Column | str = "value") -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
 
+def with_document_id(messages: DataFrame) -> DataFrame:
+    """Add ``document_id``: topic, partition and offset, which a replay gives again."""
+    place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return messages.withColumn(DOCUMENT_ID, place)
+
+
 def parse_messages(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Parse each JSON message once and expand the declared keys to columns.
 
     A missing key, a wrong type for one key or a malformed message gives NULLs, never an error;
-    keys that the schema does not declare are ignored.
+    keys that the schema does not declare are ignored. A document id is kept.
     """
+    kept = [DOCUMENT_ID] if DOCUMENT_ID in messages.columns else []
     parsed = F.from_json(message_text(value), schema).alias("parsed_value")
-    return messages.select(parsed).select("parsed_value.*")
+    return messages.select(*kept, parsed).select(*kept, "parsed_value.*")
 
 
 def parse_readings(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roompulse.workspace import new_folder
 
-# Up to this many rows per device one sorted task per device is cheap, and it can spill.
+# Up to this many rows one sorted task per device is cheap, and it can spill.
 HOT_DEVICE_ROWS = 20_000_000
 
 
@@ -19,20 +19,29 @@ def carry_forward(
     order: Sequence[str],
     columns: Sequence[str],
     hot_rows: int = HOT_DEVICE_ROWS,
-    segments: int | None = None,
 ) -> DataFrame:
     """Fill NULLs in ``columns`` with the last non-NULL value of the same key in ``order``.
 
-    ``order`` must be unique within a key. The largest key decides the plan: counting rows per key
-    is a narrow column scan with a small shuffle, and only the maximum comes to the driver.
+    ``order`` must be unique within a key. Keys with more than ``hot_rows`` rows are cut into
+    segments, all others are filled in one task each. Counting rows per key is a narrow column scan
+    with a small shuffle, and only the maximum comes to the driver.
     """
-    largest, total = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
-    if (largest or 0) <= hot_rows:
+    counts = df.groupBy(key).count()
+    largest = counts.agg(F.max("count")).first()[0] or 0
+    if largest <= hot_rows:
         return fill_by_key(df, key, order, columns)
-    if segments is None:
-        shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        segments = max(shuffle_partitions, -(-total // hot_rows))
-    return fill_by_segment(df, key, order, columns, segments)
+
+    # There are fewer hot keys than rows / hot_rows, so their table is broadcast.
+    spark = df.sparkSession
+    path = new_folder(spark, "hot_keys")
+    counts.filter(F.col("count") > hot_rows).withColumnRenamed(key, "hot_key").write.parquet(path)
+    hot = spark.read.parquet(path)
+    rows = hot.agg(F.sum("count")).first()[0]
+    is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
+    even = fill_by_key(df.join(F.broadcast(hot), is_hot, "left_anti"), key, order, columns)
+    segments = max(1, -(-rows // hot_rows))
+    cut = fill_by_segment(df.join(F.broadcast(hot), is_hot, "left_semi"), key, order, columns, segments)
+    return even.unionByName(cut)
 
 
 def fill_by_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:

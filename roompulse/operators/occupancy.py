@@ -47,6 +47,29 @@ def approximate_occupancy(
     return with_people(counts, devices_per_person)
 
 
+def sketched_occupancy(
+    readings: DataFrame,
+    window_seconds: int = WINDOW_SECONDS,
+    slide_seconds: int = SLIDE_SECONDS,
+    devices_per_person: float = DEVICES_PER_PERSON,
+) -> DataFrame:
+    """Sketch-based distinct devices with one sketch update per reading, batch or append mode.
+
+    A sketch per slide-long pane comes first, then the sketches of a window's panes are merged, so
+    readings are not multiplied by size/slide. On a stream a reading that is later than the watermark
+    allows is lost as soon as its pane is closed, and not window by window. The window's size must be
+    a multiple of the slide.
+    """
+    if window_seconds % slide_seconds:
+        raise ValueError("the window must be a multiple of the slide")
+    pane = F.window("timestamp", f"{slide_seconds} seconds").alias("pane")
+    panes = readings.groupBy(pane).agg(F.hll_sketch_agg("mac").alias("sketch"))
+    merged = panes.groupBy(
+        sliding_window("pane", window_seconds, slide_seconds).alias("window")
+    ).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_macs"))
+    return with_people(merged, devices_per_person)
+
+
 def _floor_div(value: Column, step: int) -> Column:
     """Exact integer floor division, also for times before 1970."""
     return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))

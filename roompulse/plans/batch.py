@@ -22,7 +22,9 @@ from roompulse.functions.scoring import LinearModel, with_score
 from roompulse.operators.carry_forward import carry_forward, fill_by_segment
 from roompulse.operators.evaluation import area_under_roc, confusion_counts as count_confusion
 from roompulse.operators.export import first_documents, hits_total as count_hits, preview
-from roompulse.operators.occupancy import approximate_occupancy, exact_occupancy, latest_windows
+from roompulse.operators.occupancy import (
+    approximate_occupancy, exact_occupancy, latest_windows, sketched_occupancy,
+)
 from roompulse.operators.routing import device_route, environment_route
 from roompulse.operators.split import in_train, random_split
 from roompulse.plans.catalog import READINGS_SQL, query
@@ -421,6 +423,12 @@ def occupancy_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occupancy_text(approximate_occupancy(sightings(events(spark, sf_dir))))
 
 
+@query()
+def occupancy_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mergeable sketches per pane, merged per window."""
+    return occupancy_text(sketched_occupancy(sightings(events(spark, sf_dir))))
+
+
 @query(f"SELECT * FROM ({OCCUPANCY_SQL}) ORDER BY window_start DESC LIMIT 20")
 def occupancy_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest 20 windows, newest first."""

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, RAW_SUFFIX, Settings
-from roompulse.functions.ingest import iso_text, parse_messages, parse_readings, with_ingest_time
+from roompulse.functions.ingest import (
+    iso_text, parse_messages, parse_readings, with_document_id, with_ingest_time,
+)
 from roompulse.functions.scoring import LinearModel
 from roompulse.operators.comfort_model import (
     Report, evaluate, linear_model, load, save_if_good, score, train,
@@ -34,6 +36,12 @@ from roompulse.streaming.scoring import score_batches
 Trigger = dict | None
 
 
+def _messages(spark: SparkSession, settings: Settings, topic: str | None = None) -> DataFrame:
+    """A topic's stream; messages of a bus have a place in it, which becomes their document id."""
+    messages = stream_topic(spark, settings, topic)
+    return with_document_id(messages) if settings.stream_format == "kafka" else messages
+
+
 def ship_log(
     spark: SparkSession, settings: Settings, logs: str, checkpoints: str, trigger: Trigger = None
 ) -> StreamingQuery:
@@ -67,7 +75,7 @@ def ingest_environment(
     trigger: Trigger = None,
 ) -> StreamingQuery:
     """Environment topic to its index, with ISO time."""
-    rows = parse_readings(stream_topic(spark, settings, ENV_TOPIC), ENVIRONMENT_READING)
+    rows = parse_readings(_messages(spark, settings, ENV_TOPIC), ENVIRONMENT_READING)
     return _to_index_and_console(
         spark, rows, "ingest_environment", settings, ENV_INDEX, checkpoints, console, trigger
     )
@@ -78,7 +86,7 @@ def ingest_devices(
     trigger: Trigger = None,
 ) -> StreamingQuery:
     """Device topic to its raw index, with ISO time."""
-    rows = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
+    rows = parse_readings(_messages(spark, settings), DEVICE_SIGHTING)
     return _to_index_and_console(
         spark, rows, "ingest_devices", settings, settings.index + RAW_SUFFIX, checkpoints, console, trigger
     )
@@ -154,7 +162,7 @@ def live_scores(
     """
     if isinstance(model, PipelineModel) and not strict:
         model = linear_model(model)
-    rows = parse_readings(stream_topic(spark, settings), ROOM_READING)
+    rows = parse_readings(_messages(spark, settings), ROOM_READING)
     outputs = [index_output(settings)] + ([console_output()] if console else [])
     rejects = index_output(settings, f"{settings.index}_rejected")
     callback = score_batches(model, fan_out(outputs), rejects, strict)

@@ -21,7 +21,7 @@ from roompulse.sources.topics import replay_topic, stream_topic
 from roompulse.streaming.carry_forward import carry_forward_batches
 from roompulse.streaming.labelling import labelled_readings
 from roompulse.streaming.occupancy import (
-    approximate_windows, device_windows, exact_windows, newest_first_table,
+    approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
 )
 from roompulse.streaming.outputs import fan_out, table_output
 from roompulse.streaming.routing import route_batches
@@ -195,6 +195,15 @@ def occupancy_stream_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occupancy_text(spark.read.parquet(f"{root}/out"))
 
 
+@query()
+def occupancy_stream_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode with mergeable sketches per pane."""
+    root = new_folder(spark, "occupancy_stream_sketched")
+    windows = sketched_windows(sightings(events_stream(spark, sf_dir)))
+    drain(to_files(windows, "occupancy_stream_sketched", f"{root}/checkpoints", f"{root}/out"), spark)
+    return occupancy_text(spark.read.parquet(f"{root}/out"))
+
+
 @query(OCCUPANCY_SQL)
 def occupancy_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode: all windows, rewritten as one sorted table per batch."""

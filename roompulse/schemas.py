@@ -52,3 +52,6 @@ DEVICE_COLUMNS = ["mac", "rssi"]
 SCORED_COLUMNS = [
     "mac", "rssi", "temperature", "humidity", "light", "prediction", "prediction_str", "timestamp",
 ]
+
+# A message's place in its topic, as the id of the document it becomes.
+DOCUMENT_ID = "document_id"

@@ -11,6 +11,7 @@ from roompulse.operators.occupancy import (
     WATERMARK,
     WINDOW_SECONDS,
     approximate_occupancy,
+    sketched_occupancy,
     sliding_window,
     with_people,
 )
@@ -27,6 +28,16 @@ def approximate_windows(
     )
 
 
+def sketched_windows(
+    readings: DataFrame, watermark: str = WATERMARK, window_seconds: int = WINDOW_SECONDS,
+    slide_seconds: int = SLIDE_SECONDS, devices_per_person: float = DEVICES_PER_PERSON,
+) -> DataFrame:
+    """One sketch per open pane and window, and one update per reading; append mode only."""
+    return sketched_occupancy(
+        readings.withWatermark("timestamp", watermark), window_seconds, slide_seconds, devices_per_person
+    )
+
+
 def exact_windows(
     readings: DataFrame, watermark: str = WATERMARK, window_seconds: int = WINDOW_SECONDS,
     slide_seconds: int = SLIDE_SECONDS, devices_per_person: float = DEVICES_PER_PERSON,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roompulse.config import Settings
 from roompulse.functions.ingest import to_json_value
+from roompulse.schemas import DOCUMENT_ID
 from roompulse.sinks.batch import write_index, write_topic
 from roompulse.sinks.stream import BatchFunction, write_batch
 
@@ -46,21 +47,20 @@ def console_output(rows: int = 20) -> BatchFunction:
     return write
 
 
-def document_id(df: DataFrame) -> DataFrame:
-    """Add ``document_id``, a digest of the row, so that a replay rewrites the same documents."""
-    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    return df.withColumn("document_id", F.sha2(text, 256))
-
-
 def index_output(settings: Settings, index: str | None = None) -> BatchFunction:
-    """A fan-out branch into an index; a replayed batch replaces what it wrote before."""
+    """A fan-out branch into an index; a replayed batch replaces what it wrote before.
+
+    In a search index that takes rows with a document id; files are replaced per batch.
+    """
     index = index or settings.index
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if settings.index_format == "es":
-            write_index(document_id(batch), settings, index, "document_id")
+            id_column = DOCUMENT_ID if DOCUMENT_ID in batch.columns else None
+            write_index(batch, settings, index, id_column)
         else:
-            write_batch(batch, settings.index_path(index), batch_id, settings.index_format)
+            rows = batch.drop(DOCUMENT_ID)
+            write_batch(rows, settings.index_path(index), batch_id, settings.index_format)
 
     return write
 

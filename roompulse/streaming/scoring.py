@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 from roompulse.functions.ingest import parse_readings
 from roompulse.functions.scoring import LinearModel, with_score
 from roompulse.operators.comfort_model import complete_and_rejected, score, with_prediction_text
-from roompulse.schemas import ROOM_READING, SCORED_COLUMNS
+from roompulse.schemas import DOCUMENT_ID, ROOM_READING, SCORED_COLUMNS
 from roompulse.sinks.stream import BatchFunction
 
 
 def score_readings(readings: DataFrame, model: PipelineModel | LinearModel) -> DataFrame:
     """The output columns of the live job. Narrow: no shuffle, no state."""
     scored = with_score(readings, model) if isinstance(model, LinearModel) else score(readings, model)
-    return with_prediction_text(scored).select(*SCORED_COLUMNS)
+    kept = [DOCUMENT_ID] if DOCUMENT_ID in readings.columns else []
+    return with_prediction_text(scored).select(*kept, *SCORED_COLUMNS)
 
 
 def score_messages(

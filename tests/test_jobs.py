@@ -79,6 +79,19 @@ def test_route_and_ingest(spark, tmp_path, settings):
     assert exported.columns == ["mac", "rssi", "timestamp"] and exported.count() == 52
 
 
+def test_index_documents_are_keyed_by_message(spark, monkeypatch):
+    from roompulse.streaming import outputs
+
+    written = []
+    monkeypatch.setattr(outputs, "write_index", lambda df, *rest: written.append((df.columns, rest[1:])))
+    write = outputs.index_output(Settings(), "room")
+    write(spark.createDataFrame([("room-0-1", 2.0)], "document_id string, light double"), 0)
+    write(spark.createDataFrame([(2.0,)], "light double"), 1)
+    assert written == [
+        (["document_id", "light"], ("room", "document_id")), (["light"], ("room", None)),
+    ]
+
+
 def test_occupancy_job(spark, tmp_path, settings):
     from pyspark.sql import functions as F
 

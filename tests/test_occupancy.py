@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from roompulse.operators.occupancy import approximate_occupancy, exact_occupancy, latest_windows
+from roompulse.operators.occupancy import (
+    approximate_occupancy, exact_occupancy, latest_windows, sketched_occupancy,
+)
 
 
 def brute_force(rows, size, slide):
@@ -95,3 +97,13 @@ def test_no_window_gathers_its_rows(spark):
     plan = exact_occupancy(frame(spark, sample(50, 600)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 2
     assert "partial_bit_or" in plan and "partial_count" in plan
+
+
+def test_merged_sketches(spark):
+    rows = sample(1000, 3600)
+    exact = result(exact_occupancy(frame(spark, rows)))
+    merged = result(sketched_occupancy(frame(spark, rows)))
+    assert set(exact) == set(merged)
+    assert all(abs(exact[s][1] - merged[s][1]) <= max(1, 0.05 * exact[s][1]) for s in exact)
+    with pytest.raises(ValueError, match="multiple"):
+        sketched_occupancy(frame(spark, rows), 100, 30)
