@@ -151,23 +151,23 @@ def ts_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan lines in five spellings, from clean to unusable."""
-    rows = readings(events(spark, sf_dir)).select("event_id", "mac", F.col("rssi").cast("string"))
-    spelling = F.col("event_id") % 5
+    """Scan lines in five spellings, from clean to unusable, one per type of event."""
+    number = rssi().cast("string")
+    kind = F.col("event_type")
     tail = (
-        F.when(spelling == 0, F.concat(F.lit(","), F.col("rssi")))
-        .when(spelling == 1, F.concat(F.lit(", "), F.col("rssi"), F.lit(" ")))
-        .when(spelling == 2, F.lit(""))
-        .when(spelling == 3, F.lit(",x"))
-        .otherwise(F.concat(F.lit(","), F.col("rssi"), F.lit(",z")))
+        F.when(kind == "click", F.concat(F.lit(","), number))
+        .when(kind == "view", F.concat(F.lit(", "), number, F.lit(" ")))
+        .when(kind == "signup", F.lit(""))
+        .when(kind == "error", F.lit(",x"))
+        .otherwise(F.concat(F.lit(","), number, F.lit(",z")))
     )
-    return rows.select("event_id", F.concat("mac", tail).alias("value"))
+    return events(spark, sf_dir).select("event_id", F.concat(mac(), tail).alias("value"))
 
 
 @query(READINGS_SQL + """
 SELECT event_id,
-  CASE WHEN event_id % 5 NOT IN (2, 3) THEN mac END AS mac,
-  CASE WHEN event_id % 5 NOT IN (2, 3) THEN rssi END AS rssi
+  CASE WHEN event_type NOT IN ('signup', 'error') THEN mac END AS mac,
+  CASE WHEN event_type NOT IN ('signup', 'error') THEN rssi END AS rssi
 FROM readings""")
 def csv_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan lines to records; an unusable line is a record of NULLs."""
@@ -177,8 +177,8 @@ def csv_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(READINGS_SQL + """
 SELECT mac AS mac_address,
-  CASE event_id % 5 WHEN 0 THEN rssi::VARCHAR WHEN 1 THEN ' ' || rssi || ' ' ELSE 'x' END AS rssi
-FROM readings WHERE event_id % 5 IN (0, 1, 3)""")
+  CASE event_type WHEN 'click' THEN rssi::VARCHAR WHEN 'view' THEN ' ' || rssi || ' ' ELSE 'x' END AS rssi
+FROM readings WHERE event_type IN ('click', 'view', 'error')""")
 def csv_arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only lines with exactly two fields, both as text; one- and three-field lines are no records."""
     return two_field_rows(scan_lines(spark, sf_dir), "mac_address", "rssi")

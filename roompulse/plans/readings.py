@@ -34,13 +34,19 @@ def rssi() -> Column:
     return (-F.from_json("props", "k int")["k"]).alias("rssi")
 
 
-def readings(source: DataFrame) -> DataFrame:
-    """``event_id`` and the room reading, with epoch seconds in ``timestamp``."""
+def readings(source: DataFrame, thermometer: Column | None = None) -> DataFrame:
+    """``event_id`` and the room reading, with epoch seconds in ``timestamp``.
+
+    Where ``thermometer`` is NULL, so is the temperature.
+    """
+    temperature = (F.lit(10) + F.col("event_id") % 30).cast("double")
+    if thermometer is not None:
+        temperature = F.when(thermometer.isNotNull(), temperature)
     return source.select(
         "event_id",
         mac(),
         rssi(),
-        (F.lit(10) + F.col("event_id") % 30).cast("double").alias("temperature"),
+        temperature.alias("temperature"),
         (F.lit(30) + F.col("event_id") % 53).cast("double").alias("humidity"),
         (F.col("value") * 8).alias("light"),
         epoch_seconds().alias("timestamp"),

@@ -147,19 +147,19 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(READINGS_SQL + f"""
-SELECT * REPLACE (CASE WHEN event_id % 4 = 3 THEN NULL ELSE prediction END AS prediction,
-  CASE WHEN event_id % 4 = 3 THEN 'rejected' ELSE prediction_str END AS prediction_str)
-FROM (
-  SELECT event_id, CASE WHEN {PROBABILITY_SQL} > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
-    CASE WHEN {PROBABILITY_SQL} > 0.5 THEN 'comfortable' ELSE 'not comfortable' END AS prediction_str
-  FROM readings)""")
+SELECT event_id,
+  CASE WHEN event_type = 'error' THEN NULL WHEN {PROBABILITY_SQL} > 0.5 THEN 1.0::DOUBLE
+    ELSE 0.0::DOUBLE END AS prediction,
+  CASE WHEN event_type = 'error' THEN 'rejected' WHEN {PROBABILITY_SQL} > 0.5 THEN 'comfortable'
+    ELSE 'not comfortable' END AS prediction_str
+FROM readings""")
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings without a temperature go to the reject table, the rest is scored."""
     root = new_folder(spark, "stream_rejects")
-    raw = readings(events_stream(spark, sf_dir)).withColumns({
-        "temperature": F.when(F.col("event_id") % 4 != 3, F.col("temperature")),
-        "mac": F.col("event_id").cast("string"),
-    })
+    source = events_stream(spark, sf_dir)
+    raw = readings(source, F.when(F.col("event_type") != "error", 1.0)).withColumn(
+        "mac", F.col("event_id").cast("string")
+    )
     raw = raw.select(F.to_json(F.struct(*[n for n in raw.columns if n != "event_id"])).alias("value"))
     callback = score_batches(
         FIXED_MODEL, table_output(f"{root}/scored"), table_output(f"{root}/rejected")
