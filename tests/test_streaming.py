@@ -1,6 +1,8 @@
 """Streams: late rows, restarts, replays, rejects, fan-out."""
 
 import json
+import os
+import pathlib
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -203,3 +205,36 @@ def test_state_partitions_follow_the_cores(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_catching_up_in_small_batches_equals_one_batch(spark, tmp_path):
+    deliveries = [[(f"m{(7 * i) % 11}", float(i)) for i in range(s, s + 200, 3)] for s in range(0, 1000, 200)]
+    for n, rows in enumerate(deliveries):
+        folder = f"{tmp_path}/in/part={n}"
+        sightings(spark, rows).coalesce(1).write.parquet(folder)
+        for file in pathlib.Path(folder).glob("*.parquet"):
+            os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    stream = (
+        spark.readStream.schema(SIGHTING).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        .select("mac", "timestamp")
+    )
+    query = drain(to_files(exact_windows(stream), "q", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+    assert sum(1 for p in query.recentProgress if p.numInputRows) == len(deliveries)
+    assert dropped(query) == 0
+    everything = [r for rows in deliveries for r in rows]
+    newest = max(seconds for _, seconds in everything)
+    expected = {
+        s: v for s, v in windows(exact_occupancy(sightings(spark, everything))).items()
+        if s + 120 <= newest - 60
+    }
+    assert windows(spark.read.parquet(f"{tmp_path}/out")) == expected
+
+
+def test_readings_are_combined_before_the_state(spark, tmp_path, capsys):
+    stream = deliver(spark, [("a", 0.0)], f"{tmp_path}/in")
+    exact_windows(stream).explain()
+    plan = capsys.readouterr().out.splitlines()
+    below = [plan[n + 1] for n, line in enumerate(plan) if "Exchange hashpartitioning(window" in line]
+    assert len(below) == 2 and all("HashAggregate" in line for line in below)
+    assert sum("StateStoreSave" in line for line in plan) == 2
+    assert not any("collect_set" in line for line in plan)
