@@ -44,12 +44,11 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, label: str = "comfortable", bins: int = 1000) -> Report:
+    """Two passes over the scored rows: the confusion counts, a handful of rows, and the ROC curve."""
     rows = scored.select(F.col(label).cast("double").alias("label"), "rawPrediction", "prediction")
-    return Report(
-        auc=area_under_roc(rows, bins=bins),
-        accuracy=accuracy(rows),
-        confusion=confusion_counts(rows),
-    )
+    counts = confusion_counts(rows)
+    confusion = scored.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    return Report(area_under_roc(rows, bins=bins), accuracy(confusion), confusion)
 
 
 def save_if_good(model: PipelineModel, report: Report, path: str, gate: float = QUALITY_GATE) -> bool:

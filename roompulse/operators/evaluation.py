@@ -22,7 +22,8 @@ def area_under_roc(
     return evaluator.evaluate(scored)
 
 
-def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
-    """The share of right predictions."""
-    hit = F.when(F.col(label) == F.col(prediction), 1.0).otherwise(0.0)
-    return scored.agg(F.avg(hit)).first()[0]
+def accuracy(confusion: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
+    """The share of right predictions, from the confusion counts; a missing prediction is wrong."""
+    right = F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)
+    hits, total = confusion.agg(F.sum(right), F.sum("count")).first()
+    return hits / total

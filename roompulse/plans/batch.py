@@ -429,6 +429,22 @@ def occupancy_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occupancy_text(sketched_occupancy(sightings(events(spark, sf_dir))))
 
 
+@query(f"""
+SELECT window_start, window_end, distinct_macs, TRUE AS approx_is_close, TRUE AS sketch_is_close
+FROM ({OCCUPANCY_SQL})""")
+def occupancy_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts of all windows, and whether both approximate forms come close to them."""
+    rows = sightings(events(spark, sf_dir))
+    exact = occupancy_text(exact_occupancy(rows)).drop("approx_people")
+    keys = ["window_start", "window_end"]
+    for name, windows in (("approx", approximate_occupancy(rows)), ("sketch", sketched_occupancy(rows))):
+        other = occupancy_text(windows).select(*keys, F.col("distinct_macs").alias("estimate"))
+        error = F.abs(F.col("estimate") - F.col("distinct_macs"))
+        is_close = error <= F.greatest(F.lit(1), F.col("distinct_macs") * 0.15)
+        exact = exact.join(other, keys, "full").withColumn(f"{name}_is_close", is_close).drop("estimate")
+    return exact
+
+
 @query(f"SELECT * FROM ({OCCUPANCY_SQL}) ORDER BY window_start DESC LIMIT 20")
 def occupancy_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest 20 windows, newest first."""

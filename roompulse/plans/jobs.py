@@ -21,7 +21,9 @@ from roompulse.operators.comfort_model import (
 from roompulse.operators.evaluation import confusion_counts
 from roompulse.operators.export import EXPORT_ROWS, first_documents
 from roompulse.operators.split import random_split
-from roompulse.schemas import DEVICE_SIGHTING, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW
+from roompulse.schemas import (
+    DEVICE_SIGHTING, DOCUMENT_ID, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW,
+)
 from roompulse.sinks.batch import write_csv, write_json_lines, write_topic
 from roompulse.sinks.stream import start, to_batches, to_console, to_csv, to_index, to_topic
 from roompulse.sources.files import read_appended_csv, read_lines, stream_lines, two_field_rows
@@ -97,6 +99,8 @@ def _to_index_and_console(
     console: bool, trigger: Trigger,
 ) -> StreamingQuery:
     documents = rows.withColumn("timestamp", iso_text("timestamp"))
+    if console:
+        documents.printSchema()
     outputs = [index_output(settings, index)] + ([console_output()] if console else [])
     return start(to_batches(documents, name, checkpoints, fan_out(outputs)), spark, trigger)
 
@@ -111,7 +115,12 @@ def occupancy(
     """
     sightings = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
     windows = approximate_windows(sightings)
-    queries = [start(to_index(windows, "occupancy", checkpoints, settings), spark, trigger)]
+    id_column = None
+    if settings.index_format == "es":
+        id_column = DOCUMENT_ID
+        windows = windows.withColumn(DOCUMENT_ID, iso_text("start"))
+    writer = to_index(windows, "occupancy", checkpoints, settings, id_column=id_column)
+    queries = [start(writer, spark, trigger)]
     if console:
         newest = approximate_windows(sightings).orderBy(F.col("start").desc())
         writer = to_console(newest, "occupancy_console", checkpoints, mode="complete")

@@ -1,6 +1,7 @@
 """Log formats: groups, rejects and odd lines."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,47 @@ def test_logfmt(spark):
     assert [tuple(r) for r in rows] == [
         ("warn", "two words", "", None), (None, None, None, None), (None, "", None, None)
     ]
+
+
+SAMPLES = {
+    "apache": '10.0.0.1 - ann [01/Jan/2024:00:00:07 +0000] "GET /a b HTTP/1.1" 200 12 "http://r" "agent x"',
+    "apache2": '10.0.0.1 - ann [01/Jan/2024:00:00:07 +0000] "GET /a HTTP/1.1" 200 12 "http://r" "agent x"',
+    "apache_error": "[Mon Jan 01 00:00:07 2024] [error] [pid 7] [client 10.0.0.1] no such file",
+    "nginx": '10.0.0.1 host ann [01/Jan/2024:00:00:07 +0000] "GET /a HTTP/1.1" 200 12 "http://r" "agent"',
+    "docker-daemon": 'x time="2024-01-01T00:00:07.1Z" level=info msg="hello there" y',
+    "syslog-rfc5424": '<7>1 2024-01-01T00:00:07.1Z host app 17 ID4 [x@1 a="b"] some message',
+    "syslog-rfc3164": "<7>Jan  1 00:00:07 host app[17]: some message",
+    "syslog-rfc3164-local": "<7>Jan  1 00:00:07 app[17]: some message",
+    "mongodb": "2024-01-01T00:00:07.1Z I COMMAND  [conn7] a command took 12ms",
+    "cri": "2024-01-01T00:00:07.1Z stdout F some message",
+    "kube-custom": f"kube.var.log.pod-1.a_ns_box-{'0f' * 32}.log",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SAMPLES))
+def test_one_pass_equals_group_by_group(spark, name):
+    """Lines with deletions, doublings and swaps: the same match and the same groups."""
+    rng = random.Random(name)
+    texts = [SAMPLES[name]]
+    for _ in range(150):
+        text = list(rng.choice(texts[:20]))
+        at = rng.randrange(len(text))
+        change = rng.choice(["drop", "double", "swap", "space"])
+        if change == "drop":
+            del text[at]
+        elif change == "double":
+            text.insert(at, text[at])
+        elif change == "swap":
+            to = rng.randrange(len(text))
+            text[at], text[to] = text[to], text[at]
+        else:
+            text.insert(at, rng.choice(' "[]-'))
+        texts.append("".join(text))
+    fmt = log_format(name)
+    df = lines(spark, *texts)
+    parsed = [tuple(r) for r in parse_log(df, name)[0].collect()]
+    direct = df.filter(F.regexp_like("value", F.lit(fmt.pattern))).select(
+        *[F.nullif(F.regexp_extract("value", fmt.pattern, g), F.lit("")) for g in fmt.fields.values()]
+    )
+    assert len(parsed) > 10
+    assert sorted(parsed, key=str) == sorted([tuple(r) for r in direct.collect()], key=str)

@@ -84,7 +84,7 @@ def test_confusion_and_accuracy(spark):
     assert {tuple(r) for r in confusion_counts(df).collect()} == {
         (1, 1.0, 1), (1, 0.0, 1), (0, 0.0, 1), (0, None, 1)
     }
-    assert accuracy(df) == 0.5
+    assert accuracy(confusion_counts(df)) == 0.5
 
 
 def test_incomplete_rows_are_set_apart(spark):
