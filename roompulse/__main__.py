@@ -22,6 +22,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--index-format", default="es")
     top.add_argument("--index-root", help="folder of the indices for a file format")
     top.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
+    top.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch at most")
     top.add_argument("--quiet", action="store_true", help="no console output of streams")
     top.add_argument("--once", action="store_true", help="process what is there and stop")
     job = top.add_subparsers(dest="job", required=True)
@@ -57,7 +58,7 @@ def main(arguments: list[str] | None = None) -> None:
     settings = Settings.from_env(
         stream_format=args.stream_format, stream_root=args.stream_root,
         index_format=args.index_format, index_root=args.index_root,
-        max_offsets_per_trigger=args.max_offsets,
+        max_offsets_per_trigger=args.max_offsets, max_bytes_per_trigger=args.max_bytes,
     )
     spark = build_session("roompulse", settings.index_options())
     checkpoints = args.checkpoints or f"{shared_root(spark)}/roompulse"
@@ -79,7 +80,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "occupancy":
         jobs.occupancy(spark, settings, checkpoints, console, trigger)
     elif args.job == "label-log":
-        jobs.label_log(spark, args.logs, args.path, checkpoints, trigger)
+        jobs.label_log(spark, settings, args.logs, args.path, checkpoints, trigger)
     elif args.job == "train":
         _, report, saved = jobs.train_model(spark, args.csv, args.save)
         report.confusion.show()

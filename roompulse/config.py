@@ -28,7 +28,8 @@ class Settings:
 
     ``stream_format`` is ``kafka`` or a file format; a file format reads and writes topics as
     folders below ``stream_root``. ``index_format`` is ``es`` or a file format below ``index_root``.
-    ``max_offsets_per_trigger`` bounds a micro-batch when a stream has to catch up.
+    ``max_offsets_per_trigger`` (messages) and ``max_bytes_per_trigger`` (files) bound a micro-batch
+    when a stream has to catch up.
     """
 
     broker: str = ENVIRONMENT["broker"][1]
@@ -42,6 +43,7 @@ class Settings:
     index_root: str | None = None
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> Settings:
@@ -59,6 +61,11 @@ class Settings:
             raise ValueError(f"index_root is needed for index_format={self.index_format!r}")
         return f"{self.index_root}/{index}"
 
+    def file_source_options(self) -> dict[str, str]:
+        if self.max_bytes_per_trigger is None:
+            return {}
+        return {"maxBytesPerTrigger": str(self.max_bytes_per_trigger)}
+
     def kafka_source_options(self, topic: str, from_beginning: bool = False) -> dict[str, str]:
         options = {
             "kafka.bootstrap.servers": self.broker,

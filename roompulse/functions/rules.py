@@ -13,6 +13,11 @@ TEENAGER_FROM = 13
 TEENAGER_TO = 19
 
 
+def is_number(name: str) -> Column:
+    """Neither NULL nor NaN, which JSON text may hold too."""
+    return F.col(name).isNotNull() & ~F.isnan(name)
+
+
 def comfort_label(
     light: str = "light", temperature: str = "temperature", humidity: str = "humidity",
     light_rule: str = "below",
@@ -28,7 +33,7 @@ def comfort_label(
     uncomfortable = (
         bad_light | (F.col(temperature) > MAX_TEMPERATURE) | (F.col(humidity) > MAX_HUMIDITY)
     )
-    complete = F.col(light).isNotNull() & F.col(temperature).isNotNull() & F.col(humidity).isNotNull()
+    complete = is_number(light) & is_number(temperature) & is_number(humidity)
     return F.when(complete & uncomfortable, 0).when(complete, 1)
 
 

@@ -39,8 +39,9 @@ def margin(model: LinearModel) -> Column:
 
 
 def with_score(df: DataFrame, model: LinearModel) -> DataFrame:
-    """Add ``probability`` of class 1 and ``prediction``; NULL features give NULL for both."""
-    scored = df.withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(model))))
+    """Add ``probability`` of class 1 and ``prediction``; a NULL or NaN feature gives NULL for both."""
+    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(model)))
+    scored = df.withColumn("probability", F.nanvl(probability, F.lit(None).cast("double")))
     return scored.withColumn(
         "prediction",
         F.when(F.col("probability") > model.threshold, 1.0).when(F.col("probability").isNotNull(), 0.0),

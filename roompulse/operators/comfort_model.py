@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roompulse.functions.rules import prediction_text
+from roompulse.functions.rules import is_number, prediction_text
 from roompulse.functions.scoring import LinearModel
 from roompulse.operators.evaluation import accuracy, area_under_roc, confusion_counts
 from roompulse.schemas import SENSOR_COLUMNS
@@ -78,7 +78,7 @@ def complete_and_rejected(df: DataFrame, features: list[str] | None = None) -> t
     """Rows with all features, and the others, which a model can not score."""
     whole = F.lit(True)
     for name in features or SENSOR_COLUMNS:
-        whole = whole & F.col(name).isNotNull()
+        whole = whole & is_number(name)
     return df.filter(whole), df.filter(~whole)
 
 

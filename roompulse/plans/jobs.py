@@ -44,11 +44,15 @@ def _messages(spark: SparkSession, settings: Settings, topic: str | None = None)
     return with_document_id(messages) if settings.stream_format == "kafka" else messages
 
 
+def _log_lines(spark: SparkSession, settings: Settings, logs: str) -> DataFrame:
+    return stream_lines(spark, logs, **settings.file_source_options())
+
+
 def ship_log(
     spark: SparkSession, settings: Settings, logs: str, checkpoints: str, trigger: Trigger = None
 ) -> StreamingQuery:
     """Follow a folder of JSON logs and publish every reading, stamped with the time of ingestion."""
-    rows = with_ingest_time(parse_messages(stream_lines(spark, logs), ROOM_READING))
+    rows = with_ingest_time(parse_messages(_log_lines(spark, settings, logs), ROOM_READING))
     return start(to_topic(rows, "ship_log", checkpoints, settings), spark, trigger)
 
 
@@ -56,7 +60,7 @@ def route_log(
     spark: SparkSession, settings: Settings, logs: str, checkpoints: str, trigger: Trigger = None
 ) -> StreamingQuery:
     """Follow a folder of JSON logs and publish environment and device readings to their topics."""
-    rows = with_ingest_time(parse_messages(stream_lines(spark, logs), ROOM_READING))
+    rows = with_ingest_time(parse_messages(_log_lines(spark, settings, logs), ROOM_READING))
     routes = route_batches(topic_output(settings, ENV_TOPIC), topic_output(settings, MACS_TOPIC))
     return start(to_batches(rows, "route_log", checkpoints, routes), spark, trigger)
 
@@ -129,10 +133,11 @@ def occupancy(
 
 
 def label_log(
-    spark: SparkSession, logs: str, path: str, checkpoints: str, trigger: Trigger = None
+    spark: SparkSession, settings: Settings, logs: str, path: str, checkpoints: str,
+    trigger: Trigger = None,
 ) -> StreamingQuery:
     """Follow a folder of JSON logs and append labelled training rows to CSV files."""
-    rows = labelled_readings(stream_lines(spark, logs))
+    rows = labelled_readings(_log_lines(spark, settings, logs))
     return start(to_csv(rows, "label_log", checkpoints, path), spark, trigger)
 
 

@@ -16,7 +16,8 @@ def stream_topic(
     reader = spark.readStream.format(settings.stream_format)
     if settings.stream_format == "kafka":
         return reader.options(**settings.kafka_source_options(topic)).options(**options).load()
-    return reader.schema(ENVELOPE).options(**options).load(settings.topic_path(topic))
+    files = reader.schema(ENVELOPE).options(**settings.file_source_options()).options(**options)
+    return files.load(settings.topic_path(topic))
 
 
 def replay_topic(

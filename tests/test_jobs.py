@@ -15,7 +15,7 @@ ONCE = {"availableNow": True}
 @pytest.fixture
 def settings(tmp_path):
     return Settings(
-        stream_format="parquet", stream_root=f"{tmp_path}/topics",
+        stream_format="parquet", stream_root=f"{tmp_path}/topics", max_bytes_per_trigger=1_000_000_000,
         index_format="parquet", index_root=f"{tmp_path}/indices",
     )
 
@@ -43,7 +43,7 @@ def test_log_to_scores(spark, tmp_path, settings, capfd):
     messages = [json.loads(bytes(r["value"])) for r in replay_topic(spark, settings).collect()]
     assert len(messages) == 52 and all(m["timestamp"] > 1.7e9 for m in messages)
 
-    wait(jobs.label_log(spark, logs, f"{tmp_path}/training", checkpoints, ONCE))
+    wait(jobs.label_log(spark, settings, logs, f"{tmp_path}/training", checkpoints, ONCE))
     model, report, saved = jobs.train_model(spark, f"{tmp_path}/training", f"{tmp_path}/model")
     assert saved and report.auc > 0.5
     scored, confusion = jobs.score_file(spark, f"{tmp_path}/training", f"{tmp_path}/model")

@@ -26,6 +26,8 @@ def label(spark, light, temperature, humidity, rule="below"):
         ((20.0, 30.0, 60.01), 0, 0),
         ((None, 20.0, 50.0), None, None),
         ((None, 40.0, 50.0), None, None),
+        ((float("nan"), 20.0, 50.0), None, None),
+        ((float("inf"), 20.0, 50.0), 1, 0),
     ],
 )
 def test_comfort_label(spark, reading, below, above):
@@ -78,8 +80,10 @@ def test_managed_table(spark):
 
 def test_score_of_missing_feature_is_null(spark):
     model = LinearModel(("light",), (1.0,), 0.0)
-    df = spark.createDataFrame([(None,), (1.0,), (-1.0,), (0.0,)], "light double")
-    assert [r["prediction"] for r in with_score(df, model).collect()] == [None, 1.0, 0.0, 0.0]
+    values = [None, 1.0, -1.0, 0.0, float("nan"), -1e6, 1e6]
+    df = spark.createDataFrame([(v,) for v in values], "light double")
+    predictions = [r["prediction"] for r in with_score(df, model).collect()]
+    assert predictions == [None, 1.0, 0.0, 0.0, None, 0.0, 1.0]
 
 
 def test_hash_split_ignores_partitions(spark):

@@ -130,7 +130,10 @@ def reading(mac, **changes):
     return json.dumps({**values, **changes})
 
 
-ROWS = [reading("good"), reading("null", light=None), "garbage", reading("text", temperature="hot")]
+ROWS = [
+    reading("good"), reading("null", light=None), "garbage", reading("text", temperature="hot"),
+    reading("nan", humidity=float("nan")),
+]
 
 
 def test_rejects_are_kept_and_the_rest_is_scored(spark, tmp_path):
@@ -143,7 +146,7 @@ def test_rejects_are_kept_and_the_rest_is_scored(spark, tmp_path):
     scored = spark.read.parquet(f"{tmp_path}/scored").collect()
     assert [(r["mac"], r["prediction_str"]) for r in scored] == [("good", "comfortable")]
     rejected = spark.read.parquet(f"{tmp_path}/rejected").collect()
-    assert {r["mac"] for r in rejected} == {"null", None, "text"} and len(rejected) == 3
+    assert {r["mac"] for r in rejected} == {"null", None, "text", "nan"} and len(rejected) == 4
 
 
 def test_strict_scoring_fails_on_a_missing_feature(spark, tmp_path):
