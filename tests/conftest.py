@@ -11,9 +11,9 @@ def spark():
     from roompulse.session import build_session
 
     conf = {
-        "spark.master": "local[8]",
-        "spark.sql.shuffle.partitions": "8",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+        "spark.master": "local[4]",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": os.environ.get("TEST_WAREHOUSE", "/tmp/roompulse-test-warehouse"),

@@ -199,6 +199,7 @@ def test_carry_forward_over_batches_and_a_replay(spark, tmp_path):
 
 
 def test_state_partitions_follow_the_cores(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         stream = deliver(spark, [("a", 0.0)], f"{tmp_path}/in")
@@ -207,7 +208,7 @@ def test_state_partitions_follow_the_cores(spark, tmp_path):
         assert {op.numShufflePartitions for op in query.lastProgress.stateOperators} == {cores}
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_catching_up_in_small_batches_equals_one_batch(spark, tmp_path):
