@@ -9,6 +9,7 @@ import argparse
 
 from roompulse.config import Settings
 from roompulse.operators.comfort_model import load
+from roompulse.operators.occupancy import DEVICES_PER_PERSON, SLIDE_SECONDS, WATERMARK, WINDOW_SECONDS
 from roompulse.plans import jobs
 from roompulse.session import build_session
 from roompulse.workspace import shared_root
@@ -30,8 +31,14 @@ def parser() -> argparse.ArgumentParser:
         job.add_parser(name).add_argument("logs")
     job.add_parser("publish-scans").add_argument("path")
     job.add_parser("dump-topic").add_argument("path")
-    for name in ("ingest-environment", "ingest-devices", "occupancy"):
+    for name in ("ingest-environment", "ingest-devices"):
         job.add_parser(name)
+    rooms = job.add_parser("occupancy")
+    rooms.add_argument("--form", choices=sorted(jobs.OCCUPANCY_FORMS), default="approx")
+    rooms.add_argument("--window", type=int, default=WINDOW_SECONDS, help="seconds")
+    rooms.add_argument("--slide", type=int, default=SLIDE_SECONDS, help="seconds")
+    rooms.add_argument("--watermark", default=WATERMARK)
+    rooms.add_argument("--devices-per-person", type=float, default=DEVICES_PER_PERSON)
     label = job.add_parser("label-log")
     label.add_argument("logs")
     label.add_argument("path")
@@ -78,7 +85,11 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "ingest-devices":
         jobs.ingest_devices(spark, settings, checkpoints, console, trigger)
     elif args.job == "occupancy":
-        jobs.occupancy(spark, settings, checkpoints, console, trigger)
+        jobs.occupancy(
+            spark, settings, checkpoints, console, trigger, args.form, watermark=args.watermark,
+            window_seconds=args.window, slide_seconds=args.slide,
+            devices_per_person=args.devices_per_person,
+        )
     elif args.job == "label-log":
         jobs.label_log(spark, settings, args.logs, args.path, checkpoints, trigger)
     elif args.job == "train":

@@ -30,7 +30,7 @@ from roompulse.sources.files import read_appended_csv, read_lines, stream_lines,
 from roompulse.sources.index import read_index
 from roompulse.sources.topics import replay_topic, stream_topic
 from roompulse.streaming.labelling import labelled_readings
-from roompulse.streaming.occupancy import approximate_windows
+from roompulse.streaming.occupancy import approximate_windows, exact_windows, sketched_windows
 from roompulse.streaming.outputs import console_output, fan_out, index_output, topic_output
 from roompulse.streaming.routing import route_batches
 from roompulse.streaming.scoring import score_batches
@@ -109,16 +109,29 @@ def _to_index_and_console(
     return start(to_batches(documents, name, checkpoints, fan_out(outputs)), spark, trigger)
 
 
+OCCUPANCY_FORMS = {
+    "approx": approximate_windows,
+    "sketched": sketched_windows,
+    "exact": exact_windows,
+}
+
+
 def occupancy(
-    spark: SparkSession, settings: Settings, checkpoints: str, console: bool = True,
+    spark: SparkSession,
+    settings: Settings,
+    checkpoints: str,
+    console: bool = True,
     trigger: Trigger = None,
+    form: str = "approx",
+    **window_options,
 ) -> list[StreamingQuery]:
     """Closed windows to the index; all windows, newest first, to the console.
 
+    ``form`` chooses how the index's devices are counted; ``window_options`` are those of the forms.
     Complete mode keeps every window's sketch, so the console is for looking, not for storing.
     """
     sightings = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
-    windows = approximate_windows(sightings)
+    windows = OCCUPANCY_FORMS[form](sightings, **window_options)
     id_column = None
     if settings.index_format == "es":
         id_column = DOCUMENT_ID
@@ -126,7 +139,7 @@ def occupancy(
     writer = to_index(windows, "occupancy", checkpoints, settings, id_column=id_column)
     queries = [start(writer, spark, trigger)]
     if console:
-        newest = approximate_windows(sightings).orderBy(F.col("start").desc())
+        newest = approximate_windows(sightings, **window_options).orderBy(F.col("start").desc())
         writer = to_console(newest, "occupancy_console", checkpoints, mode="complete")
         queries.append(start(writer, spark, trigger))
     return queries

@@ -73,7 +73,8 @@ def test_settings_are_restored(spark):
     "arguments",
     [
         ["ship-log", "l"], ["route-log", "l"], ["publish-scans", "p"], ["dump-topic", "p"],
-        ["ingest-environment"], ["ingest-devices"], ["occupancy"], ["label-log", "l", "p"],
+        ["ingest-environment"], ["ingest-devices"], ["occupancy"], ["occupancy", "--form", "exact", "--window", "60"],
+        ["label-log", "l", "p"],
         ["train", "c", "--save", "m"], ["score-file", "c", "m"], ["live-scores", "--model", "m"],
         ["live-scores", "--train", "c", "--strict"], ["export", "i", "p", "--first"],
     ],

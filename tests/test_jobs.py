@@ -92,7 +92,8 @@ def test_index_documents_are_keyed_by_message(spark, monkeypatch):
     ]
 
 
-def test_occupancy_job(spark, tmp_path, settings):
+@pytest.mark.parametrize("form", ["approx", "sketched", "exact"])
+def test_occupancy_job(spark, tmp_path, settings, form):
     from pyspark.sql import functions as F
 
     rows = spark.range(200).select(
@@ -100,12 +101,20 @@ def test_occupancy_job(spark, tmp_path, settings):
         (F.col("id") * 10.0).alias("timestamp"),
     )
     jobs.write_topic(rows, settings)
-    queries = jobs.occupancy(spark, settings, f"{tmp_path}/cp", trigger=ONCE)
+    queries = jobs.occupancy(
+        spark, settings, f"{tmp_path}/cp", console=form == "approx", trigger=ONCE, form=form,
+        window_seconds=60, slide_seconds=20, devices_per_person=2,
+    )
     wait(queries)
     windows = read_index(spark, settings)
     assert windows.columns == ["start", "end", "distinct_macs", "approx_people"]
-    assert windows.agg(F.max("distinct_macs")).first()[0] >= 8
-    assert "Console" in queries[1].lastProgress.sink.description
+    # Six readings of six devices in each whole window.
+    middle = windows.filter("start >= timestamp'1970-01-01 00:05:00'")
+    assert middle.filter("distinct_macs <> 6 OR approx_people <> 3").count() == 0 and middle.count() > 50
+    assert windows.filter("unix_seconds(end) - unix_seconds(start) <> 60").count() == 0
+    assert windows.agg(F.max("end")).first()[0].timestamp() <= 1990 - 60
+    if form == "approx":
+        assert "Console" in queries[1].lastProgress.sink.description
 
 
 def test_scans_and_topic_dump(spark, tmp_path, settings):
