@@ -56,7 +56,7 @@ def exact_windows(
 def device_windows(
     readings: DataFrame, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
-    """One row per window and device."""
+    """One row per window and device. Complete mode keeps all of them for the life of the query."""
     window = sliding_window("timestamp", window_seconds, slide_seconds)
     return readings.groupBy(window, "mac").agg(F.count(F.lit(1)).alias("readings"))
 
