@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,9 +79,13 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words between white space (0x20, 0x09 to 0x0D), and each row's first word."""
-    inside = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and each row's first word.
+
+    ``letters`` tells which of the 256 byte values belong to words; by default all but white space
+    (0x20, 0x09 to 0x0D). Words don't cross rows.
+    """
+    inside = (~_SPACE if letters is None else letters)[data]
     before = np.empty_like(inside)
     if len(inside):
         before[0] = False

@@ -117,7 +117,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                                  pa.binary()),
                     ], names=["doc_id", "start", "ids"])
 
-    parts = manifest.repartition(F.col("name"))
+    # A stated count keeps adaptive execution from reading all files in one task.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = manifest.repartition(tasks, "name")
     return parts.mapInArrow(read, "doc_id long, start long, ids binary")
 
 
