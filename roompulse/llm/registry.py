@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roompulse.llm import packing, token_files
+from roompulse.llm import decontaminate, packing, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": packing.op2_harmonic_packing,
     "op9_token_files": token_files.op9_token_files,
+    "op10_decontamination": decontaminate.op10_decontamination,
+}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": decontaminate.OP10_SQL,
 }
-ORACLES: dict[str, str] = {}
