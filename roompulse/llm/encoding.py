@@ -22,7 +22,7 @@ for _code in range(128):
         _CLASS[_code] = _PUNCT
 _CLASS[[9, 10, 11, 12, 13, 32]] = _WHITE
 #: Pieces kept between batches; beyond it the table starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 _GROUP, _GROUPS = 100, 100
 
 

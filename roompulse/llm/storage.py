@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roompulse.session import session_conf
 from roompulse.workspace import new_folder
 
 
@@ -15,11 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch where whole texts pass through Python; a batch is bounded in bytes as well.
+BATCH_ROWS = 1000
+
+
 def saved(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: later work starts from committed files."""
     spark = df.sparkSession
     folder = folder or new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
