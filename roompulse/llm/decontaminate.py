@@ -178,11 +178,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.expr("filter(hits, (x, i) -> i % 2 = 0)")
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
     ids = F.array_sort(F.transform("items", lambda x: F.coalesce(x.cast("string"), F.lit(""))))
-    return found.select(
+    return saved(found.select(
         "doc_id", "n_words", (total(odd) - total(even)).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
-    )
+    ), "contamination")
 
 
 OP10_SQL = r"""
