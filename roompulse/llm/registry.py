@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roompulse.llm import decontaminate, packing, token_files
+from roompulse.llm import chat, decontaminate, line_cleaning, packing, sharding, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_harmonic_packing": packing.op2_harmonic_packing,
+    "op5_best_fit_sharding": sharding.op5_best_fit_sharding,
+    "op6_chat_template": chat.op6_chat_template,
+    "op8_line_cleaning": line_cleaning.op8_line_cleaning,
     "op9_token_files": token_files.op9_token_files,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 ORACLES: dict[str, str] = {
+    "op6_chat_template": chat.OP6_SQL,
+    "op8_line_cleaning": line_cleaning.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
 }
