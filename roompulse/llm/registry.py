@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roompulse.llm import chat, decontaminate, line_cleaning, packing, sharding, token_files
+from roompulse.llm import chat, decontaminate, line_cleaning, packing, sharding, suffix_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
     "op2_harmonic_packing": packing.op2_harmonic_packing,
     "op5_best_fit_sharding": sharding.op5_best_fit_sharding,
     "op6_chat_template": chat.op6_chat_template,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 ORACLES: dict[str, str] = {
+    "op1_suffix_array_dedup": suffix_dedup.OP1_SQL,
     "op6_chat_template": chat.OP6_SQL,
     "op8_line_cleaning": line_cleaning.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,

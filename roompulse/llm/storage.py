@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +48,9 @@ def importable(spark: SparkSession) -> None:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
+def finished(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of work whose result is saved; it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
