@@ -8,11 +8,16 @@ and ASCII punctuation (the apostrophe excepted, for contractions). Ids are the s
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from tokenizers import Tokenizer
 
 from roompulse.llm import bytetext
 
+# A task has one core; a thread pool in each Python worker would also keep memory of its own per thread.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 _OTHER, _ALNUM, _PUNCT, _WHITE = 0, 1, 2, 3
 _CLASS = np.zeros(256, np.uint8)
 for _code in range(128):
