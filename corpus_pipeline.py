@@ -4,15 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from roompulse.llm import packing
+from roompulse.llm import chosen_path, decontaminate, language_id, packing, suffix_dedup
 from roompulse.llm.encoding import tokenizer_path
 from roompulse.llm.storage import importable, saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _carried(docs: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of documents, in their order, from those that an operator carried along."""
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"own_{c}").alias(c) for c in docs.columns))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language identification: documents without a language (no text, no letter) go, ``lang`` becomes the prediction."""
+    importable(spark)
+    languages, weights = language_id.fit(docs)
+    if not languages:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    carry = ("text", *_carried(docs))
+    found = language_id.predicted(docs, languages, weights, carry=carry).where(F.col("lang_pred") != language_id.UNKNOWN)
+    return found.select(*(
+        F.col("doc_id") if c == "doc_id" else F.col("lang_pred").alias(c) if c == "lang" else F.col(f"own_{c}").alias(c)
+        for c in docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup on five-word shingles: the document with the smallest id of each group stays."""
+    importable(spark)
+    rows = chosen_path.near_duplicates(docs)
+    linked = rows.where("n_shingles > 0 and doc_id = component_id")
+    first = Window.partitionBy("component_id").orderBy("text_key")
+    kept = linked.withColumn("rank", F.row_number().over(first)).where("rank = 1").select("doc_id", "text_key")
+    # Rows that nothing can be linked with (no words, or no id) stay as they are.
+    apart = rows.where("n_shingles = 0 or component_id is null").select("doc_id", "text_key").distinct()
+    chosen = kept.unionByName(apart).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(chosen["kept_id"]) & (keyed["text_key"] == chosen["kept_key"])
+    out = keyed.join(chosen, same, "left_semi")
+    # Rows repeated whole are one document.
+    rank = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy(F.lit(1)))
+    return out.withColumn("rank", rank).where("rank = 1 or doc_id is null").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: repeated 100-byte strings are cut out; documents that nothing is left of go."""
+    importable(spark)
+    rows = suffix_dedup.repeats_removed(docs, carry=_carried(docs), as_text=True).where("n_bytes = 0 or kept != ''")
+    rows = rows.withColumn("text", F.when(F.col("n_bytes") > 0, F.col("kept")).otherwise(F.lit("")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("own_n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return _restored(rows, docs)
+
+
+def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with a window of a benchmark item go."""
+    importable(spark)
+    rows = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), carry=_carried(docs))
+    return _restored(rows.where(F.size("items") == 0), docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Harmonic packing of all that is left, into sequences of 2048 tokens."""
     importable(spark)
@@ -20,8 +78,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeats),
+    ("benchmark decontamination", decontaminate_documents),
     ("packing", pack),
 ]
+# Training, suffix sorting and tokenizing are beyond SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import documents, saved
+from roompulse.llm.storage import documents, own_columns, saved
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -121,25 +121,30 @@ def _pass(docs: DataFrame, items: list[tuple[int | None, str | None]], window: i
                         runs += list(zip(before[::2], before[1::2], strict=True))
                         hits[first + i] = [x for run in _merged(runs) for x in run]
                         found[first + i] = list({*found[first + i], *(scanner.ids[k] for k in owners)})
+            own = [c for c in batch.schema.names if c.startswith("own_")]
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"], batch["text"], pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64()),
-                pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.int64())),
-            ], names=["doc_id", "text", "n_words", "hits", "items"])
+                pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.int64())), *(batch[c] for c in own),
+            ], names=["doc_id", "text", "n_words", "hits", "items", *own])
 
-    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_words long, hits array<int>, items array<long>")
+    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_words long, hits array<int>, items array<long>"
+                           + own_columns(docs))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
                   id_col: str = "doc_id", text_col: str = "text",
-                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: its text, number of words, hit words as flat (first, end) runs, and items found."""
+                  item_id_col: str = "item_id", item_text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: its text, number of words, hit words as flat (first, end) runs, and items found.
+
+    Columns named in ``carry`` go along, with ``own_`` before their names.
+    """
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     size = F.size(F.split(F.col("text"), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+"))
     total = items.agg(F.sum(F.greatest(size, F.lit(1)))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    out = documents(docs, id_col, text_col).select(
-        "doc_id", "text", F.array().cast("array<int>").alias("hits"), F.array().cast("array<long>").alias("items"))
+    out = documents(docs, id_col, text_col, carry).select(
+        "*", F.array().cast("array<int>").alias("hits"), F.array().cast("array<long>").alias("items"))
     for block in range(blocks):
         rows = [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == block).collect()]
         if block:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import saved
+from roompulse.llm.storage import documents, own_columns, saved
 
 HIDDEN = 8
 SEGMENT = 64
@@ -234,9 +234,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 def predicted(docs: DataFrame, languages: list[str], weights: Weights, id_col: str = "doc_id", text_col: str = "text",
               carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred and score of each row, and the columns to carry with ``own_`` before their names."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"),
-                       *(F.col(c).alias(f"own_{c}") for c in carry))
+    rows = documents(docs, id_col, text_col, carry).withColumn("letters", F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*languages, UNKNOWN], dtype=object)
@@ -255,8 +253,7 @@ def predicted(docs: DataFrame, languages: list[str], weights: Weights, id_col: s
                 [batch["doc_id"], pa.array(names[best].tolist(), pa.string()), pa.array(score), *(batch[c] for c in own)],
                 names=["doc_id", "lang_pred", "score", *own])
 
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double" + "".join(
-        f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name.startswith("own_"))
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double" + own_columns(rows)
     return rows.mapInArrow(run, schema)
 
 

@@ -37,9 +37,14 @@ def dropped(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id and the text, under fixed names, so that other columns can't clash."""
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def documents(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The id and the text, under fixed names, so that other columns can't clash; those to carry along get ``own_`` before theirs."""
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in carry))
+
+
+def own_columns(df: DataFrame) -> str:
+    """The carried columns as the end of a schema string."""
+    return "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name.startswith("own_"))
 
 
 def importable(spark: SparkSession) -> None:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import finished, saved
+from roompulse.llm.storage import finished, own_columns, saved
 
 WIDTH = 100
 GRAM = 32
@@ -248,7 +248,7 @@ def _refine(width: int):
     return run
 
 
-def _cut_text(width: int):
+def _cut_text(width: int, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = bytetext.utf8(batch["text"])
@@ -269,23 +269,24 @@ def _cut_text(width: int):
                 spans.append(np.column_stack([begin, begin + length]).ravel().tolist())
                 kept.append(text[~gone].tobytes())
                 removed.append(int(gone.sum()))
+            own = [c for c in batch.schema.names if c.startswith("own_")]
+            out = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"], pa.array(np.diff(offsets)), pa.array(removed, pa.int64()),
-                pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary()),
-            ] + [batch[c] for c in batch.schema.names if c.startswith("own_")],
-                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"] + [c for c in batch.schema.names if c.startswith("own_")])
+                pa.array(spans, pa.list_(pa.int64())), out, *(batch[c] for c in own),
+            ], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", *own])
 
     return run
 
 
 def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
-                    carry: tuple[str, ...] = ()) -> DataFrame:
+                    carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, removed byte spans (flat first, end) and the bytes kept, one row per document row.
 
-    Columns named in ``carry`` go along, with ``own_`` before their names.
+    Columns named in ``carry`` go along, with ``own_`` before their names. With ``as_text`` what is kept is a string,
+    and a character of which a cut left only some bytes is left out of it.
     """
     spark = docs.sparkSession
-    # The carried columns come last into play: only the final join reads them.
     base = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"),
         F.hash(F.col(text_col)).alias("text_key"), *(F.col(c).alias(f"own_{c}") for c in carry))
@@ -316,11 +317,8 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     lists = saved(repeats.groupBy("doc_id", "text_key").agg(
         F.collect_set(F.struct("start", "windows")).alias("repeats")), "repeats")
     finished(spark)
-    own = [f for f in base.schema.fields if f.name.startswith("own_")]
-    schema = "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary" + "".join(
-        f", `{f.name}` {f.dataType.simpleString()}" for f in own)
-    out = base.join(lists, ["doc_id", "text_key"], "left").select("doc_id", "text", "repeats", *(f"`{f.name}`" for f in own)).mapInArrow(
-        _cut_text(width), schema)
+    schema = f"doc_id long, n_bytes long, n_removed long, spans array<long>, kept {'string' if as_text else 'binary'}" + own_columns(base)
+    out = base.join(lists, ["doc_id", "text_key"], "left").drop("text_key").mapInArrow(_cut_text(width, as_text), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 
 
