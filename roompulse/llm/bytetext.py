@@ -64,17 +64,30 @@ class Powers:
 
 
 _POWERS = Powers(0x8F14E45FCEEA1A6D)
+_LETTERS = mix(np.arange(256, dtype=np.uint64) + _ODD)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, from prefix sums of a polynomial."""
     up, down = _POWERS.upto(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((mix(np.arange(256, dtype=np.uint64) + _ODD))[data] * up[:len(data)], out=sums[1:])
+    np.cumsum(_LETTERS[data] * up[:len(data)], out=sums[1:])
     spans = (sums[ends] - sums[starts]) * down[starts]
     return mix(spans + (ends - starts).astype(np.uint64) * _ODD)
 
 
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of all spans of one size, in order."""
+    count = len(data) - size + 1
+    up, down = _POWERS.upto(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTERS[data] * up[:len(data)], out=sums[1:])
+    spans = sums[size:] - sums[:count]
+    spans *= down[:count]
+    spans += np.uint64(size * int(_ODD) & (1 << 64) - 1)
+    return mix(spans)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 

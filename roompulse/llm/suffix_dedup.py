@@ -7,8 +7,8 @@ smaller id, or earlier in the same one) is removed. Strings are judged on the in
    windows have equal anchors at equal places, so windows with different anchor grams need never meet. Neighbouring
    windows share an anchor; such a run is one row.
 2. Grams that occur once in the corpus are dropped: counts are summed per gram, then joined back.
-3. For each run left, the bytes that its windows cover (a snippet) are cut from the text. Equal snippets of a task are
-   combined first: all but the earliest are repeats.
+3. For each run left, the bytes that its windows cover (a snippet) are cut from the text. Equal snippets are combined before
+   and after the shuffle: all but the earliest are repeats, and only that one has to be sorted.
 4. Snippets meet by gram. A block of them is one text whose suffixes are sorted to depth ``width``: the first buckets are
    8-byte prefixes; then each bucket is refined by the bucket of the suffix at the offset reached so far, and since those
    pointers are the refined ones, the depth doubles with each round. Suffixes of one final bucket are equal
@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import finished, own_columns, saved
+from roompulse.llm.storage import dropped, finished, own_columns, saved
+from roompulse.workspace import new_folder
 
 WIDTH = 100
 GRAM = 32
@@ -59,10 +60,9 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray,
     grams = np.zeros(total, np.uint64)
     for first in range(0, total - width + 1, _STEP):
         part = data[first:first + _STEP + width - 1]
-        at = np.arange(len(part) - gram + 1)
-        hashes = bytetext.span_hashes(part, at, at + gram)
-        grams[first:first + len(at)] = hashes
-        least = (hashes & ~_PLACE) | at.astype(np.uint64)
+        hashes = bytetext.gram_hashes(part, gram)
+        grams[first:first + len(hashes)] = hashes
+        least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
         span, reach = width - gram + 1, 1
         while reach < span:
             step = min(reach, span - reach)
@@ -142,26 +142,30 @@ def _snippets(width: int):
         for batch in batches:
             data, offsets = bytetext.utf8(batch["text"])
             raw = memoryview(data.tobytes())
-            ids, keys = batch["doc_id"].to_pylist(), batch["text_key"].to_pylist()
+            lists = batch["runs"]
+            flat = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            place = flat.field("place").to_numpy()
+            begin = offsets[row] + (place >> 8)
+            columns = (
+                batch["doc_id"].to_numpy()[row], place >> 8, batch["text_key"].to_numpy()[row], place & 255,
+                flat.field("gram").to_numpy(), flat.field("salts").to_numpy(), begin, begin + (place & 255) - 1 + width)
             seen: dict[bytes, tuple] = {}
             again: list[tuple] = []
-            for i, lists in enumerate(batch["runs"].to_pylist()):
-                base = int(offsets[i])
-                for run_ in lists:
-                    start, windows = run_["place"] >> 8, run_["place"] & 255
-                    body = bytes(raw[base + start:base + start + windows - 1 + width])
-                    one = (ids[i], start, keys[i], windows, run_["gram"], run_["salts"])
-                    held = seen.get(body)
-                    if held is None:
-                        seen[body] = one
-                    elif held[:2] == one[:2]:  # the same place of a repeated row
-                        if held[2] != one[2]:
-                            again.append((*one, body))
-                    elif held[:2] <= one[:2]:
-                        again.append((*one, None))
-                    else:
-                        again.append((*held, None))
-                        seen[body] = one
+            for doc, start, key, windows, gram, salts, a, b in zip(*(c.tolist() for c in columns), strict=True):
+                body = bytes(raw[a:b])
+                one = (doc, start, key, windows, gram, salts)
+                held = seen.get(body)
+                if held is None:
+                    seen[body] = one
+                elif held[:2] == one[:2]:  # the same place of a repeated row
+                    if held[2] != key:
+                        again.append((*one, body))
+                elif held[:2] <= one[:2]:
+                    again.append((*one, None))
+                else:
+                    again.append((*held, None))
+                    seen[body] = one
             rows = [(*one, body) for body, one in seen.items()] + again
             salts = np.array([r[5] for r in rows], np.int64)
             docs = np.array([r[0] for r in rows], np.int64)
@@ -176,8 +180,27 @@ def _snippets(width: int):
     return run
 
 
+def _combined(rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The earliest of each set of equal snippets of a gram, and the others, which are repeats as a whole."""
+    docs, start = rows["doc_id"].to_pylist(), rows["start"].to_pylist()
+    earliest: dict[tuple, int] = {}
+    later = []
+    for i, key in enumerate(zip(rows["gram"].to_pylist(), rows["body"].to_pylist(), strict=True)):
+        held = earliest.setdefault(key, i)
+        if held != i:
+            if (docs[i], start[i]) < (docs[held], start[held]):
+                earliest[key] = i
+                later.append(held)
+            elif (docs[i], start[i]) > (docs[held], start[held]):
+                later.append(i)
+    alone = np.ones(rows.num_rows, bool)
+    alone[later] = False
+    return rows.filter(pa.array(alone)), rows.filter(pa.array(~alone))
+
+
 def _block(rows: pa.Table, width: int) -> pa.RecordBatch:
     """Repeated windows of a block of snippets (kind 0) and, of dealt grams, each bucket's first window (kind 1)."""
+    rows, later = _combined(rows)
     text, offsets = _binary(rows["body"])
     count = rows["windows"].to_numpy().astype(np.int64)
     bucket = suffix_buckets(text, offsets[:-1], count, width)
@@ -198,13 +221,14 @@ def _block(rows: pa.Table, width: int) -> pa.RecordBatch:
     begin = offsets[snippet[lead]] + inner[lead]
     raw = memoryview(text.tobytes())
     digests = [hashlib.blake2b(raw[b:b + width], digest_size=16).digest() for b in begin.tolist()]
-    n, m = len(first), len(lead)
+    n, m, whole = len(first), len(lead), later.num_rows
     pick = snippet[np.concatenate([first, lead])]
+    join = lambda own, name: pa.array(np.concatenate([own, later[name].to_numpy()]))
     return pa.RecordBatch.from_arrays([
-        pa.array(np.repeat(np.array([0, 1], np.int32), [n, m])), pa.array(gram[pick]),
-        pa.array([None] * n + digests, pa.binary()), pa.array(docs[pick]), pa.array(keys[pick]),
-        pa.array(at[np.concatenate([first, lead])]),
-        pa.array(np.concatenate([length, np.ones(m, np.int64)]).astype(np.int32)),
+        pa.array(np.repeat(np.array([0, 1, 0], np.int32), [n, m, whole])), join(gram[pick], "gram"),
+        pa.array([None] * n + digests + [None] * whole, pa.binary()), join(docs[pick], "doc_id"),
+        join(keys[pick], "text_key"), join(at[np.concatenate([first, lead])], "start"),
+        join(np.concatenate([length, np.ones(m, np.int64)]).astype(np.int32), "windows"),
     ], names=["kind", "gram", "digest", "doc_id", "text_key", "start", "windows"])
 
 
@@ -294,14 +318,16 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     anchors = texts.mapInArrow(_anchor_rows(width), "gram long, doc_id long, text_key int, place long")
     counts = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(
         "gram", F.ceil(F.col("n") / HOT_RUNS).cast("int").alias("salts"))
-    counts = saved(counts, "grams")
+    old = [new_folder(spark, "grams"), new_folder(spark, "runs")]
+    counts = saved(counts, "grams", old[0])
     finished(spark)
-    shared = saved(anchors.join(counts, "gram"), "runs")
+    shared = saved(anchors.join(counts, "gram"), "runs", old[1])
     finished(spark)
     lists = shared.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("gram", "salts", "place")).alias("runs"))
     found = saved(texts.join(lists, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "runs").mapInArrow(
         _snippets(width), FOUND), "snippets")
     finished(spark)
+    dropped(spark, *old)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     places = saved(
         found.where("kind = 0").repartition(tasks, "gram", "salt").sortWithinPartitions("gram", "salt")
