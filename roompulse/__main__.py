@@ -11,7 +11,7 @@ from roompulse.config import Settings
 from roompulse.operators.comfort_model import load
 from roompulse.operators.occupancy import DEVICES_PER_PERSON, SLIDE_SECONDS, WATERMARK, WINDOW_SECONDS
 from roompulse.plans import jobs
-from roompulse.session import build_session
+from roompulse.session import STATE_PARTITIONS, build_session
 from roompulse.workspace import shared_root
 
 
@@ -22,6 +22,9 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--stream-root", help="folder of the topics for a file format")
     top.add_argument("--index-format", default="es")
     top.add_argument("--index-root", help="folder of the indices for a file format")
+    top.add_argument("--starting-offsets", help="where a stream without a checkpoint begins: earliest, latest or JSON")
+    top.add_argument("--min-partitions", type=int, help="tasks that read a topic, at least")
+    top.add_argument("--state-partitions", type=int, help="partitions of a stream's state, fixed with its checkpoint")
     top.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
     top.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch at most")
     top.add_argument("--quiet", action="store_true", help="no console output of streams")
@@ -39,22 +42,25 @@ def parser() -> argparse.ArgumentParser:
     rooms.add_argument("--slide", type=int, default=SLIDE_SECONDS, help="seconds")
     rooms.add_argument("--watermark", default=WATERMARK)
     rooms.add_argument("--devices-per-person", type=float, default=DEVICES_PER_PERSON)
+    rooms.add_argument("--show-windows", action="store_true", help="all windows to the console; keeps them all in state")
     label = job.add_parser("label-log")
     label.add_argument("logs")
     label.add_argument("path")
     fit = job.add_parser("train")
     fit.add_argument("csv")
     fit.add_argument("--save")
+    fit.add_argument("--rejects", help="folder for rows without all features or a label")
     batch = job.add_parser("score-file")
     batch.add_argument("csv")
     batch.add_argument("model")
+    batch.add_argument("--rejects", help="folder for rows without all features")
     live = job.add_parser("live-scores")
     source = live.add_mutually_exclusive_group(required=True)
     source.add_argument("--model", help="folder of a saved model")
     source.add_argument("--train", help="training CSV to fit at start")
     live.add_argument("--strict", action="store_true", help="fail on readings with missing values")
     export = job.add_parser("export")
-    export.add_argument("index")
+    export.add_argument("index", nargs="+")
     export.add_argument("path")
     export.add_argument("--first", action="store_true", help="only the first 1,000 documents")
     return top
@@ -65,9 +71,13 @@ def main(arguments: list[str] | None = None) -> None:
     settings = Settings.from_env(
         stream_format=args.stream_format, stream_root=args.stream_root,
         index_format=args.index_format, index_root=args.index_root,
-        max_offsets_per_trigger=args.max_offsets, max_bytes_per_trigger=args.max_bytes,
+        starting_offsets=args.starting_offsets or ("earliest" if args.once else None),
+        min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets, max_bytes_per_trigger=args.max_bytes,
     )
-    spark = build_session("roompulse", settings.index_options())
+    conf = settings.index_options()
+    if args.state_partitions:
+        conf |= {STATE_PARTITIONS: str(args.state_partitions)}
+    spark = build_session("roompulse", conf)
     checkpoints = args.checkpoints or f"{shared_root(spark)}/roompulse"
     trigger = {"availableNow": True} if args.once else None
     console = not args.quiet
@@ -86,25 +96,30 @@ def main(arguments: list[str] | None = None) -> None:
         jobs.ingest_devices(spark, settings, checkpoints, console, trigger)
     elif args.job == "occupancy":
         jobs.occupancy(
-            spark, settings, checkpoints, console, trigger, args.form, watermark=args.watermark,
+            spark, settings, checkpoints, args.show_windows, trigger, args.form, watermark=args.watermark,
             window_seconds=args.window, slide_seconds=args.slide,
             devices_per_person=args.devices_per_person,
         )
     elif args.job == "label-log":
         jobs.label_log(spark, settings, args.logs, args.path, checkpoints, trigger)
     elif args.job == "train":
-        _, report, saved = jobs.train_model(spark, args.csv, args.save)
+        _, report, saved = jobs.train_model(spark, args.csv, args.save, args.rejects)
         report.confusion.show()
-        print(f"area under ROC {report.auc}, accuracy {report.accuracy}, saved {saved}")
+        print(f"area under ROC {report.auc}, accuracy {report.accuracy}, rejected {report.rejected}, saved {saved}")
     elif args.job == "score-file":
-        scored, confusion = jobs.score_file(spark, args.csv, args.model)
+        scored, confusion, rejected = jobs.score_file(spark, args.csv, args.model, args.rejects)
         confusion.show()
+        print(f"{rejected.count()} rows rejected")
         scored.show(100)
     elif args.job == "live-scores":
         model = load(args.model) if args.model else jobs.train_model(spark, args.train)[0]
         jobs.live_scores(spark, settings, model, checkpoints, args.strict, console, trigger)
     elif args.job == "export":
-        print(f"{jobs.export_index(spark, settings, args.index, args.path, args.first)} hits")
+        if len(args.index) == 1:
+            print(f"{jobs.export_index(spark, settings, args.index[0], args.path, args.first)} hits")
+        else:
+            for index, hits in jobs.export_indices(spark, settings, args.index, args.path, args.first).items():
+                print(f"{index}: {hits} hits")
 
     # A failure of any stream ends the job; with --once each stream ends by itself.
     if args.once:

@@ -20,6 +20,8 @@ ENV_TOPIC = "envData"
 MACS_TOPIC = "macs"
 ENV_INDEX = "envdata"
 RAW_SUFFIX = "_raw"
+# Closed windows have an index of their own, apart from the scored readings.
+OCCUPANCY_SUFFIX = "_occupancy"
 
 
 @dataclass(frozen=True)
@@ -28,6 +30,8 @@ class Settings:
 
     ``stream_format`` is ``kafka`` or a file format; a file format reads and writes topics as
     folders below ``stream_root``. ``index_format`` is ``es`` or a file format below ``index_root``.
+    ``starting_offsets`` is where a stream without a checkpoint begins (the bus's default is the latest
+    message), ``min_partitions`` the number of tasks that read a topic at least.
     ``max_offsets_per_trigger`` (messages) and ``max_bytes_per_trigger`` (files) bound a micro-batch
     when a stream has to catch up.
     """
@@ -42,6 +46,8 @@ class Settings:
     index_format: str = "es"
     index_root: str | None = None
     fail_on_data_loss: bool = False
+    starting_offsets: str | None = None
+    min_partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     max_bytes_per_trigger: int | None = None
 
@@ -72,9 +78,14 @@ class Settings:
             "subscribe": topic,
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
         }
+        if self.min_partitions is not None:
+            options["minPartitions"] = str(self.min_partitions)
         if from_beginning:
             options["startingOffsets"] = "earliest"
-        elif self.max_offsets_per_trigger is not None:
+            return options
+        if self.starting_offsets is not None:
+            options["startingOffsets"] = self.starting_offsets
+        if self.max_offsets_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         return options
 

@@ -72,6 +72,22 @@ def to_json_value(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*chosen), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def stamped_records(
+    lines: DataFrame, value: str = "value", name: str = "timestamp", without: tuple[str, ...] = ()
+) -> DataFrame:
+    """Whole records with the time of ingestion added, as JSON text in ``value``.
+
+    Every key of a JSON object is passed on with its own type, declared or not, except those in ``without``;
+    a time of its own is replaced. A line that is no JSON object becomes a record with the line under ``log``.
+    """
+    text = message_text(value)
+    now = F.parse_json((F.unix_micros(F.current_timestamp()) / F.lit(1e6)).cast("decimal(20,6)").cast("string"))
+    record = F.when(F.regexp_like(text, F.lit(r"^\s*\{")), F.from_json(text, "map<string,variant>"))
+    record = F.coalesce(record, F.create_map(F.lit("log"), F.try_parse_json(F.to_json(F.array(text))).cast("array<variant>")[0]))
+    kept = F.map_filter(record, lambda key, _: ~key.isin(name, *without))
+    return lines.select(F.to_json(F.map_concat(kept, F.create_map(F.lit(name), now))).alias("value"))
+
+
 def with_ingest_time(df: DataFrame, name: str = "timestamp") -> DataFrame:
     """Add the time of ingestion as epoch seconds, the same for all rows of a batch."""
     return df.withColumn(name, F.unix_micros(F.current_timestamp()) / F.lit(1e6))

@@ -21,9 +21,12 @@ QUALITY_GATE = 0.5
 
 @dataclass(frozen=True)
 class Report:
+    """Measures on the test rows; ``rejected`` counts rows that could be neither trained on nor tested."""
+
     auc: float
     accuracy: float
     confusion: DataFrame
+    rejected: int = 0
 
 
 def assembler(features: list[str] | None = None) -> VectorAssembler:
@@ -43,8 +46,8 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df)
 
 
-def evaluate(scored: DataFrame, label: str = "comfortable", bins: int = 1000) -> Report:
-    """Two passes over the scored rows: the confusion counts, a handful of rows, and the ROC curve."""
+def evaluate(scored: DataFrame, label: str = "comfortable", bins: int = 0) -> Report:
+    """Exact area under the curve; ``bins`` above 0 allow an approximation. Two passes over the scored rows: the confusion counts, a handful of rows, and the ROC curve."""
     rows = scored.select(F.col(label).cast("double").alias("label"), "rawPrediction", "prediction")
     counts = confusion_counts(rows)
     confusion = scored.sparkSession.createDataFrame(counts.collect(), counts.schema)
@@ -82,5 +85,14 @@ def complete_and_rejected(df: DataFrame, features: list[str] | None = None) -> t
     return df.filter(whole), df.filter(~whole)
 
 
+def usable_and_rejected(
+    df: DataFrame, label: str = "comfortable", features: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with all features and a label of 0 or 1, and the others."""
+    known = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    complete, incomplete = complete_and_rejected(df, features)
+    return complete.filter(known), incomplete.unionByName(complete.filter(~known))
+
+
 def with_prediction_text(scored: DataFrame) -> DataFrame:
     return scored.withColumn("prediction_str", prediction_text())

@@ -5,18 +5,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, RAW_SUFFIX, Settings
+from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX, RAW_SUFFIX, Settings
 from roompulse.functions.ingest import (
-    iso_text, parse_messages, parse_readings, with_document_id, with_ingest_time,
+    iso_text, parse_readings, stamped_records, with_document_id,
 )
 from roompulse.functions.scoring import LinearModel
 from roompulse.operators.comfort_model import (
-    Report, evaluate, linear_model, load, save_if_good, score, train,
+    Report, complete_and_rejected, evaluate, linear_model, load, save_if_good, score, train, usable_and_rejected,
 )
 from roompulse.operators.evaluation import confusion_counts
 from roompulse.operators.export import EXPORT_ROWS, first_documents
@@ -25,14 +27,16 @@ from roompulse.schemas import (
     DEVICE_SIGHTING, DOCUMENT_ID, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW,
 )
 from roompulse.sinks.batch import write_csv, write_json_lines, write_topic
-from roompulse.sinks.stream import start, to_batches, to_console, to_csv, to_index, to_topic
+from roompulse.sinks.stream import start, to_batches, to_console, to_index, to_topic
 from roompulse.sources.files import read_appended_csv, read_lines, stream_lines, two_field_rows
 from roompulse.sources.index import read_index
 from roompulse.sources.topics import replay_topic, stream_topic
-from roompulse.streaming.labelling import labelled_readings
+from roompulse.streaming.labelling import label_batches
 from roompulse.streaming.occupancy import approximate_windows, exact_windows, sketched_windows
-from roompulse.streaming.outputs import console_output, fan_out, index_output, topic_output
-from roompulse.streaming.routing import route_batches
+from roompulse.streaming.outputs import (
+    console_output, csv_output, fan_out, index_output, table_output, topic_output,
+)
+from roompulse.streaming.routing import route_records
 from roompulse.streaming.scoring import score_batches
 
 Trigger = dict | None
@@ -51,18 +55,18 @@ def _log_lines(spark: SparkSession, settings: Settings, logs: str) -> DataFrame:
 def ship_log(
     spark: SparkSession, settings: Settings, logs: str, checkpoints: str, trigger: Trigger = None
 ) -> StreamingQuery:
-    """Follow a folder of JSON logs and publish every reading, stamped with the time of ingestion."""
-    rows = with_ingest_time(parse_messages(_log_lines(spark, settings, logs), ROOM_READING))
-    return start(to_topic(rows, "ship_log", checkpoints, settings), spark, trigger)
+    """Follow a folder of JSON logs and publish every record whole, stamped with the time of ingestion."""
+    rows = stamped_records(_log_lines(spark, settings, logs))
+    return start(to_topic(rows, "ship_log", checkpoints, settings, whole=True), spark, trigger)
 
 
 def route_log(
     spark: SparkSession, settings: Settings, logs: str, checkpoints: str, trigger: Trigger = None
 ) -> StreamingQuery:
-    """Follow a folder of JSON logs and publish environment and device readings to their topics."""
-    rows = with_ingest_time(parse_messages(_log_lines(spark, settings, logs), ROOM_READING))
-    routes = route_batches(topic_output(settings, ENV_TOPIC), topic_output(settings, MACS_TOPIC))
-    return start(to_batches(rows, "route_log", checkpoints, routes), spark, trigger)
+    """Follow a folder of JSON logs and publish each record twice, without its device and its sensor keys."""
+    routes = route_records(topic_output(settings, ENV_TOPIC, True), topic_output(settings, MACS_TOPIC, True))
+    lines = _log_lines(spark, settings, logs)
+    return start(to_batches(lines, "route_log", checkpoints, routes), spark, trigger)
 
 
 def publish_scans(spark: SparkSession, settings: Settings, path: str) -> None:
@@ -120,15 +124,16 @@ def occupancy(
     spark: SparkSession,
     settings: Settings,
     checkpoints: str,
-    console: bool = True,
+    console: bool = False,
     trigger: Trigger = None,
     form: str = "approx",
     **window_options,
 ) -> list[StreamingQuery]:
-    """Closed windows to the index; all windows, newest first, to the console.
+    """Closed windows to an index of their own, ``<index>_occupancy``; with ``console`` all windows to it too.
 
     ``form`` chooses how the index's devices are counted; ``window_options`` are those of the forms.
-    Complete mode keeps every window's sketch, so the console is for looking, not for storing.
+    Complete mode keeps every window's sketch for ever and reads the topic again, so the console is
+    off unless asked for; the newest windows are those of the index, latest start first.
     """
     sightings = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
     windows = OCCUPANCY_FORMS[form](sightings, **window_options)
@@ -136,7 +141,8 @@ def occupancy(
     if settings.index_format == "es":
         id_column = DOCUMENT_ID
         windows = windows.withColumn(DOCUMENT_ID, iso_text("start"))
-    writer = to_index(windows, "occupancy", checkpoints, settings, id_column=id_column)
+    index = settings.index + OCCUPANCY_SUFFIX
+    writer = to_index(windows, "occupancy", checkpoints, settings, index, id_column)
     queries = [start(writer, spark, trigger)]
     if console:
         newest = approximate_windows(sightings, **window_options).orderBy(F.col("start").desc())
@@ -149,28 +155,46 @@ def label_log(
     spark: SparkSession, settings: Settings, logs: str, path: str, checkpoints: str,
     trigger: Trigger = None,
 ) -> StreamingQuery:
-    """Follow a folder of JSON logs and append labelled training rows to CSV files."""
-    rows = labelled_readings(_log_lines(spark, settings, logs))
-    return start(to_csv(rows, "label_log", checkpoints, path), spark, trigger)
+    """Follow a folder of JSON logs and append labelled training rows to CSV files.
+
+    Lines without all sensor values go to ``<path>_rejected`` as they came.
+    """
+    both = label_batches(csv_output(path), table_output(f"{path}_rejected"))
+    lines = _log_lines(spark, settings, logs)
+    return start(to_batches(lines, "label_log", checkpoints, both), spark, trigger)
 
 
 def train_model(
-    spark: SparkSession, training_csv: str, model_path: str | None = None
+    spark: SparkSession, training_csv: str, model_path: str | None = None, rejects: str | None = None
 ) -> tuple[PipelineModel, Report, bool]:
-    """Split, fit, evaluate on the held-out rows, and save when the model beats the gate."""
-    rows = read_appended_csv(spark, training_csv, TRAINING_ROW).dropna()
-    train_rows, test_rows = random_split(rows)
+    """Split, fit, evaluate on the held-out rows, and save when the model beats the gate.
+
+    Rows without all features or a label of 0 or 1 are counted in the report, and written to ``rejects``.
+    """
+    rows = read_appended_csv(spark, training_csv, TRAINING_ROW, text="line")
+    usable, rejected = usable_and_rejected(rows)
+    if rejects is not None:
+        write_csv(rejected, rejects)
+    train_rows, test_rows = random_split(usable.drop("line"))
     model = train(train_rows)
-    report = evaluate(score(test_rows, model))
+    report = replace(evaluate(score(test_rows, model)), rejected=rejected.count())
     saved = model_path is not None and save_if_good(model, report, model_path)
     return model, report, saved
 
 
-def score_file(spark: SparkSession, csv: str, model_path: str) -> tuple[DataFrame, DataFrame]:
-    """Score labelled rows with a saved model: the scored rows, and their confusion counts."""
-    rows = read_appended_csv(spark, csv, TRAINING_ROW).dropna()
-    scored = score(rows, load(model_path))
-    return scored, confusion_counts(scored, "comfortable")
+def score_file(
+    spark: SparkSession, csv: str, model_path: str, rejects: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Score rows with a saved model: the scored rows, their confusion counts, and the rejected rows.
+
+    A row needs all features to be scored; one without a label is scored too, and counted under NULL.
+    """
+    rows = read_appended_csv(spark, csv, TRAINING_ROW, text="line")
+    complete, rejected = complete_and_rejected(rows)
+    if rejects is not None:
+        write_csv(rejected, rejects)
+    scored = score(complete.drop("line"), load(model_path))
+    return scored, confusion_counts(scored, "comfortable"), rejected
 
 
 def live_scores(
@@ -201,6 +225,18 @@ def export_index(
 ) -> int:
     """Export an index as quoted CSV: all documents, or only the first 1,000. Returns the total."""
     documents = read_index(spark, settings, index)
-    total = documents.count()
-    write_csv(first_documents(documents, documents.columns, EXPORT_ROWS) if first else documents, path)
-    return total
+    if first:
+        total = documents.count()
+        write_csv(first_documents(documents, documents.columns, EXPORT_ROWS), path)
+        return total
+    # One scan: the rows are counted while they are written.
+    counted = Observation()
+    write_csv(documents.observe(counted, F.count(F.lit(1)).alias("hits")), path)
+    return counted.get["hits"]
+
+
+def export_indices(
+    spark: SparkSession, settings: Settings, indices: list[str], path: str, first: bool = False
+) -> dict[str, int]:
+    """Several indices, each to a folder of its name below ``path``; the totals by index."""
+    return {index: export_index(spark, settings, index, f"{path}/{index}", first) for index in indices}

@@ -28,6 +28,9 @@ STATE_STORE_CONF = {
 }
 
 
+STATE_PARTITIONS = "spark.roompulse.statePartitions"
+
+
 def build_session(app_name: str = "roompulse", conf: Mapping[str, str] | None = None) -> SparkSession:
     """A session for spark-submit; master and resources come from the submit command."""
     builder = SparkSession.builder.appName(app_name)
@@ -55,8 +58,9 @@ def session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]
 def state_conf(spark: SparkSession) -> dict[str, str]:
     """Settings for a stateful stream.
 
-    The number of state partitions is fixed for the life of a checkpoint, and AQE does not change
-    it, so it follows the cluster's cores and not the session's shuffle default.
+    The number of state partitions is fixed for the life of a checkpoint, and AQE does not change it. It is
+    the setting ``STATE_PARTITIONS`` where that is given, else the session's shuffle partitions (200 unless
+    set): never what happens to have registered when the job starts.
     """
-    partitions = max(1, spark.sparkContext.defaultParallelism)
+    partitions = spark.conf.get(STATE_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
     return {**STATE_STORE_CONF, "spark.sql.shuffle.partitions": str(partitions)}

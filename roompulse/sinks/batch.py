@@ -30,10 +30,10 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
-def write_topic(df: DataFrame, settings: Settings, topic: str | None = None) -> None:
-    """Publish rows as JSON values."""
+def write_topic(df: DataFrame, settings: Settings, topic: str | None = None, whole: bool = False) -> None:
+    """Publish rows as JSON values; ``whole`` rows have their JSON text in ``value`` already."""
     topic = topic or settings.topic
-    messages = to_json_value(df)
+    messages = df if whole else to_json_value(df)
     if settings.stream_format == "kafka":
         messages.write.format("kafka").options(**settings.kafka_sink_options(topic)).save()
     else:

@@ -71,11 +71,12 @@ def to_index(
 
 
 def to_topic(
-    df: DataFrame, name: str, checkpoint_root: str, settings: Settings, topic: str | None = None
+    df: DataFrame, name: str, checkpoint_root: str, settings: Settings, topic: str | None = None,
+    whole: bool = False,
 ) -> DataStreamWriter:
-    """Publish rows as JSON values."""
+    """Publish rows as JSON values; ``whole`` rows have their JSON text in ``value`` already."""
     topic = topic or settings.topic
-    messages = to_json_value(df)
+    messages = df if whole else to_json_value(df)
     if settings.stream_format == "kafka":
         return (
             _writer(messages, name, checkpoint_root, "append")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,29 +10,69 @@ from pyspark.sql import types as T
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True
 ) -> DataFrame:
-    """CSV with a header row. Without a schema the types are inferred, at the price of one more scan."""
+    """CSV with a header row. Without a schema the types are inferred, at the price of one more scan.
+
+    With a schema, columns are found by their header names, in whatever order the file has them; other
+    columns are left out, and a missing one fails. A file whose header differs from the first one's fails too.
+    """
     reader = spark.read.option("header", header).option("escape", '"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    names = reader.csv(path).columns
+    missing = [name for name in schema.fieldNames() if name not in names]
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    types = {field.name: field for field in schema}
+    in_file = T.StructType([types.get(name, T.StructField(name, T.StringType(), True)) for name in names])
+    rows = reader.option("enforceSchema", False).schema(in_file).csv(path)
+    return rows.select(*schema.fieldNames())
+
 
+# A writer's folders per batch are no columns of the rows.
+_APPENDED = {"header": "false", "escape": '"', "recursiveFileLookup": "true"}
 
-def read_appended_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+
+def read_appended_csv(
+    spark: SparkSession, path: str, schema: T.StructType, text: str | None = None
+) -> DataFrame:
     """CSV that writers appended to, so header rows may stand anywhere in a file.
 
-    Rows are read as text, the header rows are filtered out, and each column is cast with
-    ``try_cast``: a bad value nulls its own column and never drops a row.
+    The first line's names give the order of the columns; without names there it is the schema's. Rows are
+    read as text, the header rows are filtered out, and each column is cast with ``try_cast``: a bad value
+    nulls its own column and never drops a row. Whole numbers may be written as decimals. A later header
+    row with another order fails. ``text`` names a column for the fields as they were read.
     """
-    names = schema.fieldNames()
+    names = _first_names(spark, path, schema)
     text_schema = T.StructType([T.StructField(name, T.StringType(), True) for name in names])
-    rows = spark.read.schema(text_schema).option("header", False).option("escape", '"').csv(path)
+    rows = spark.read.schema(text_schema).options(**_APPENDED).csv(path)
     is_header = F.lit(True)
     for name in names:
         is_header = is_header & F.col(name).eqNullSafe(name)
-    typed = [
-        F.trim(F.col(field.name)).try_cast(field.dataType).alias(field.name) for field in schema
-    ]
-    return rows.filter(~is_header).select(*typed)
+    permuted = F.array_sort(F.array(*names)) == F.array(*[F.lit(name) for name in sorted(names)])
+    checked = F.when(permuted, F.raise_error(F.lit(f"a header row of {path} has another order of columns")).cast("boolean"))
+    rows = rows.filter(~is_header).filter(F.coalesce(checked, F.lit(True)))
+    typed = [_typed(field).alias(field.name) for field in schema]
+    if text is not None:
+        typed.append(F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in names]).alias(text))
+    return rows.select(*typed)
+
+
+def _first_names(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
+    """The columns in the order of the file's first line, if that is a header row."""
+    first = spark.read.options(**_APPENDED).csv(path).first()
+    found = [str(name).strip() for name in first] if first is not None else []
+    names = schema.fieldNames()
+    return found if set(names) <= set(found) and len(set(found)) == len(found) else names
+
+
+def _typed(field: T.StructField) -> Column:
+    value = F.trim(F.col(field.name))
+    if not isinstance(field.dataType, T.IntegralType):
+        return value.try_cast(field.dataType)
+    number = value.try_cast("double")
+    return F.coalesce(value.try_cast(field.dataType), F.when(number == F.floor(number), number).try_cast(field.dataType))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,8 @@ from roompulse.config import Settings
 from roompulse.functions.ingest import to_json_value
 from roompulse.schemas import DOCUMENT_ID
 from roompulse.sinks.batch import write_index, write_topic
-from roompulse.sinks.stream import BatchFunction, write_batch
+from roompulse.sources.index import OWN_BATCH_ID
+from roompulse.sinks.stream import BatchFunction, batch_folder, write_batch
 
 
 def fan_out(outputs: Sequence[BatchFunction]) -> BatchFunction:
@@ -47,6 +48,15 @@ def console_output(rows: int = 20) -> BatchFunction:
     return write
 
 
+def csv_output(path: str) -> BatchFunction:
+    """A fan-out branch into quoted CSV files with headers; a replayed batch replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").option("header", True).option("escape", '"').csv(batch_folder(path, batch_id))
+
+    return write
+
+
 def index_output(settings: Settings, index: str | None = None) -> BatchFunction:
     """A fan-out branch into an index; a replayed batch replaces what it wrote before.
 
@@ -59,20 +69,20 @@ def index_output(settings: Settings, index: str | None = None) -> BatchFunction:
             id_column = DOCUMENT_ID if DOCUMENT_ID in batch.columns else None
             write_index(batch, settings, index, id_column)
         else:
-            rows = batch.drop(DOCUMENT_ID)
+            rows = batch.drop(DOCUMENT_ID).withColumnRenamed("batch_id", OWN_BATCH_ID)
             write_batch(rows, settings.index_path(index), batch_id, settings.index_format)
 
     return write
 
 
-def topic_output(settings: Settings, topic: str) -> BatchFunction:
+def topic_output(settings: Settings, topic: str, whole: bool = False) -> BatchFunction:
     """A fan-out branch into a topic; a message bus takes a replayed batch twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if settings.stream_format == "kafka":
-            write_topic(batch, settings, topic)
+            write_topic(batch, settings, topic, whole)
         else:
-            values = to_json_value(batch).select(F.col("value").cast("binary").alias("value"))
+            values = (batch if whole else to_json_value(batch)).select(F.col("value").cast("binary").alias("value"))
             write_batch(values, settings.topic_path(topic), batch_id, settings.stream_format)
 
     return write

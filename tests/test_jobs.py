@@ -46,8 +46,10 @@ def test_log_to_scores(spark, tmp_path, settings, capfd):
     wait(jobs.label_log(spark, settings, logs, f"{tmp_path}/training", checkpoints, ONCE))
     model, report, saved = jobs.train_model(spark, f"{tmp_path}/training", f"{tmp_path}/model")
     assert saved and report.auc > 0.5
-    scored, confusion = jobs.score_file(spark, f"{tmp_path}/training", f"{tmp_path}/model")
-    assert scored.count() == 50
+    assert report.rejected == 0
+    assert spark.read.parquet(f"{tmp_path}/training_rejected").count() == 2
+    scored, confusion, rejected = jobs.score_file(spark, f"{tmp_path}/training", f"{tmp_path}/model")
+    assert scored.count() == 50 and rejected.count() == 0
     assert sum(r["count"] for r in confusion.collect()) == 50
 
     wait(jobs.live_scores(spark, settings, model, checkpoints, trigger=ONCE))
@@ -106,7 +108,7 @@ def test_occupancy_job(spark, tmp_path, settings, form):
         window_seconds=60, slide_seconds=20, devices_per_person=2,
     )
     wait(queries)
-    windows = read_index(spark, settings)
+    windows = read_index(spark, settings, "room_occupancy")
     assert windows.columns == ["start", "end", "distinct_macs", "approx_people"]
     # Six readings of six devices in each whole window.
     middle = windows.filter("start >= timestamp'1970-01-01 00:05:00'")
@@ -131,3 +133,55 @@ def test_short_export(spark, tmp_path, settings):
     jobs_rows.write.parquet(settings.index_path("big"))
     assert jobs.export_index(spark, settings, "big", f"{tmp_path}/csv", first=True) == 1500
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").count() == 1000
+
+
+def test_shipping_keeps_undeclared_keys_types_and_bad_lines(spark, tmp_path, settings):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    lines = ['{"mac":"m","rssi":-1,"co2":400,"light":"7","n":{"a":[1,null]}}', "garbage", '{"timestamp":3}']
+    (folder / "a.log").write_text("\n".join(lines) + "\n")
+    wait(jobs.ship_log(spark, settings, str(folder), f"{tmp_path}/cp", ONCE))
+    messages = [json.loads(bytes(r["value"])) for r in replay_topic(spark, settings).collect()]
+    assert all(m.pop("timestamp") > 1.7e9 for m in messages)
+    assert sorted(messages, key=str) == sorted(
+        [{"mac": "m", "rssi": -1, "co2": 400, "light": "7", "n": {"a": [1, None]}}, {"log": "garbage"}, {}], key=str)
+    wait(jobs.route_log(spark, settings, str(folder), f"{tmp_path}/cp", ONCE))
+    routed = {topic: [json.loads(bytes(r["value"])) for r in replay_topic(spark, settings, topic).collect()]
+              for topic in ("envData", "macs")}
+    assert any(m.get("co2") == 400 and "mac" not in m and m["light"] == "7" for m in routed["envData"])
+    assert any(m.get("co2") == 400 and m["mac"] == "m" and "light" not in m for m in routed["macs"])
+
+
+def test_training_and_scoring_count_what_they_reject(spark, tmp_path, settings):
+    good = [f"{h},{t},{lux},{int(h < 60)}" for h, t, lux in ((30 + i % 60, 20 + i % 7, 10.0 * i) for i in range(200))]
+    odd = [",21,5,1", "40,x,5,1", "40,21,5,", "40,21,5,2"]
+    decimal = ["40.0,21,5,1.0"]
+    path = tmp_path / "training.csv"
+    path.write_text("\n".join(["humidity,temperature,light,comfortable", *good, *odd, *decimal]) + "\n")
+    model, report, saved = jobs.train_model(spark, str(path), f"{tmp_path}/model", f"{tmp_path}/rejects")
+    assert saved and report.rejected == 4 and report.auc > 0.95
+    rejects = spark.read.option("header", True).csv(f"{tmp_path}/rejects")
+    assert {r["line"] for r in rejects.collect()} == set(odd)
+    scored, _, rejected = jobs.score_file(spark, str(path), f"{tmp_path}/model")
+    # Without a label a row is still scored; kept and rejected are the input.
+    assert (scored.count(), rejected.count()) == (203, 2)
+    assert scored.filter("humidity = 40 and comfortable = 1 and light = 5").count() == 1
+
+
+def test_scores_and_occupancy_share_settings(spark, tmp_path, settings):
+    logs, checkpoints = write_log(tmp_path), f"{tmp_path}/cp"
+    wait(jobs.ship_log(spark, settings, logs, checkpoints, ONCE))
+    from roompulse.plans.batch import FIXED_MODEL as model
+
+    wait(jobs.live_scores(spark, settings, model, checkpoints, console=False, trigger=ONCE))
+    wait(jobs.occupancy(spark, settings, checkpoints, trigger=ONCE))
+    assert read_index(spark, settings).count() == 50
+    assert "prediction" in read_index(spark, settings).columns
+    assert "distinct_macs" in read_index(spark, settings, "room_occupancy").columns
+
+
+def test_export_of_several_indices(spark, tmp_path, settings):
+    for name, rows in (("a", 3), ("b", 4)):
+        spark.range(rows).write.parquet(settings.index_path(name))
+    assert jobs.export_indices(spark, settings, ["a", "b"], f"{tmp_path}/csv") == {"a": 3, "b": 4}
+    assert spark.read.option("header", True).csv(f"{tmp_path}/csv/b").count() == 4

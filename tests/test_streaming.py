@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from roompulse.session import STATE_PARTITIONS, state_conf
 from roompulse.functions.ingest import parse_readings
 from roompulse.operators.carry_forward import carry_forward
 from roompulse.operators.occupancy import approximate_occupancy, exact_occupancy, sketched_occupancy
@@ -198,16 +199,25 @@ def test_carry_forward_over_batches_and_a_replay(spark, tmp_path):
     assert sorted(map(tuple, got.select(expected.columns).collect())) == sorted(map(tuple, expected.collect()))
 
 
-def test_state_partitions_follow_the_cores(spark, tmp_path):
+def test_state_partitions_are_a_setting_and_outlive_a_restart(spark, tmp_path):
+    def state_partitions(rows):
+        stream = deliver(spark, rows, f"{tmp_path}/in")
+        query = drain(to_files(exact_windows(stream), "q", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+        return {op.numShufflePartitions for op in query.lastProgress.stateOperators}
+
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set(STATE_PARTITIONS, "5")
     try:
-        stream = deliver(spark, [("a", 0.0)], f"{tmp_path}/in")
-        query = drain(to_files(exact_windows(stream), "q", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
-        cores = spark.sparkContext.defaultParallelism
-        assert {op.numShufflePartitions for op in query.lastProgress.stateOperators} == {cores}
+        assert state_conf(spark)["spark.sql.shuffle.partitions"] == "5"
+        assert state_partitions([("a", 0.0)]) == {5}
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+        spark.conf.unset(STATE_PARTITIONS)
+        assert state_conf(spark)["spark.sql.shuffle.partitions"] == "3"
+        # The checkpoint keeps its own number.
+        assert state_partitions([("b", 400.0)]) == {5}
     finally:
+        spark.conf.unset(STATE_PARTITIONS)
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
