@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 
 from roompulse.config import Settings
+from roompulse.functions.logs import LOG_PATTERNS
 from roompulse.operators.comfort_model import load
 from roompulse.operators.occupancy import DEVICES_PER_PERSON, SLIDE_SECONDS, WATERMARK, WINDOW_SECONDS
 from roompulse.plans import jobs
@@ -59,6 +60,11 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--model", help="folder of a saved model")
     source.add_argument("--train", help="training CSV to fit at start")
     live.add_argument("--strict", action="store_true", help="fail on readings with missing values")
+    parse = job.add_parser("parse-logs")
+    parse.add_argument("logs")
+    parse.add_argument("format", choices=[*LOG_PATTERNS, "logfmt"])
+    parse.add_argument("path")
+    parse.add_argument("--fields", nargs="*", help="keys of logfmt lines to keep")
     export = job.add_parser("export")
     export.add_argument("index", nargs="+")
     export.add_argument("path")
@@ -114,6 +120,8 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "live-scores":
         model = load(args.model) if args.model else jobs.train_model(spark, args.train)[0]
         jobs.live_scores(spark, settings, model, checkpoints, args.strict, console, trigger)
+    elif args.job == "parse-logs":
+        jobs.parse_logs(spark, args.logs, args.format, args.path, args.fields)
     elif args.job == "export":
         if len(args.index) == 1:
             print(f"{jobs.export_index(spark, settings, args.index[0], args.path, args.first)} hits")

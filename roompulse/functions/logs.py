@@ -51,6 +51,9 @@ ISO_TIMES = {
 }
 LOGFMT_PAIR = r'([^\s=]+)=("[^"]*"|\S*)'
 
+# Cheap conditions that every matching line meets. A pattern that backtracks for long on other lines is
+# run only where they hold.
+NECESSARY = {"kube-custom": r"-[a-z0-9]{64}\.log$"}
 SEPARATOR = "\u0001"
 
 
@@ -90,20 +93,38 @@ def group_values(line: Column, fmt: LogFormat) -> Column:
     return F.when(F.contains(line, F.lit(SEPARATOR)), by_group).otherwise(by_split)
 
 
-def parse_log(lines: DataFrame, name: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """The matching lines' fields as text, and the lines that do not match.
+def matched_log(lines: DataFrame, name: str, value: str = "value") -> DataFrame:
+    """Each line with ``matched`` and its ``fields`` as text, in one pass over the lines.
 
     A field that is empty, or whose optional part is missing, is NULL. The generator keeps the
     optimizer from copying the regular expression into every field.
     """
+    if name == "logfmt":
+        raise ValueError("logfmt has no fixed fields: use matched_logfmt")
     fmt = log_format(name)
-    grouped = lines.select(value, F.explode(F.array(group_values(F.col(value), fmt))).alias("groups"))
+    values = group_values(F.col(value), fmt)
+    if name in NECESSARY:
+        values = F.when(F.regexp_like(value, F.lit(NECESSARY[name])), values)
+    grouped = lines.select(value, F.explode(F.array(values)).alias("groups"))
     matches = F.coalesce(F.size("groups") == fmt.groups, F.lit(False))
     fields = [
         F.nullif(F.get("groups", F.lit(number - 1)), F.lit("")).alias(field)
         for field, number in fmt.fields.items()
     ]
-    return grouped.filter(matches).select(*fields), grouped.filter(~matches).select(value)
+    return grouped.select(value, matches.alias("matched"), F.when(matches, F.struct(*fields)).alias("fields"))
+
+
+def parse_log(lines: DataFrame, name: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """The matching lines' fields, and the lines that do not match; ``matched_log`` gives both in one pass."""
+    both = matched_log(lines, name, value)
+    return both.filter("matched").select("fields.*"), both.filter("not matched").select(value)
+
+
+def matched_logfmt(lines: DataFrame, names: list[str], value: str = "value") -> DataFrame:
+    """As ``matched_log``, for ``key=value`` lines; a line without any pair does not match."""
+    matches = F.coalesce(F.regexp_like(value, F.lit(LOGFMT_PAIR)), F.lit(False))
+    fields = F.struct(*logfmt_fields(value, names))
+    return lines.select(value, matches.alias("matched"), F.when(matches, fields).alias("fields"))
 
 
 def clf_timestamp(text: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from roompulse.operators.occupancy import (
     approximate_occupancy, exact_occupancy, latest_windows, sketched_occupancy,
 )
 from roompulse.operators.routing import device_route, environment_route
-from roompulse.operators.split import in_train, random_split
+from roompulse.operators.split import TRAIN_SHARE, in_train, random_split
 from roompulse.plans.catalog import READINGS_SQL, query
 from roompulse.plans.readings import (
     epoch_seconds, events, mac, messages, readings, rssi, sightings, table,
@@ -209,10 +210,26 @@ def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time_text(parse_readings(replay_topic(spark, settings), ROOM_READING))
 
 
-@query()
+@query(READINGS_SQL + "SELECT event_id, mac, rssi, temperature, humidity, light, TRUE AS in_run FROM readings")
 def ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings with the time of ingestion in place of their own."""
-    return with_ingest_time(readings(events(spark, sf_dir)).drop("timestamp"))
+    """Readings with the time of ingestion in place of their own: it lies within the run."""
+    begun = time.time()
+    stamped = with_ingest_time(readings(events(spark, sf_dir)).drop("timestamp"))
+    in_run = F.col("timestamp").between(begun - 1, F.unix_micros(F.current_timestamp()) / F.lit(1e6) + 1)
+    return stamped.withColumn("in_run", in_run).drop("timestamp")
+
+
+@query("SELECT event_id % 7 AS comfortable, value AS humidity, event_id::DOUBLE AS light, value * 2 AS temperature FROM events")
+def csv_scan_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with the columns in another order, and one more: they are found by name, by both readers."""
+    root = new_folder(spark, "csv_scan_reordered")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("x").alias("other"), F.col("value").alias("humidity"), (F.col("event_id") % 7).alias("comfortable"),
+        F.col("event_id").cast("double").alias("light"), (F.col("value") * 2).alias("temperature"))
+    write_csv(rows.where("light % 2 = 0"), f"{root}/even")
+    write_csv(rows.where("light % 2 = 1"), f"{root}/odd")
+    return read_csv(spark, f"{root}/even", TRAINING_ROW).unionByName(
+        read_appended_csv(spark, f"{root}/odd", TRAINING_ROW)).withColumn("comfortable", F.col("comfortable").cast("long"))
 
 
 # --- routing and rules ------------------------------------------------------------------------
@@ -383,11 +400,16 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", in_train("event_id").cast("int").alias("in_train"))
 
 
-@query()
+@query("SELECT event_id, 1 AS times, TRUE AS share_is_close FROM events")
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark's own random split, both sides marked."""
+    """Spark's own random split: each row is on one side, and the sides have their shares."""
     train, test = random_split(table(spark, sf_dir, "events").select("event_id"))
-    return train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    marked = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    rows, share = marked.agg(F.count(F.lit(1)), F.avg("in_train")).first()
+    # Five standard deviations of a share of this many draws.
+    is_close = rows == 0 or abs(share - TRAIN_SHARE) < 5 * (TRAIN_SHARE * (1 - TRAIN_SHARE) / rows) ** 0.5
+    return marked.groupBy("event_id").agg(F.count(F.lit(1)).cast("int").alias("times")).withColumn(
+        "share_is_close", F.lit(is_close))
 
 
 # --- occupancy --------------------------------------------------------------------------------
@@ -417,16 +439,38 @@ def occupancy_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occupancy_text(exact_occupancy(sightings(events(spark, sf_dir))))
 
 
-@query()
+# Sketches are checked where there is something to estimate: windows of a day, a new one every twelve hours.
+DAY, HALF_DAY = 86_400, 43_200
+DAYS_SQL = """
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(s + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+  count(DISTINCT user_id) AS devices, TRUE AS is_close
+FROM (
+  SELECT time_bucket(INTERVAL 12 HOUR, ts) - to_hours(12 * i) AS s, user_id FROM events, range(2) t(i)
+) GROUP BY s"""
+
+
+def held_against_exact(spark: SparkSession, sf_dir: str, estimates: DataFrame) -> DataFrame:
+    """Exact devices of each estimated window, and whether the estimate is within three standard errors of 5 %."""
+    day = F.window("timestamp", f"{DAY} seconds", f"{HALF_DAY} seconds")
+    exact = sightings(events(spark, sf_dir)).groupBy(day.alias("w")).agg(F.count_distinct("mac").alias("devices"))
+    exact = exact.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "devices")
+    found = occupancy_text(estimates).join(exact, "window_start")
+    is_close = F.abs(F.col("distinct_macs") - F.col("devices")) <= F.col("devices") * 0.15
+    return found.select("window_start", "window_end", "devices", is_close.alias("is_close"))
+
+
+@query(DAYS_SQL)
 def occupancy_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with sketches, which are allowed an error of 5 %."""
-    return occupancy_text(approximate_occupancy(sightings(events(spark, sf_dir))))
+    """Occupancy with sketches, which are allowed an error of 5 %, held against exact counts."""
+    return held_against_exact(
+        spark, sf_dir, approximate_occupancy(sightings(events(spark, sf_dir)), DAY, HALF_DAY))
 
 
-@query()
+@query(DAYS_SQL)
 def occupancy_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mergeable sketches per pane, merged per window."""
-    return occupancy_text(sketched_occupancy(sightings(events(spark, sf_dir))))
+    """Mergeable sketches per pane, merged per window, held against exact counts."""
+    return held_against_exact(spark, sf_dir, sketched_occupancy(sightings(events(spark, sf_dir)), DAY, HALF_DAY))
 
 
 @query(f"""

@@ -16,6 +16,7 @@ from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX,
 from roompulse.functions.ingest import (
     iso_text, parse_readings, stamped_records, with_document_id,
 )
+from roompulse.functions.logs import matched_log, matched_logfmt
 from roompulse.functions.scoring import LinearModel
 from roompulse.operators.comfort_model import (
     Report, complete_and_rejected, evaluate, linear_model, load, save_if_good, score, train, usable_and_rejected,
@@ -240,3 +241,16 @@ def export_indices(
 ) -> dict[str, int]:
     """Several indices, each to a folder of its name below ``path``; the totals by index."""
     return {index: export_index(spark, settings, index, f"{path}/{index}", first) for index in indices}
+
+
+def parse_logs(
+    spark: SparkSession, logs: str, name: str, path: str, fields: list[str] | None = None
+) -> None:
+    """Log lines of a format as JSON lines below ``path``, parsed and rejected ones in a part each, from one pass.
+
+    ``logfmt`` has no fixed fields: name those to keep. A rejected line is kept as it came.
+    """
+    lines = read_lines(spark, logs)
+    rows = matched_logfmt(lines, fields or []) if name == "logfmt" else matched_log(lines, name)
+    kept = F.when(~F.col("matched"), F.col("value")).alias("value")
+    rows.select(kept, "fields", "matched").write.partitionBy("matched").json(path)

@@ -15,7 +15,10 @@ from roompulse.functions.logs import (
 )
 from roompulse.plans.batch import TS_MILLIS
 from roompulse.plans.catalog import query
+from roompulse.plans.jobs import parse_logs
 from roompulse.plans.readings import events
+from roompulse.sinks.batch import write_lines
+from roompulse.workspace import new_folder
 
 SYSLOG_YEAR = 2024
 
@@ -76,6 +79,21 @@ def parsed(spark: SparkSession, sf_dir: str, name: str, line: Column) -> DataFra
     return timed
 
 
+@query("""
+SELECT event_type <> 'purchase' AS matched, CASE WHEN event_type = 'purchase' THEN 'sold,' || event_id END AS line,
+  CASE WHEN event_type <> 'purchase' THEN 'stdout' END AS stream,
+  CASE WHEN event_type <> 'purchase' THEN 'seen ' || event_id END AS message
+FROM events""")
+def log_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log job in one pass: parsed and rejected lines as one table in two parts."""
+    root = new_folder(spark, "log_job")
+    write_lines(lines(spark, sf_dir, template("2024-01-01T00:00:00Z stdout F seen {event_id}")), f"{root}/logs")
+    parse_logs(spark, f"{root}/logs", "cri", f"{root}/out")
+    rows = spark.read.json(f"{root}/out").withColumn("matched", F.col("matched").cast("boolean"))
+    return rows.select("matched", F.when(~F.col("matched"), F.col("value")).alias("line"),
+                       "fields.stream", "fields.message")
+
+
 def is_view() -> Column:
     return F.col("event_type") == "view"
 

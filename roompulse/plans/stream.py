@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.functions.ingest import parse_readings
+from roompulse.config import OCCUPANCY_SUFFIX
+from roompulse.functions.ingest import parse_readings, stamped_records
+from roompulse.plans import jobs
 from roompulse.plans.batch import (
-    CARRY_FORWARD_SQL, FEED_COLUMNS, FIXED_MODEL, LABEL_SQL, OCCUPANCY_SQL, PROBABILITY_SQL,
-    READING_SQL_COLUMNS, file_settings, occupancy_text, sensor_feed, with_time_text,
+    CARRY_FORWARD_SQL, DAY, DAYS_SQL, FEED_COLUMNS, HALF_DAY, FIXED_MODEL, LABEL_SQL, OCCUPANCY_SQL, PROBABILITY_SQL,
+    READING_SQL_COLUMNS, file_settings, held_against_exact,
+    occupancy_text, sensor_feed, with_time_text,
 )
 from roompulse.plans.catalog import READINGS_SQL, query
 from roompulse.plans.readings import events, events_stream, messages, readings, sightings
@@ -19,11 +22,11 @@ from roompulse.sources.files import read_appended_csv, stream_lines
 from roompulse.sources.index import read_index
 from roompulse.sources.topics import replay_topic, stream_topic
 from roompulse.streaming.carry_forward import carry_forward_batches
-from roompulse.streaming.labelling import labelled_readings
+from roompulse.streaming.labelling import label_batches, labelled_readings
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
 )
-from roompulse.streaming.outputs import fan_out, table_output
+from roompulse.streaming.outputs import csv_output, fan_out, table_output
 from roompulse.streaming.routing import route_batches
 from roompulse.streaming.scoring import score_batches, score_messages
 from roompulse.workspace import new_folder
@@ -99,6 +102,69 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time_text(parts[0].unionByName(parts[1], allowMissingColumns=True))
 
 
+@query(READINGS_SQL + f"""
+SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'labelled' END AS side, count(*) AS n,
+  sum(CASE WHEN event_type <> 'error' THEN CAST({LABEL_SQL} AS INTEGER) END)::BIGINT AS comfortable
+FROM readings GROUP BY ALL""")
+def label_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label a stream in which some readings lack the temperature: kept and rejected together are the input."""
+    root = new_folder(spark, "label_stream_rejects")
+    raw = readings(events_stream(spark, sf_dir), F.when(F.col("event_type") != "error", 1.0))
+    lines = raw.select(F.to_json(F.struct(*[n for n in raw.columns if n != "event_id"])).alias("value"))
+    both = label_batches(csv_output(f"{root}/labelled"), table_output(f"{root}/rejected"))
+    drain(to_batches(lines, "label_stream_rejects", f"{root}/checkpoints", both), spark)
+    labelled = read_appended_csv(spark, f"{root}/labelled", TRAINING_ROW)
+    rejected = spark.read.parquet(f"{root}/rejected")
+    return labelled.agg(F.lit("labelled").alias("side"), F.count(F.lit(1)).alias("n"), F.sum("comfortable").alias("comfortable")).unionByName(
+        rejected.agg(F.lit("rejected").alias("side"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("comfortable"))
+    ).filter("n > 0")
+
+
+@query(READINGS_SQL + """
+SELECT event_id, rssi, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS kind,
+  event_type = 'error' AS is_log, TRUE AS is_stamped
+FROM readings""")
+def ship_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship records with undeclared keys and lines that are no JSON: every one arrives whole, with the time."""
+    root = new_folder(spark, "ship_passthrough")
+    settings = file_settings(spark, "ship_passthrough_topic")
+    rows = readings(events(spark, sf_dir)).join(events(spark, sf_dir).select("event_id", "event_type"), "event_id")
+    record = F.to_json(F.struct("event_id", "rssi", F.col("event_type").alias("kind")))
+    broken = F.concat_ws(" ", F.lit("broken"), "event_id", "rssi")
+    write_lines(rows.select(F.when(F.col("event_type") == "error", broken).otherwise(record).alias("value")), f"{root}/logs")
+    shipped = stamped_records(stream_lines(spark, f"{root}/logs"))
+    drain(to_topic(shipped, "ship_passthrough", f"{root}/checkpoints", settings, whole=True), spark)
+    text = F.col("value").cast("string")
+    found = replay_topic(spark, settings).select(
+        F.from_json(text, "event_id long, rssi int, kind string, log string, timestamp double").alias("r")).select("r.*")
+    words = F.split("log", " ")
+    return found.select(
+        F.coalesce("event_id", F.get(words, F.lit(1)).cast("long")).alias("event_id"),
+        F.coalesce("rssi", F.get(words, F.lit(2)).cast("int")).alias("rssi"), "kind",
+        F.col("log").isNotNull().alias("is_log"), (F.col("timestamp") > 1.7e9).alias("is_stamped"))
+
+
+@query(f"""
+SELECT 'occupancy' AS source, window_start AS place, distinct_macs::DOUBLE AS value FROM ({CLOSED_SQL})
+UNION ALL
+SELECT 'scores', timestamp || mac || rssi, prediction FROM ({READINGS_SQL} {SCORED_SQL})""")
+def shared_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and occupancy run on the same settings; both are read back whole."""
+    settings = readings_topic(spark, sf_dir, "shared_settings")
+    checkpoints = new_folder(spark, "shared_settings_checkpoints")
+    once = {"availableNow": True}
+    jobs.live_scores(spark, settings, FIXED_MODEL, checkpoints, console=False, trigger=once).awaitTermination()
+    for running in jobs.occupancy(spark, settings, checkpoints, trigger=once, form="exact"):
+        running.awaitTermination()
+    windows = occupancy_text(read_index(spark, settings, settings.index + OCCUPANCY_SUFFIX))
+    scores = with_time_text(read_index(spark, settings).withColumn("timestamp", F.to_timestamp("timestamp")))
+    return windows.select(
+        F.lit("occupancy").alias("source"), F.col("window_start").alias("place"), F.col("distinct_macs").cast("double").alias("value")
+    ).unionByName(scores.select(
+        F.lit("scores").alias("source"), F.concat("timestamp", "mac", F.col("rssi").cast("string")).alias("place"),
+        F.col("prediction").alias("value")))
+
+
 @query(READINGS_SQL + f"""
 SELECT light, temperature, humidity, CAST({LABEL_SQL} AS INTEGER) AS comfortable FROM readings""")
 def label_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,22 +252,30 @@ def occupancy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occupancy_text(spark.read.parquet(f"{root}/out"))
 
 
-@query()
+# Append mode emits a day's window once the watermark has passed it.
+CLOSED_DAYS_SQL = f"""
+SELECT * FROM ({DAYS_SQL})
+WHERE window_end <= (SELECT strftime(max(ts) - INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S.%f') FROM events)"""
+
+
+@query(CLOSED_DAYS_SQL)
 def occupancy_stream_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The production stream: one sketch per open window."""
     root = new_folder(spark, "occupancy_stream_approx")
-    windows = approximate_windows(sightings(events_stream(spark, sf_dir)))
+    windows = approximate_windows(
+        sightings(events_stream(spark, sf_dir)), window_seconds=DAY, slide_seconds=HALF_DAY)
     drain(to_files(windows, "occupancy_stream_approx", f"{root}/checkpoints", f"{root}/out"), spark)
-    return occupancy_text(spark.read.parquet(f"{root}/out"))
+    return held_against_exact(spark, sf_dir, spark.read.parquet(f"{root}/out"))
 
 
-@query()
+@query(CLOSED_DAYS_SQL)
 def occupancy_stream_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode with mergeable sketches per pane."""
     root = new_folder(spark, "occupancy_stream_sketched")
-    windows = sketched_windows(sightings(events_stream(spark, sf_dir)))
+    windows = sketched_windows(
+        sightings(events_stream(spark, sf_dir)), window_seconds=DAY, slide_seconds=HALF_DAY)
     drain(to_files(windows, "occupancy_stream_sketched", f"{root}/checkpoints", f"{root}/out"), spark)
-    return occupancy_text(spark.read.parquet(f"{root}/out"))
+    return held_against_exact(spark, sf_dir, spark.read.parquet(f"{root}/out"))
 
 
 @query(OCCUPANCY_SQL)
