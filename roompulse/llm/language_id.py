@@ -33,6 +33,8 @@ TRAIN_DOCS = 500
 TRAIN_WINDOWS = 6
 HELD_OUT = 2
 EPOCHS = 8
+#: Steps of training at least, so that a small sample is gone through more often.
+STEPS = 250
 UNKNOWN = "und"
 
 Weights = dict[str, np.ndarray]
@@ -147,7 +149,8 @@ def train(x: np.ndarray, lengths: np.ndarray, labels: np.ndarray, languages: int
     random = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
-    step, total = 0, max(1, epochs * -(-len(labels) // batch))
+    epochs = max(epochs, -(-STEPS // -(-len(labels) // batch)))
+    step, total = 0, epochs * -(-len(labels) // batch)
     for _ in range(epochs):
         order = random.permutation(len(labels))
         for at in range(0, len(order), batch):
