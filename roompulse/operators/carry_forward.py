@@ -4,109 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roompulse.workspace import new_folder
-
-# Up to this many rows one sorted task per device is cheap, and it can spill.
-HOT_DEVICE_ROWS = 20_000_000
-
 
 def carry_forward(
     df: DataFrame,
     key: str,
     order: Sequence[str],
     columns: Sequence[str],
-    hot_rows: int = HOT_DEVICE_ROWS,
+    segment: Column | None = None,
 ) -> DataFrame:
     """Fill NULLs in ``columns`` with the last non-NULL value of the same key in ``order``.
 
-    ``order`` must be unique within a key. Keys with more than ``hot_rows`` rows are cut into
-    segments, all others are filled in one task each. Counting rows per key is a narrow column scan
-    with a small shuffle, and only the maximum comes to the driver.
+    ``order`` must be unique within a key. Whole rows are shuffled once, on (key, segment), and filled by a
+    running window. ``segment``, which must not decrease along ``order``, cuts a key with a large share of the
+    rows into many tasks: a day or an hour of its time. What earlier segments know of a key is one row per
+    key and segment, combined before its own small shuffle, and joined without moving the whole rows again.
+    Without a segment a key is one task, which spills when it has to.
     """
-    counts = df.groupBy(key).count()
-    largest = counts.agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        return fill_by_key(df, key, order, columns)
-
-    # There are fewer hot keys than rows / hot_rows, so their table is broadcast.
-    spark = df.sparkSession
-    path = new_folder(spark, "hot_keys")
-    counts.filter(F.col("count") > hot_rows).withColumnRenamed(key, "hot_key").write.parquet(path)
-    hot = spark.read.parquet(path)
-    rows = hot.agg(F.sum("count")).first()[0]
-    is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
-    even = fill_by_key(df.join(F.broadcast(hot), is_hot, "left_anti"), key, order, columns)
-    segments = max(1, -(-rows // hot_rows))
-    cut = fill_by_segment(df.join(F.broadcast(hot), is_hot, "left_semi"), key, order, columns, segments)
-    return even.unionByName(cut)
-
-
-def fill_by_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One shuffle on the key and a running window."""
-    running = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = {name: F.last(name, ignorenulls=True).over(running) for name in columns}
-    return df.withColumns(filled)
-
-
-def fill_by_segment(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    columns: Sequence[str],
-    segments: int,
-) -> DataFrame:
-    """The same result when one key holds a large share of the rows.
-
-    Rows are range-partitioned by (key, order), which cuts a hot key into even, consecutive
-    segments, and filled within each segment. The limits of the segments come from a sample, so the
-    rows are written to the shared folder once and everything after reads that table. The last row
-    of each key in each segment has the values to carry on. Only a key that goes on from an earlier
-    segment takes any, at most one key per segment, so that side is broadcast: it has fewer rows
-    than there are segments.
-    """
-    spark = df.sparkSession
-    path = new_folder(spark, "segments")
-    within = Window.partitionBy("segment", key).orderBy(*order)
+    # A struct groups and joins NULL keys like any other.
+    rows = df.withColumns({"_key": F.struct(key), "_segment": F.lit(0) if segment is None else segment})
+    within = Window.partitionBy("_key", "_segment").orderBy(*order)
     running = within.rowsBetween(Window.unboundedPreceding, 0)
-    ranged = df.repartitionByRange(segments, key, *order).withColumn("segment", F.spark_partition_id())
-    ranged.withColumns(
-        {name: F.last(name, ignorenulls=True).over(running) for name in columns}
-        | {"is_last": F.lead(F.lit(1)).over(within).isNull()}
-    ).write.parquet(path)
-    filled = spark.read.parquet(path)
-
-    by_segment = Window.partitionBy(key).orderBy("segment")
-    before = by_segment.rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        filled.filter("is_last")
-        .select(
-            F.col("segment").alias("to_segment"),
-            F.col(key).alias("to_key"),
-            F.row_number().over(by_segment).alias("nth"),
-            *[F.last(name, ignorenulls=True).over(before).alias(f"carried_{name}") for name in columns],
-        )
-        .filter("nth > 1")
-    )
-    joined = filled.join(
-        F.broadcast(carried),
-        (F.col("segment") == F.col("to_segment")) & F.col(key).eqNullSafe(F.col("to_key")),
-        "left",
+    filled = rows.withColumns({name: F.last(name, ignorenulls=True).over(running) for name in columns})
+    if segment is None:
+        return filled.select(*df.columns)
+    known = last_values(rows, ["_key", "_segment"], order, columns)
+    before = Window.partitionBy("_key").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = known.select(
+        "_key", "_segment",
+        *[F.last(name, ignorenulls=True).over(before).alias(f"_carried_{name}") for name in columns],
     )
+    joined = filled.join(carried, ["_key", "_segment"], "left")
     return joined.select(
-        *[
-            F.coalesce(name, f"carried_{name}").alias(name) if name in columns else F.col(name)
-            for name in df.columns
-        ]
+        *[F.coalesce(name, f"_carried_{name}").alias(name) if name in columns else F.col(name) for name in df.columns]
     )
 
 
-def last_values(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def last_values(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
     """The last known value of every column per key: one row per key, combined before the shuffle."""
     position = F.struct(*order)
-    return df.groupBy(key).agg(
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.groupBy(*keys).agg(
         *[
             F.max_by(F.col(name), F.when(F.col(name).isNotNull(), position)).alias(name)
             for name in columns

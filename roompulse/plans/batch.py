@@ -20,7 +20,7 @@ from roompulse.functions.ingest import (
 )
 from roompulse.functions.rules import comfort_label, life_stage, prediction_text
 from roompulse.functions.scoring import LinearModel, with_score
-from roompulse.operators.carry_forward import carry_forward, fill_by_segment
+from roompulse.operators.carry_forward import carry_forward
 from roompulse.operators.evaluation import area_under_roc, confusion_counts as count_confusion
 from roompulse.operators.export import first_documents, hits_total as count_hits, preview
 from roompulse.operators.occupancy import (
@@ -535,9 +535,10 @@ def locf_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CARRY_FORWARD_SQL)
 def locf_merge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by the plan for hot devices, which cuts each device into segments."""
+    """The same with each device cut into days, for devices with a large share of the rows."""
     feed = sensor_feed(events(spark, sf_dir))
-    return fill_by_segment(feed, "user_id", ["ts", "event_id"], FEED_COLUMNS, segments=16).drop("ts")
+    day = F.col("ts").cast("date")
+    return carry_forward(feed, "user_id", ["ts", "event_id"], FEED_COLUMNS, day).drop("ts")
 
 
 # --- files, tables, index ---------------------------------------------------------------------

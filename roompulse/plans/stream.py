@@ -21,7 +21,7 @@ from roompulse.sinks.stream import drain, to_batches, to_csv, to_files, to_index
 from roompulse.sources.files import read_appended_csv, stream_lines
 from roompulse.sources.index import read_index
 from roompulse.sources.topics import replay_topic, stream_topic
-from roompulse.streaming.carry_forward import carry_forward_batches
+from roompulse.streaming.carry_forward import carry_forward_stream
 from roompulse.streaming.labelling import label_batches, labelled_readings
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
@@ -355,19 +355,69 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- carry-forward ----------------------------------------------------------------------------
 
+def filled_in_deliveries(spark: SparkSession, sf_dir: str, name: str, deliveries: list[DataFrame]) -> DataFrame:
+    """Carry-forward on a stream that gets the readings in several deliveries, from one checkpoint."""
+    root = new_folder(spark, name)
+    for rows in deliveries:
+        arrive(sensor_feed(rows), f"{root}/in")
+        stream = spark.readStream.schema(sensor_feed(rows).schema).parquet(f"{root}/in")
+        filled = carry_forward_stream(stream, "user_id", ["ts", "event_id"], FEED_COLUMNS)
+        drain(to_files(filled, name, f"{root}/checkpoints", f"{root}/out"), spark)
+    return spark.read.parquet(f"{root}/out").drop("ts")
+
+
 @query(CARRY_FORWARD_SQL)
 def locf_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carry-forward over two micro-batches, with the last known values kept between them."""
-    root = new_folder(spark, "locf_stream")
+    """Carry-forward over two micro-batches, with the last known values in keyed state between them."""
     source = events(spark, sf_dir)
     micros = F.unix_micros("ts")
     lo, hi = source.agg(F.min(micros), F.max(micros)).first()
     half = lo + (hi - lo) // 2
-    callback = carry_forward_batches(
-        "user_id", ["ts", "event_id"], FEED_COLUMNS, f"{root}/out", f"{root}/state"
-    )
-    for rows in (source.filter(micros < half), source.filter(micros >= half)):
-        arrive(sensor_feed(rows), f"{root}/in")
-        stream = spark.readStream.schema(sensor_feed(source).schema).parquet(f"{root}/in")
-        drain(to_batches(stream, "locf_stream", f"{root}/checkpoints", callback), spark)
-    return spark.read.parquet(f"{root}/out").drop("batch_id", "ts")
+    deliveries = [source.filter(micros < half), source.filter(micros >= half)]
+    return filled_in_deliveries(spark, sf_dir, "locf_stream", deliveries)
+
+
+# A row takes the latest value at or before it, of its own delivery or of the newest entry of the one before.
+LATE_FILL_SQL = """
+WITH span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+feed AS (
+  SELECT event_id, user_id, ts,
+    CASE WHEN event_type = 'view' THEN value END AS light,
+    CASE WHEN event_type = 'error' THEN value END AS temperature,
+    CASE WHEN event_type = 'click' THEN CAST(-CAST(props::JSON->>'k' AS INTEGER) AS INTEGER) END AS rssi,
+    CASE WHEN epoch_us(ts) < lo + (hi - lo) // 2 AND event_id % 5 > 0 THEN 1 ELSE 2 END AS delivery
+  FROM events, span
+), state AS (
+  SELECT user_id,
+    max(struct_pack(ts, event_id, v := light)) FILTER (WHERE light IS NOT NULL) AS light,
+    max(struct_pack(ts, event_id, v := temperature)) FILTER (WHERE temperature IS NOT NULL) AS temperature,
+    max(struct_pack(ts, event_id, v := rssi)) FILTER (WHERE rssi IS NOT NULL) AS rssi
+  FROM feed WHERE delivery = 1 GROUP BY user_id
+), own AS (
+  SELECT f.*,
+    last_value(CASE WHEN light IS NOT NULL THEN struct_pack(ts, event_id, v := light) END IGNORE NULLS) OVER w AS own_light,
+    last_value(CASE WHEN temperature IS NOT NULL THEN struct_pack(ts, event_id, v := temperature) END IGNORE NULLS) OVER w AS own_temperature,
+    last_value(CASE WHEN rssi IS NOT NULL THEN struct_pack(ts, event_id, v := rssi) END IGNORE NULLS) OVER w AS own_rssi
+  FROM feed f WINDOW w AS (PARTITION BY user_id, delivery ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT event_id, user_id,
+  CASE WHEN usable_light AND (own_light IS NULL OR (own_light.ts, own_light.event_id) < (s_light.ts, s_light.event_id)) THEN s_light.v ELSE own_light.v END AS light,
+  CASE WHEN usable_temperature AND (own_temperature IS NULL OR (own_temperature.ts, own_temperature.event_id) < (s_temperature.ts, s_temperature.event_id)) THEN s_temperature.v ELSE own_temperature.v END AS temperature,
+  CASE WHEN usable_rssi AND (own_rssi IS NULL OR (own_rssi.ts, own_rssi.event_id) < (s_rssi.ts, s_rssi.event_id)) THEN s_rssi.v ELSE own_rssi.v END AS rssi
+FROM (
+  SELECT own.*, state.light AS s_light, state.temperature AS s_temperature, state.rssi AS s_rssi,
+    delivery = 2 AND state.light IS NOT NULL AND (state.light.ts, state.light.event_id) <= (own.ts, own.event_id) AS usable_light,
+    delivery = 2 AND state.temperature IS NOT NULL AND (state.temperature.ts, state.temperature.event_id) <= (own.ts, own.event_id) AS usable_temperature,
+    delivery = 2 AND state.rssi IS NOT NULL AND (state.rssi.ts, state.rssi.event_id) <= (own.ts, own.event_id) AS usable_rssi
+  FROM own LEFT JOIN state USING (user_id)
+)"""
+
+
+@query(LATE_FILL_SQL)
+def locf_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carry-forward where the second delivery also brings old readings: they never see or hide newer values."""
+    source = events(spark, sf_dir)
+    micros = F.unix_micros("ts")
+    lo, hi = source.agg(F.min(micros), F.max(micros)).first()
+    first = (micros < lo + (hi - lo) // 2) & (F.col("event_id") % 5 > 0)
+    return filled_in_deliveries(spark, sf_dir, "locf_stream_late", [source.filter(first), source.filter(~first)])

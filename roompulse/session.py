@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -64,3 +66,11 @@ def state_conf(spark: SparkSession) -> dict[str, str]:
     """
     partitions = spark.conf.get(STATE_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
     return {**STATE_STORE_CONF, "spark.sql.shuffle.partitions": str(partitions)}
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package where it isn't installed; spark-submit ships it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))

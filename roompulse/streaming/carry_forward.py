@@ -1,54 +1,77 @@
-"""Carry-forward merge on a stream, with the last known values in a small state table.
-
-Each micro-batch is filled by the batch operator, which splits hot devices; keyed Python state would
-hand all rows of a device to one task.
-"""
+"""Carry-forward merge on a stream, with the last known values in Spark's keyed state."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from roompulse.session import importable
 
-from roompulse.operators.carry_forward import HOT_DEVICE_ROWS, carry_forward, last_values
-from roompulse.sinks.stream import BatchFunction, write_batch
 
-# Copies of the state table: the one being written, the one before it, and a spare.
-STATE_SLOTS = 3
+def _plain(value: Any) -> Any:
+    """A pandas cell as the Python value that the state's schema takes."""
+    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        return None
+    if isinstance(value, pd.Timestamp):
+        return value.to_pydatetime()
+    return value.item() if hasattr(value, "item") else value
 
 
-def carry_forward_batches(
-    key: str,
-    order: Sequence[str],
-    columns: Sequence[str],
-    path: str,
-    state_path: str,
-    hot_rows: int = HOT_DEVICE_ROWS,
-) -> BatchFunction:
-    """Fill each micro-batch from itself and from the state of the batch before.
+def carry_forward_stream(
+    df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], idle_ms: int | None = None
+) -> DataFrame:
+    """Fill NULLs in ``columns`` with the last non-NULL value of the same key, across micro-batches.
 
-    Batch ``n`` reads the state of ``n - 1`` and writes its own, one row per device, so a replayed
-    batch starts from the same state and overwrites its own output.
+    Per key and column the state has the value with the greatest position in ``order`` seen so far. A row
+    takes the latest value at or before its own position among its micro-batch and that state entry; so the
+    borders of batches don't matter to rows in order, and a late row never sees a value from after it. Only
+    devices in a batch are touched. With ``idle_ms`` a device that has been silent this long is forgotten; such a
+    query never runs dry, so it is not for a run that processes what is there and stops. A device's rows of one batch are
+    held together, which ``--max-offsets`` and ``--max-bytes`` bound.
     """
+    fields = {field.name: field.dataType for field in df.schema}
+    state_schema = T.StructType([
+        T.StructField(f"{name}_{part}", fields[part] if part != "value" else fields[name], True)
+        for name in columns for part in ["value", *order]
+    ])
+    width = 1 + len(order)
+    names = df.columns
+    # Whole numbers with NULLs among them come as floats.
+    whole = {name for name in columns if isinstance(fields[name], T.IntegralType)}
+
+    def fill(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = list(state.get) if state.exists else [None] * (width * len(columns))
+        rows = pd.concat(list(chunks), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+        places = [tuple(map(_plain, place)) for place in zip(*(rows[o] for o in order), strict=True)]
+        for c, name in enumerate(columns):
+            held = known[c * width:(c + 1) * width]
+            kept = None if held[0] is None else (tuple(held[1:]), held[0])
+            latest, newest, out = None, kept, []
+            for place, value in zip(places, map(_plain, rows[name]), strict=True):
+                if value is not None:
+                    latest = (place, int(value) if name in whole else value)
+                    if newest is None or place >= newest[0]:
+                        newest = latest
+                seen = latest
+                if kept is not None and kept[0] <= place and (seen is None or seen[0] < kept[0]):
+                    seen = kept
+                out.append(None if seen is None else seen[1])
+            rows[name] = pd.Series(out, dtype=object)
+            if newest is not None:
+                known[c * width:(c + 1) * width] = [newest[1], *newest[0]]
+        state.update(tuple(known))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+        yield rows[names]
 
-    def slot(batch_id: int) -> str:
-        return f"{state_path}/slot{batch_id % STATE_SLOTS}"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            rows = batch.withColumn("from_batch", F.lit(1))
-            if batch_id > 0:
-                state = batch.sparkSession.read.parquet(slot(batch_id - 1))
-                rows = state.withColumn("from_batch", F.lit(0)).unionByName(
-                    rows, allowMissingColumns=True
-                )
-            ordered = ["from_batch", *order]
-            filled = carry_forward(rows, key, ordered, columns, hot_rows).filter("from_batch = 1")
-            write_batch(filled.select(*batch.columns), path, batch_id)
-            last_values(rows, key, ordered, columns).write.mode("overwrite").parquet(slot(batch_id))
-        finally:
-            batch.unpersist()
-
-    return write
+    importable(df.sparkSession)
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return df.groupBy(key).applyInPandasWithState(fill, df.schema, state_schema, "append", timeout)

@@ -1,13 +1,11 @@
-"""Carry-forward: both plans against a plain loop."""
+"""Carry-forward with and without segments against a plain loop."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from roompulse.operators.carry_forward import (
-    carry_forward, fill_by_key, fill_by_segment, last_values,
-)
+from roompulse.operators.carry_forward import carry_forward, last_values
 
 COLUMNS = ["light", "rssi"]
 SCHEMA = "id long, device string, t long, light double, rssi int"
@@ -43,29 +41,22 @@ def df(spark):
     return spark.createDataFrame(feed(), SCHEMA).repartition(5).cache()
 
 
-def test_by_key(df):
-    assert filled(fill_by_key(df, "device", ["t", "id"], COLUMNS)) == loop(feed())[0]
-
-
-@pytest.mark.parametrize("segments", [1, 3, 40])
-def test_by_segment(df, segments):
-    got = fill_by_segment(df, "device", ["t", "id"], COLUMNS, segments)
-    assert got.columns == df.columns
+@pytest.mark.parametrize("length", [None, 1, 7, 100, 1000])
+def test_segments_do_not_change_the_rows(df, length):
+    segment = None if length is None else F.floor(F.col("t") / length)
+    got = carry_forward(df, "device", ["t", "id"], COLUMNS, segment)
+    assert got.columns == df.columns and got.count() == 2000
     assert filled(got) == loop(feed())[0]
 
 
-@pytest.mark.parametrize(("hot_rows", "segments"), [(100_000, []), (500, [2]), (100, [20]), (1, [2000])])
-def test_only_hot_keys_are_cut(df, monkeypatch, hot_rows, segments):
-    """With the limit at 100 rows every device is hot, the unknown one too."""
-    from roompulse.operators import carry_forward as module
-
-    used = []
-    cut = fill_by_segment
-    monkeypatch.setattr(module, "fill_by_segment", lambda *a: (used.append(a[4]), cut(*a))[1])
-    got = carry_forward(df, "device", ["t", "id"], COLUMNS, hot_rows=hot_rows)
-    assert got.columns == df.columns and got.count() == 2000
-    assert filled(got) == loop(feed())[0]
-    assert used == segments or (len(used) == len(segments) == 1 and used[0] <= 20)
+def test_whole_rows_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame(feed(), SCHEMA).withColumn("payload", F.lit("wide")).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    got = carry_forward(rows, "device", ["t", "id"], COLUMNS, F.floor(F.col("t") / 10))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = plan.split("Exchange hashpartitioning")[1:]
+    wide = [part for part in exchanges if "payload" in part.split("Exchange")[0].split("FileScan")[0]]
+    assert len(wide) == 1
 
 
 def test_empty_input(spark):
@@ -76,12 +67,3 @@ def test_empty_input(spark):
 def test_last_values(df):
     got = {r["device"]: (r["light"], r["rssi"]) for r in last_values(df, "device", ["t", "id"], COLUMNS).collect()}
     assert got == loop(feed())[1]
-
-
-def test_a_hot_device_is_cut_evenly(spark):
-    rows = spark.range(20_000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("device"),
-        F.col("id").alias("t"), F.lit(None).cast("double").alias("light"), F.lit(1).alias("rssi"),
-    )
-    ranged = rows.repartitionByRange(10, "device", "t", "id").groupBy(F.spark_partition_id()).count()
-    assert ranged.agg(F.max("count")).first()[0] < 2 * 20_000 / 10

@@ -17,7 +17,7 @@ from roompulse.schemas import ROOM_READING
 from roompulse.sinks.stream import (
     batch_folder, checkpoint_folder, drain, to_batches, to_console, to_files,
 )
-from roompulse.streaming.carry_forward import carry_forward_batches
+from roompulse.streaming.carry_forward import carry_forward_stream
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
 )
@@ -179,7 +179,7 @@ def test_every_query_has_its_own_checkpoint():
     assert batch_folder("t", 3) == "t/batch_id=3"
 
 
-def test_carry_forward_over_batches_and_a_replay(spark, tmp_path):
+def test_carry_forward_over_restarts(spark, tmp_path):
     schema = "id long, device string, t long, light double"
     batches = [
         [(0, "a", 0, 1.0), (1, "b", 1, None), (2, "a", 2, None)],
@@ -187,18 +187,28 @@ def test_carry_forward_over_batches_and_a_replay(spark, tmp_path):
         [(6, "a", 6, None), (7, "b", 7, None), (8, "c", 8, 2.0)],
         [(9, "a", 9, 4.0), (10, "b", 10, None), (11, "c", 11, None)],
     ]
-    write = carry_forward_batches(
-        "device", ["t", "id"], ["light"], f"{tmp_path}/out", f"{tmp_path}/state", hot_rows=2
-    )
-    frames = [spark.createDataFrame(rows, schema) for rows in batches]
-    for batch_id in (0, 1, 1, 2, 3, 3):
-        write(frames[batch_id], batch_id)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        filled = carry_forward_stream(stream, "device", ["t", "id"], ["light"])
+        drain(to_files(filled, "fill", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
     whole = spark.createDataFrame([r for rows in batches for r in rows], schema)
     expected = carry_forward(whole, "device", ["t", "id"], ["light"])
-    got = spark.read.parquet(f"{tmp_path}/out").drop("batch_id")
+    got = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(tuple, got.select(expected.columns).collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_a_late_value_does_not_replace_a_newer_one(spark, tmp_path):
+    schema = "id long, device string, t long, light double"
+    for rows in ([(0, "a", 10, 1.0)], [(1, "a", 5, 9.0), (2, "a", 4, None)], [(3, "a", 11, None), (4, "a", 7, None)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        filled = carry_forward_stream(stream, "device", ["t", "id"], ["light"])
+        drain(to_files(filled, "fill", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+    got = {r["id"]: r["light"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: 1.0, 1: 9.0, 2: None, 3: 1.0, 4: None}
+
+
 def test_state_partitions_are_a_setting_and_outlive_a_restart(spark, tmp_path):
     def state_partitions(rows):
         stream = deliver(spark, rows, f"{tmp_path}/in")
