@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.session import session_conf
+from roompulse.session import importable, session_conf
 from roompulse.workspace import new_folder
 
 
@@ -47,14 +47,6 @@ def own_columns(df: DataFrame) -> str:
     return "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name.startswith("own_"))
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package where it isn't installed; spark-submit ships it with ``--py-files``."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in paths.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
-
-
 def finished(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of work whose result is saved; it does so when the driver collects garbage."""
     gc.collect()
