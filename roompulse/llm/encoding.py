@@ -27,8 +27,8 @@ for _code in range(128):
         _CLASS[_code] = _PUNCT
 _CLASS[[9, 10, 11, 12, 13, 32]] = _WHITE
 #: Pieces kept between batches; beyond it the table starts anew.
-CACHE_PIECES = 400_000
-_GROUP, _GROUPS = 100, 100
+CACHE_PIECES = 150_000
+_GROUP, _GROUPS = 100, 20
 
 
 def _wide_space(data: np.ndarray) -> np.ndarray:
@@ -169,8 +169,9 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def encoder(path: str) -> PieceEncoder:
-    """The encoder of this Python worker, kept between its tasks."""
+    """The encoder of this Python worker, kept between its tasks; one at a time, for its memory."""
     if path not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
