@@ -146,3 +146,25 @@ def test_one_pass_equals_group_by_group(spark, name):
     )
     assert len(parsed) > 10
     assert sorted(parsed, key=str) == sorted([tuple(r) for r in direct.collect()], key=str)
+
+
+def test_long_lines_are_rejected_at_once_as_kube_paths(spark):
+    import time
+
+    from roompulse.functions.logs import matched_log
+
+    rows = [("x" * 20_000,), (" ".join(f"w{i}_" for i in range(20_000)),), ("a_b_" + "c" * 20_000 + ".log",), (None,), ("",),
+            ("kube.var.log.pod-1_ns_box-" + "a" * 64 + ".log",)]
+    begin = time.time()
+    found = {r["value"]: r for r in matched_log(spark.createDataFrame(rows, "value string"), "kube-custom").collect()}
+    assert time.time() - begin < 20
+    assert [v for v, r in found.items() if r["matched"]] == [rows[-1][0]]
+    assert found[rows[-1][0]]["fields"]["namespace_name"] == "ns"
+
+
+def test_both_sides_of_logfmt(spark):
+    from roompulse.functions.logs import matched_logfmt
+
+    df = spark.createDataFrame([('a=1 b="x y"',), ("no pairs",), (None,)], "value string")
+    rows = matched_logfmt(df, ["a", "b"]).collect()
+    assert [(r["matched"], r["fields"] and tuple(r["fields"])) for r in rows] == [(True, ("1", "x y")), (False, None), (False, None)]
