@@ -8,7 +8,11 @@ and ASCII punctuation (the apostrophe excepted, for contractions). Ids are the s
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -81,6 +85,11 @@ class PieceEncoder:
             self.separator = f" {self.mark} ".encode()
         self._clear()
 
+    def close(self) -> None:
+        """Let go of the tokenizer and the pieces."""
+        self.tokenizer = None
+        self._clear()
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -165,15 +174,22 @@ class PieceEncoder:
         return ids, np.diff(borders)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """The encoder of this Python worker, kept between its tasks; one at a time, for its memory."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+@contextmanager
+def encoding_task(path: str) -> Iterator[PieceEncoder]:
+    """An encoder for one task.
+
+    Python workers live on between tasks, and a tokenizer that has seen many distinct words leaves a heap of small
+    free blocks behind; at the end of the task they are given back to the system.
+    """
+    encoder = PieceEncoder(path)
+    try:
+        yield encoder
+    finally:
+        del encoder
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def tokenizer_path(name: str) -> str:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.encoding import encoder
+from roompulse.llm.encoding import PieceEncoder, encoding_task
 from roompulse.llm.storage import documents, saved
 
 CAPACITY = 2048
@@ -54,6 +54,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
     """Encode and cut whole documents; each piece has its ids, class, and rank in the class within its worker."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoding_task(tokenizer) as encoder:
+            yield from cut_with(encoder, batches)
+
+    def cut_with(encoder: PieceEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = TaskContext.get().partitionId()
         ranks: dict[int, int] = defaultdict(int)
         known: dict[int, list[int]] = {}
@@ -61,7 +65,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
             data, offsets = bytetext.utf8(batch["text"])
             doc_ids = batch["doc_id"]
             for first, last in bytetext.slices(offsets):
-                ids, counts = encoder(tokenizer).encode(
+                ids, counts = encoder.encode(
                     data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                 ends = np.cumsum(counts)
                 wide = np.insert(ids, ends, end_id).astype("<u4").data.cast("B")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.encoding import encoder
+from roompulse.llm.encoding import encoding_task
 from roompulse.llm.storage import documents, saved
 from roompulse.workspace import new_folder
 
@@ -61,13 +61,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
         docs_done = tokens_done = 0
         with store.open_output_stream(f"{root}/{name}.ids") as ids_file, \
                 store.open_output_stream(f"{root}/{name}.off") as off_file, \
-                store.open_output_stream(f"{root}/{name}.doc") as doc_file:
+                store.open_output_stream(f"{root}/{name}.doc") as doc_file, \
+                encoding_task(tokenizer) as encoder:
             off_file.write(np.zeros(1, "<i8").tobytes())
             for batch in batches:
                 data, offsets = bytetext.utf8(batch["text"])
                 doc_file.write(batch["doc_id"].cast(pa.int64()).fill_null(NULL_ID).to_numpy().astype("<i8").tobytes())
                 for first, last in bytetext.slices(offsets):
-                    ids, counts = encoder(tokenizer).encode(
+                    ids, counts = encoder.encode(
                         data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                     ends = np.cumsum(counts)
                     ids = np.insert(ids, ends, end_id)
