@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roompulse.llm.storage import mapped
+
 START, END = "<|im_start|>", "<|im_end|>"
 TEMPLATE = (
     "{% for message in messages %}"
@@ -414,8 +416,8 @@ def formatted(conversations: DataFrame, template: str = TEMPLATE, conv_col: str
                 ids, texts, spans, size = [], [], [], 0
         yield flush()
 
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(
-        run, f"conv_id {kind}, formatted string, loss_spans array<long>")
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").transform(
+        mapped, run, f"conv_id {kind}, formatted string, loss_spans array<long>")
 
 
 def read_turns(text: str) -> list[tuple[str, str]]:
@@ -450,7 +452,7 @@ def read_back(output: DataFrame) -> DataFrame:
                     columns, (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True))],
                 names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return output.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+    return output.transform(mapped, run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                                   "formatted_chars long")
 
 

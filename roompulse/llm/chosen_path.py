@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
 from roompulse.llm.components import components
-from roompulse.llm.storage import finished, saved
+from roompulse.llm.storage import finished, mapped, saved
 
 WORDS = 5
 PERCENT = 80
@@ -262,8 +262,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
-    rows = saved(texts.mapInArrow(
-        _profiles(words), "doc_id long, text_key long, n_shingles long, node binary, tokens array<int>"), "profiles")
+    rows = saved(texts.transform(
+        mapped, _profiles(words), "doc_id long, text_key long, n_shingles long, node binary, tokens array<int>"), "profiles")
     nodes = saved(rows.where("node is not null").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("smallest"),
         F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "nodes")
@@ -272,18 +272,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     full = leaves.join(nodes.select("node", "n_shingles", "tokens"), "node")
     candidates = saved(
         _block_pairs(full).repartition(tasks, "branch", "i", "j").sortWithinPartitions("branch", "i", "j")
-        .mapInArrow(_compare_leaves(percent), "u binary, v binary"), "candidates")
+        .transform(mapped, _compare_leaves(percent), "u binary, v binary"), "candidates")
     finished(spark)
     groups = components(candidates, "groups")
     sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     wanted = groups.join(sizes, "label").join(nodes.select("node", "first"), "node").select(
         "node", "label", "blocks", F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key"))
     match = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_key"] == wanted["text_key"])
-    bodies = texts.join(wanted, match).select("node", "label", "blocks", "text").mapInArrow(
-        _sets(words), "node binary, label binary, blocks long, shingles binary").where("shingles is not null")
+    bodies = texts.join(wanted, match).select("node", "label", "blocks", "text").transform(
+        mapped, _sets(words), "node binary, label binary, blocks long, shingles binary").where("shingles is not null")
     links = saved(
         _block_pairs(bodies).repartition(tasks, "label", "i", "j").sortWithinPartitions("label", "i", "j")
-        .mapInArrow(_confirm(percent), "u binary, v binary"), "links")
+        .transform(mapped, _confirm(percent), "u binary, v binary"), "links")
     finished(spark)
     linked = components(links, "linked")
     labelled = nodes.select("node", "smallest").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import documents, own_columns, saved
+from roompulse.llm.storage import documents, mapped, own_columns, saved
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -127,7 +127,7 @@ def _pass(docs: DataFrame, items: list[tuple[int | None, str | None]], window: i
                 pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.int64())), *(batch[c] for c in own),
             ], names=["doc_id", "text", "n_words", "hits", "items", *own])
 
-    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_words long, hits array<int>, items array<long>"
+    return docs.transform(mapped, scan, f"doc_id {dict(docs.dtypes)['doc_id']}, text string, n_words long, hits array<int>, items array<long>"
                            + own_columns(docs))
 
 
@@ -171,7 +171,7 @@ def spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "spans"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", "hits").mapInArrow(locate, f"doc_id {kind}, spans array<long>")
+    return docs.select("doc_id", "text", "hits").transform(mapped, locate, f"doc_id {kind}, spans array<long>")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,6 @@ and ASCII punctuation (the apostrophe excepted, for contractions). Ids are the s
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -176,20 +174,12 @@ class PieceEncoder:
 
 @contextmanager
 def encoding_task(path: str) -> Iterator[PieceEncoder]:
-    """An encoder for one task.
-
-    Python workers live on between tasks, and a tokenizer that has seen many distinct words leaves a heap of small
-    free blocks behind; at the end of the task they are given back to the system.
-    """
+    """An encoder for one task; its tokenizer and pieces go at the end."""
     encoder = PieceEncoder(path)
     try:
         yield encoder
     finally:
-        del encoder
-        gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        encoder.close()
 
 
 def tokenizer_path(name: str) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import documents, own_columns, saved
+from roompulse.llm.storage import documents, mapped, own_columns, saved
 
 HIDDEN = 8
 SEGMENT = 64
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.binary())],
                                              names=["label", "window"])
 
-    sample = drawn.mapInArrow(windows, "label string, window binary")
+    sample = drawn.transform(mapped, windows, "label string, window binary")
     found = sorted((r["label"], bytes(r["window"])) for r in sample.limit(2 * train_docs * TRAIN_WINDOWS * len(languages)).collect())
     if not found:
         return [], {}
@@ -257,7 +257,7 @@ def predicted(docs: DataFrame, languages: list[str], weights: Weights, id_col: s
                 names=["doc_id", "lang_pred", "score", *own])
 
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double" + own_columns(rows)
-    return rows.mapInArrow(run, schema)
+    return rows.transform(mapped, run, schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
 from roompulse.llm.encoding import PieceEncoder, encoding_task
-from roompulse.llm.storage import documents, saved
+from roompulse.llm.storage import documents, mapped, saved
 
 CAPACITY = 2048
 SLACK = 0.04
@@ -94,7 +94,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
                     pa.array([wide[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()),
                 ], names=["doc_id", "start", "length", "doc_tokens", "class", "worker", "rank", "ids"])
 
-    return saved(documents(docs, id_col, text_col).mapInArrow(cut, PIECES), "pieces")
+    return saved(documents(docs, id_col, text_col).transform(mapped, cut, PIECES), "pieces")
 
 
 def _merged_tails(tails: list[tuple[int, int]], capacity: int) -> dict[int, int]:

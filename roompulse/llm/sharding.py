@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roompulse.llm.storage import documents, saved
+from roompulse.llm.storage import documents, mapped, saved
 
 SHARDS = 8
 PARCELS = 1024
@@ -150,7 +150,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = groups.repartition(tasks, "group_key").sortWithinPartitions(F.desc("bytes"), "group_key")
-    parcels = saved(dealt.mapInArrow(pack, "group_key string, bytes long, worker int, parcel long"), "parcels")
+    parcels = saved(dealt.transform(mapped, pack, "group_key string, bytes long, worker int, parcel long"), "parcels")
     summed = parcels.groupBy("worker", "parcel").agg(F.sum("bytes").alias("bytes")).collect()
     summed.sort(key=lambda r: (-r["bytes"], r["worker"], r["parcel"]))
     homes = _placed([r["bytes"] for r in summed], shards)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import dropped, finished, own_columns, saved
+from roompulse.llm.storage import dropped, finished, mapped, own_columns, saved
 from roompulse.workspace import new_folder
 
 WIDTH = 100
@@ -315,7 +315,7 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"),
         F.hash(F.col(text_col)).alias("text_key"), *(F.col(c).alias(f"own_{c}") for c in carry))
     texts = base.select("doc_id", "text_key", "text")
-    anchors = texts.mapInArrow(_anchor_rows(width), "gram long, doc_id long, text_key int, place long")
+    anchors = texts.transform(mapped, _anchor_rows(width), "gram long, doc_id long, text_key int, place long")
     counts = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(
         "gram", F.ceil(F.col("n") / HOT_RUNS).cast("int").alias("salts"))
     old = [new_folder(spark, "grams"), new_folder(spark, "runs")]
@@ -324,14 +324,14 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     shared = saved(anchors.join(counts, "gram"), "runs", old[1])
     finished(spark)
     lists = shared.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("gram", "salts", "place")).alias("runs"))
-    found = saved(texts.join(lists, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "runs").mapInArrow(
-        _snippets(width), FOUND), "snippets")
+    found = saved(texts.join(lists, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "runs").transform(
+        mapped, _snippets(width), FOUND), "snippets")
     finished(spark)
     dropped(spark, *old)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     places = saved(
         found.where("kind = 0").repartition(tasks, "gram", "salt").sortWithinPartitions("gram", "salt")
-        .mapInArrow(_refine(width), PLACES), "places")
+        .transform(mapped, _refine(width), PLACES), "places")
     finished(spark)
     heads = places.where("kind = 1")
     at = F.struct("doc_id", "start")
@@ -344,7 +344,7 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
         F.collect_set(F.struct("start", "windows")).alias("repeats")), "repeats")
     finished(spark)
     schema = f"doc_id long, n_bytes long, n_removed long, spans array<long>, kept {'string' if as_text else 'binary'}" + own_columns(base)
-    out = base.join(lists, ["doc_id", "text_key"], "left").drop("text_key").mapInArrow(_cut_text(width, as_text), schema)
+    out = base.join(lists, ["doc_id", "text_key"], "left").drop("text_key").transform(mapped, _cut_text(width, as_text), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
 from roompulse.llm.encoding import encoding_task
-from roompulse.llm.storage import documents, saved
+from roompulse.llm.storage import documents, mapped, saved
 from roompulse.workspace import new_folder
 
 NULL_ID = -(1 << 63)
@@ -81,7 +81,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                 "worker": pa.array([worker], pa.int32()), "name": [name], "docs": [docs_done], "tokens": [tokens_done]})
 
     parts = documents(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    manifest = saved(parts.mapInArrow(write, MANIFEST), "manifest", f"{folder}/manifest")
+    manifest = saved(parts.transform(mapped, write, MANIFEST), "manifest", f"{folder}/manifest")
     before = Window.orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.select(
         F.lit(folder).alias("folder"), F.lit(width).alias("width"), "*",
@@ -121,7 +121,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     # A stated count keeps adaptive execution from reading all files in one task.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = manifest.repartition(tasks, "name")
-    return parts.mapInArrow(read, "doc_id long, start long, ids binary")
+    return parts.transform(mapped, read, "doc_id long, start long, ids binary")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
