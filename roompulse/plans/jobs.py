@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -226,14 +226,10 @@ def export_index(
 ) -> int:
     """Export an index as quoted CSV: all documents, or only the first 1,000. Returns the total."""
     documents = read_index(spark, settings, index)
-    if first:
-        total = documents.count()
-        write_csv(first_documents(documents, documents.columns, EXPORT_ROWS), path)
-        return total
-    # One scan: the rows are counted while they are written.
-    counted = Observation()
-    write_csv(documents.observe(counted, F.count(F.lit(1)).alias("hits")), path)
-    return counted.get["hits"]
+    # Counted by a scan of its own: an observation on the write would leave the session unable to run fitted models.
+    total = documents.count()
+    write_csv(first_documents(documents, documents.columns, EXPORT_ROWS) if first else documents, path)
+    return total
 
 
 def export_indices(
