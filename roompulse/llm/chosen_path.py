@@ -53,8 +53,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     starts, ends, first = bytetext.words(data, offsets)
     hashes = bytetext.span_hashes(data, starts, ends)
     whole = np.zeros(len(hashes), np.uint64)
-    for k in range(words):
-        whole[:len(hashes) - k or None] += hashes[k:] * _PLACES[k]
+    for k in range(min(words, len(hashes))):
+        whole[:len(hashes) - k] += hashes[k:] * _PLACES[k]
     whole = bytetext.mix(whole)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):

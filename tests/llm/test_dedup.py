@@ -132,6 +132,23 @@ def test_near_duplicates_of_drawn_rows(spark, docs, monkeypatch, leaf, block):
     assert found_components(df, words=4) == brute_components(rows, 4, 80)
 
 
+@pytest.mark.parametrize("count", [1, 2, 3, 4])
+def test_near_duplicates_of_one_short_row(spark, docs, count):
+    """Fewer words than a shingle in all of a batch."""
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(count)))], "doc_id long, text string").coalesce(1)
+    assert found_components(df) == [(1, 1, 1)]
+
+
+def test_near_duplicates_of_a_short_row_between_long_ones(spark, docs):
+    """A slice of its own, as its neighbours fill one each; its copy lies in another partition."""
+    long = [" ".join(f"{name}{i}" for i in range(70_000)) for name in ("left", "right")]
+    assert min(map(len, long)) > 1 << 19
+    rows = [(1, long[0]), (2, "one two three"), (3, long[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).unionByName(
+        spark.createDataFrame([(4, "One two  three"), (5, "one two")], "doc_id long, text string").coalesce(1))
+    assert found_components(df) == brute_components([*rows, (4, "One two  three"), (5, "one two")], 5, 80)
+
+
 def test_near_duplicates_of_nothing(empty):
     assert chosen_path.near_duplicates(empty).count() == 0
 
