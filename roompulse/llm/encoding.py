@@ -4,11 +4,15 @@ A byte-pair tokenizer splits a text into words before it merges bytes, so a text
 its pieces encoded apart and their ids joined. The borders used here are those where every supported
 tokenizer splits: before a run of white space, after a single line feed, and between ASCII letters or digits
 and ASCII punctuation (the apostrophe excepted, for contractions). Ids are the same as for the whole text.
+
+Added tokens that a text holds literally (``<|endoftext|>``, say) become their ids, as by the library's defaults; the
+parts between them are texts of their own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -31,6 +35,7 @@ _CLASS[[9, 10, 11, 12, 13, 32]] = _WHITE
 #: Pieces kept between batches; beyond it the table starts anew.
 CACHE_PIECES = 150_000
 _GROUP, _GROUPS = 100, 20
+_ADDED = np.uint64(1 << 40)
 
 
 def _wide_space(data: np.ndarray) -> np.ndarray:
@@ -68,11 +73,24 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Encodes batches of texts with a tokenizers file, each distinct piece once."""
+    """Encodes batches of texts with a tokenizers file, each distinct piece once.
+
+    With ``added_tokens`` literal added tokens become their ids, as by the library's defaults; without, those that
+    are special count as text (the library's ``encode_special_tokens``).
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()} if added_tokens else {}
+        # Added tokens that also take white space, or that are looked for in normalized text, are left to the library.
+        self.whole_texts = added_tokens and any(
+            t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special
+            for t in self.tokenizer.get_added_tokens_decoder().values())
+        # The parts between added tokens hold none, and must not get any by lower case.
+        self.tokenizer.encode_special_tokens = not self.whole_texts
+        self.added_ids = np.array(sorted(self.added.values()), np.uint32)
+        self.added_keys = bytetext.mix(self.added_ids.astype(np.uint64) + _ADDED)
+        self.literals = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.lowers = self._ids("AB") == self._ids("ab")
         if len(self._ids("a\nb")) == 3:
             self.mark, self.mark_id = "\n", self._ids("a\nb")[1]
@@ -92,9 +110,10 @@ class PieceEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _clear(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.first = self.count = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        order = np.argsort(self.added_keys)
+        self.keys = self.added_keys[order]
+        self.first, self.count = order, np.ones(len(order), np.int64)
+        self.ids = self.added_ids
 
     def _odd(self, data: np.ndarray, raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Pieces that aren't one plain word with at most one space before it, or that hold the mark."""
@@ -133,16 +152,43 @@ class PieceEncoder:
                 out[i] = np.array(found.ids, np.uint32)
         return out
 
+    def _added_spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and keys of the added tokens that rows hold literally."""
+        raw = data.tobytes() if self.added else b""
+        spans, keys = [], []
+        if any(literal in raw for literal in self.added):
+            key_of = dict(zip(self.added_ids.tolist(), self.added_keys, strict=True))
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                for found in self.literals.finditer(raw, a, b):
+                    spans.append(found.span())
+                    keys.append(key_of[self.added[found[0]]])
+        starts, ends = np.array(spans, np.int64).reshape(-1, 2).T
+        return starts, ends, np.array(keys, np.uint64)
+
+    def _encode_whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw, borders = data.tobytes(), offsets.tolist()
+        out = [self._ids(raw[a:b].decode()) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return np.concatenate([np.empty(0, np.uint32), *(np.array(ids, np.uint32) for ids in out)]), counts
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows one after the other, and how many each row has."""
         rows = len(offsets) - 1
+        if self.whole_texts:
+            return self._encode_whole(data, offsets)
+        added_starts, added_ends, added_keys = self._added_spans(data, offsets)
         if self.lowers:
             data = bytetext.lower(data)
-        starts = pieces(data, offsets)
+        starts = pieces(data, np.unique(np.concatenate([offsets, added_starts, added_ends])))
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(rows, np.int64)
+        if len(added_starts):
+            token = np.searchsorted(added_starts, starts, side="right") - 1
+            starts = starts[(token < 0) | (starts >= added_ends[token]) | (starts == added_starts[token])]
         ends = np.append(starts[1:], len(data))
-        distinct, at, inverse = np.unique(bytetext.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes = bytetext.span_hashes(data, starts, ends)
+        hashes[np.searchsorted(starts, added_starts)] = added_keys
+        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > CACHE_PIECES:
             self._clear()
         found = np.searchsorted(self.keys, distinct)
@@ -175,7 +221,7 @@ class PieceEncoder:
 @contextmanager
 def encoding_task(path: str) -> Iterator[PieceEncoder]:
     """An encoder for one task; its tokenizer and pieces go at the end."""
-    encoder = PieceEncoder(path)
+    encoder = PieceEncoder(path, added_tokens=True)
     try:
         yield encoder
     finally:

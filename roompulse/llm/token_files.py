@@ -44,8 +44,9 @@ def _store(folder: str) -> tuple[pa.fs.FileSystem, str]:
 
 def _width(path: str) -> int:
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
-    return 2 if max(vocabulary.values()) < 1 << 16 else 4
+        tokenizer = json.load(file)
+    largest = max([*tokenizer["model"]["vocab"].values(), *(t["id"] for t in tokenizer.get("added_tokens") or [])])
+    return 2 if largest < 1 << 16 else 4
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,

@@ -1,5 +1,6 @@
 """Encoding, token files and packing against the tokenizers library called on whole texts."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -10,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from roompulse.llm import bytetext, packing
-from roompulse.llm.encoding import PieceEncoder, tokenizer_path
+from roompulse.llm.encoding import PieceEncoder, encoding_task, tokenizer_path
 from roompulse.llm.token_files import read_token_files, write_token_files
 from roompulse.workspace import new_folder
 
@@ -38,6 +39,61 @@ def test_pieces_give_the_ids_of_whole_texts(name):
             assert ids[end - count:end].tolist() == reference(text), repr(text)
 
 
+def by_default(path):
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+ADDED = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", "endoftext", "İ<|endoftext|>"]
+
+
+def drawn_with_added(count, seed):
+    draw = random.Random(seed)
+    texts = ["".join(draw.choice(ALPHABET + ADDED) for _ in range(draw.randint(0, 12))) for _ in range(count)]
+    return [*texts, None, "", "<|endof", "text|>", "<|endoftext|>", "<|endoftext|>" * 3, "ab <|endoftext|> cd", "\n<|endoftext|>\n"]
+
+
+@pytest.mark.parametrize("odd", [None, {"lstrip": True}, {"special": False, "normalized": True}])
+@pytest.mark.parametrize("name", FILES)
+def test_literal_added_tokens_get_the_ids_of_the_library(name, odd, tmp_path):
+    """By the defaults of the library, also for added tokens that take white space or are looked for in normalized text."""
+    path = tokenizer_path(name)
+    if odd:
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        content["added_tokens"][0].update(odd)
+        path = str(tmp_path / name)
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump(content, file)
+    texts, reference = drawn_with_added(400 if odd else 4000, 5), by_default(path)
+    with encoding_task(path) as encoder:
+        for part in (texts[:300], texts[300:]):
+            ids, counts = encoder.encode(*bytetext.utf8(pa.array(part)))
+            for text, end, count in zip(part, np.cumsum(counts), counts, strict=True):
+                assert ids[end - count:end].tolist() == reference(text), repr(text)
+
+
+def test_literal_added_tokens_in_files_and_sequences(spark, docs):
+    """Ids, starts of later documents and counts are those of the library's defaults."""
+    rows = list(enumerate(drawn_with_added(60, 6)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = tokenizer_path(FILES[0])
+    reference, at = by_default(path), 0
+    found = read_token_files(write_token_files(df, path, new_folder(spark, "tokens"), end_id=0)).collect()
+    for (doc_id, text), r in zip(rows, sorted(found, key=lambda r: r["doc_id"]), strict=True):
+        ids = [*reference(text), 0]
+        assert (r["doc_id"], r["start"], bytes(r["ids"])) == (doc_id, at, np.array(ids, "<u4").tobytes())
+        at += len(ids)
+    path = tokenizer_path(FILES[1])
+    reference, by_doc = by_default(path), defaultdict(list)
+    for r in packing.packed(df, path, end_id=1).collect():
+        by_doc[r["doc_id"]].append((r["start"], r["doc_tokens"], bytes(r["ids"])))
+    for doc_id, text in rows:
+        ids = [*reference(text), 1]
+        assert all(n == len(ids) for _, n, _ in by_doc[doc_id])
+        assert b"".join(b for *_, b in sorted(by_doc[doc_id])) == np.array(ids, "<u4").tobytes()
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
