@@ -37,21 +37,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup on five-word shingles: the document with the smallest id of each group stays."""
+    """MinHash near-dedup on five-word shingles: of each group the row with the smallest id stays (NULL ids last)."""
     importable(spark)
     rows = chosen_path.near_duplicates(docs)
-    linked = rows.where("n_shingles > 0 and doc_id = component_id")
-    first = Window.partitionBy("component_id").orderBy("text_key")
-    kept = linked.withColumn("rank", F.row_number().over(first)).where("rank = 1").select("doc_id", "text_key")
-    # Rows that nothing can be linked with (no words, or no id) stay as they are.
-    apart = rows.where("n_shingles = 0 or component_id is null").select("doc_id", "text_key").distinct()
-    chosen = kept.unionByName(apart).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(chosen["kept_id"]) & (keyed["text_key"] == chosen["kept_key"])
-    out = keyed.join(chosen, same, "left_semi")
-    # Rows repeated whole are one document.
-    rank = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy(F.lit(1)))
-    return out.withColumn("rank", rank).where("rank = 1 or doc_id is null").select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key"))
+    kept = rows.where("label is not null").groupBy("label").agg(first.alias("first")).select(
+        "first.doc_id", "first.text_key", F.lit(False).alias("apart"))
+    # Rows without words can be linked with nothing and stay.
+    apart = rows.where("label is null").select("doc_id", "text_key").distinct().withColumn("apart", F.lit(True))
+    chosen = kept.unionByName(apart).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "apart")
+    # Documents go as one struct, so that their columns can have any name.
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"),
+                        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    out = keyed.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
+    # Rows repeated whole are one document; without words and id they may be different ones.
+    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(1)))
+    return out.withColumn("rank", rank).where("rank = 1 or (apart and id is null)").select("document.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

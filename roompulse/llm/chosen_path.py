@@ -257,7 +257,10 @@ def _branches(nodes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_key (a hash of the text), n_shingles and component_id of each row."""
+    """doc_id, text_key (a hash of the text), n_shingles, label and component_id of each row.
+
+    ``label`` is the component itself (NULL without words); unlinked rows with equal ids share ``component_id`` only.
+    """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
@@ -288,9 +291,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     linked = components(links, "linked")
     labelled = nodes.select("node", "smallest").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    of_node = labelled.join(smallest, "label").select("node", "component_id")
+    of_node = labelled.join(smallest, "label").select("node", "label", "component_id")
     return rows.drop("tokens").join(of_node, "node", "left").select(
-        "doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "text_key", "n_shingles", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -204,6 +204,33 @@ def test_revisits(spark, docs, segment):
     assert revisits.resolved(df.limit(0)).count() == 0
 
 
+def test_near_dedup_of_repeated_and_null_ids(spark, docs):
+    """One row of each group stays and no other text goes, whatever ids and columns the documents have."""
+    import corpus_pipeline
+
+    text = lambda name, last="": " ".join(f"{name}{i}" for i in range(60)) + last
+    groups = [
+        [(5, text("a"))], [(5, text("b")), (7, text("b", " end"))],
+        [(None, text("c")), (None, text("c")), (None, text("c", " end"))],
+        [(None, text("d")), (4, text("d", " end")), (3, text("d", " End."))],
+        [(9, text("e")), (9, text("e"))], [(1, text("f")), (9, text("f", " end"))], [(None, "x")], [(None, "y"), (None, "y")],
+    ]
+    apart = [(None, None), (None, ""), (None, ""), (8, ""), (8, "")]
+    names = ("text_key", "rank", "id", "key", "label", "apart", "kept_id", "kept_key", "document", "component_id", "a.b")
+    table = spark.createDataFrame([r for g in groups for r in g] + apart, "doc_id long, text string").repartition(3).selectExpr(
+        *(f"concat('{n}', doc_id) AS `{n}`" for n in names), "text", "doc_id")
+    out = corpus_pipeline.drop_near_duplicates(spark, table, "")
+    assert out.columns == table.columns
+    rows = out.collect()
+    got = Counter((r["doc_id"], r["text"]) for r in rows)
+    for group in groups:
+        found = [d for d, t in got.elements() if t in {t for _, t in group}]
+        assert found == [min((d for d, _ in group if d is not None), default=None)], group
+    words = {t for g in groups for _, t in g}
+    assert Counter({r: n for r, n in got.items() if r[1] not in words}) == Counter([(None, None), (None, ""), (None, ""), (8, "")])
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in rows for n in names)
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline
 
