@@ -6,8 +6,8 @@ A document is the set of its distinct word shingles; two are linked where their
 1. Every node gets ``TOKENS`` minwise tokens. Each of ``TREES`` independent trees branches all nodes by one of them.
    A branch of more than ``LEAF`` nodes is branched again, each node by two further tokens, down to ``LEVELS``. A pair of
    similarity 0.8 meets in some leaf with a probability above 1 - 1e-6 (1 - 4e-9 where nothing is branched twice).
-2. Leaves are compared exhaustively on the tokens: the share of equal ones, less than 4.5 standard deviations below the
-   threshold. The pairs found are chained, so a leaf gives fewer rows than it has nodes. Leaves still larger than ``BLOCK`` after the
+2. Leaves are compared exhaustively on the tokens: so many must be equal that a pair at the threshold has fewer with a
+   probability below 1e-7 by the binomial law (33 of 64 at 0.8). Step 3 uses the same limit on the same tokens. The pairs found are chained, so a leaf gives fewer rows than it has nodes. Leaves still larger than ``BLOCK`` after the
    last level are compared in pairs of blocks.
 3. The connected groups of these candidates hold all links. Each document's whole set is sent to its group once, and
    links are confirmed on the sets; nodes that are already connected needn't be compared. Groups beyond ``BLOCK``
@@ -22,6 +22,7 @@ component. Rows with equal ids and texts fall into one component; NULL ids are n
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ TREES = 12
 LEAF = 256
 LEVELS = 3
 BLOCK = 2048
+LOSS = 1e-7
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(0, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,14 +96,19 @@ def _profiles(words: int):
     return run
 
 
-def _cut_off(percent: int) -> float:
-    share = percent / 100
-    return share - 4.5 * (share * (1 - share) / TOKENS) ** 0.5
+def least_tokens(percent: int) -> int:
+    """How many tokens a pair must share to be compared; at the threshold it has fewer with a probability below ``LOSS``."""
+    share, below = percent / 100, 0.0
+    for k in range(TOKENS + 1):
+        below += math.comb(TOKENS, k) * share**k * (1 - share)**(TOKENS - k)
+        if below >= LOSS:
+            return k
+    return TOKENS
 
 
 def _chain(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs that connect what is connected by candidate pairs; each node is compared with those not reached yet."""
-    least = _cut_off(percent) * TOKENS
+    least = least_tokens(percent)
     left, out = np.arange(len(sizes)), []
     while len(left):
         queue, left = [int(left[0])], left[1:]
@@ -187,7 +194,7 @@ def _confirmed(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect what is connected by links; each set is compared with those not reached yet."""
     sizes = np.array([len(s) for s in sets])
     tokens = np.stack([minwise(s) for s in sets])
-    least = _cut_off(percent) * TOKENS
+    least = least_tokens(percent)
     left, out = np.arange(len(sets)), []
     while len(left):
         queue, left = [int(left[0])], left[1:]

@@ -1,6 +1,7 @@
 """Suffix-array dedup, near-duplicates and decontamination against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -153,6 +154,24 @@ def test_near_duplicates_of_nothing(empty):
     assert chosen_path.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 95, 100])
+def test_pairs_at_the_threshold_share_enough_tokens(percent):
+    """By the binomial law the token limit loses less than a pair in a million, and pairs at the limit are compared."""
+    least, n = chosen_path.least_tokens(percent), chosen_path.TOKENS
+    lost = sum(math.comb(n, k) * (percent / 100)**k * (1 - percent / 100)**(n - k) for k in range(least))
+    assert 0 < least <= n and lost < 1e-6
+    tokens = np.zeros((2, n), np.int32)
+    tokens[1, least:] = 1
+    assert chosen_path._chain(tokens, np.array([100, 100]), percent) == [(0, 1)]
+
+
+def test_a_pair_of_few_equal_tokens_is_linked(monkeypatch):
+    """33 of 64 tokens, sets of similarity 0.8."""
+    monkeypatch.setattr(chosen_path, "minwise", lambda s: np.arange(64) + (64 if s[0] == 1 else 0) * (np.arange(64) >= 33))
+    sets = [np.arange(0, 9, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64)]
+    assert chosen_path._confirmed(sets, 80) == [(0, 1)]
+
+
 def test_components_of_chains_and_stars(spark, docs):
     edges = [(f"c{i:03}", f"c{i + 1:03}") for i in range(60)] + [("s9", f"s{i}") for i in range(9)] + [("x", "x")]
     labels = components(spark.createDataFrame(edges, "u string, v string")).collect()
