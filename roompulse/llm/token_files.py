@@ -1,4 +1,5 @@
-"""Token-id files: flat unsigned integers and 64-bit document offsets, read back by memory map.
+"""Token-id files: flat unsigned integers and 64-bit document offsets, read back by memory map, or by range where the
+store isn't local.
 
 Documents are range-partitioned by id and sorted, so the partitions' files in order are the corpus in
 ascending ``doc_id`` order (NULL ids first). Each task writes
@@ -20,6 +21,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +92,36 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
     )
 
 
-def _array(store: pa.fs.FileSystem, path: str, kind: str) -> np.ndarray:
-    if isinstance(store, pa.fs.LocalFileSystem):
-        return np.memmap(path, dtype=kind, mode="r")
-    with store.open_input_file(path) as file:
-        return np.frombuffer(file.read(), dtype=kind)
+class _Ranges:
+    """Slices of a file of integers, by memory map where it is local, else by range reads."""
+
+    def __init__(self, store: pa.fs.FileSystem, path: str, kind: str):
+        self.kind = np.dtype(kind)
+        self.local = np.memmap(path, dtype=kind, mode="r") if isinstance(store, pa.fs.LocalFileSystem) else None
+        self.file = store.open_input_file(path) if self.local is None else None
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        if self.file is None:
+            return self.local[part]
+        self.file.seek(part.start * self.kind.itemsize)
+        wanted = (part.stop - part.start) * self.kind.itemsize
+        found = np.frombuffer(self.file.read(wanted), dtype=self.kind)
+        if found.nbytes != wanted:
+            raise EOFError(f"{wanted} bytes from item {part.start} on wanted, {found.nbytes} read")
+        return found
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+@contextmanager
+def _ranges(store: pa.fs.FileSystem, path: str, kind: str) -> Iterator[_Ranges]:
+    ranges = _Ranges(store, path, kind)
+    try:
+        yield ranges
+    finally:
+        ranges.close()
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -104,20 +131,21 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for part in batch.to_pylist():
                 store, root = _store(part["folder"])
-                ids = _array(store, f"{root}/{part['name']}.ids", f"<u{part['width']}")
-                off = _array(store, f"{root}/{part['name']}.off", "<i8")
-                doc = _array(store, f"{root}/{part['name']}.doc", "<i8")
-                for first in range(0, len(doc), BATCH_DOCS):
-                    some = off[first:first + BATCH_DOCS + 1]
-                    block = ids[some[0]:some[-1]].astype("<u4")
-                    wide = (some - some[0]) * 4
-                    names = np.asarray(doc[first:first + BATCH_DOCS])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(names, pa.int64(), mask=names == NULL_ID),
-                        pa.array(part["base"] + some[:-1], pa.int64()),
-                        pa.array([block.data.cast("B")[a:b] for a, b in zip(wide[:-1].tolist(), wide[1:].tolist(), strict=True)],
-                                 pa.binary()),
-                    ], names=["doc_id", "start", "ids"])
+                path = f"{root}/{part['name']}"
+                with _ranges(store, f"{path}.ids", f"<u{part['width']}") as ids, \
+                        _ranges(store, f"{path}.off", "<i8") as off, _ranges(store, f"{path}.doc", "<i8") as doc:
+                    for first in range(0, part["docs"], BATCH_DOCS):
+                        last = min(first + BATCH_DOCS, part["docs"])
+                        some = off[first:last + 1]
+                        block = ids[int(some[0]):int(some[-1])].astype("<u4")
+                        wide = (some - some[0]) * 4
+                        names = np.asarray(doc[first:last])
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(names, pa.int64(), mask=names == NULL_ID),
+                            pa.array(part["base"] + some[:-1], pa.int64()),
+                            pa.array([block.data.cast("B")[a:b] for a, b in zip(wide[:-1].tolist(), wide[1:].tolist(), strict=True)],
+                                     pa.binary()),
+                        ], names=["doc_id", "start", "ids"])
 
     # A stated count keeps adaptive execution from reading all files in one task.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -112,6 +112,35 @@ def test_token_files_round_trip(spark, docs):
         at += len(r["ids"]) // 4
 
 
+def test_files_of_other_stores_are_read_by_range(tmp_path):
+    """Slices are those of the whole file, and no read asks for more than its slice."""
+    from pyarrow import fs
+
+    from roompulse.llm import token_files
+
+    values = np.arange(5000, dtype="<u2")
+    values.tofile(tmp_path / "x.ids")
+    store = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    with token_files._ranges(store, "x.ids", "<u2") as ids:
+        opened, asked = ids.file, []
+
+        class Counted:
+            seek, close = opened.seek, opened.close
+
+            def read(self, size):
+                asked.append(size)
+                return opened.read(size)
+
+        ids.file = Counted()
+        for a, b in ((0, 10), (4000, 5000), (7, 7), (20, 1000)):
+            assert ids[a:b].tolist() == values[a:b].tolist()
+        assert asked == [20, 2000, 0, 1960]
+        with pytest.raises(EOFError):
+            ids[4990:5001]
+    with token_files._ranges(fs.LocalFileSystem(), str(tmp_path / "x.ids"), "<u2") as ids:
+        assert isinstance(ids.local, np.memmap) and ids[20:30].tolist() == values[20:30].tolist()
+
+
 def test_token_files_of_nothing(spark, empty):
     assert read_token_files(write_token_files(empty, tokenizer_path(FILES[0]), new_folder(spark, "tokens"), 0)).count() == 0
 
