@@ -85,7 +85,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("benchmark decontamination", decontaminate_documents),
     ("packing", pack),
 ]
-# Training, suffix sorting and tokenizing are beyond SQL; tests hold each stage against a brute-force version.
+# Training, suffix sorting and tokenizing are beyond SQL; tests hold near-dedup, and the operators of most other stages, against a
+# brute-force version.
 ORACLE_SQL = None
 
 
