@@ -17,6 +17,7 @@ from roompulse.llm import (
     sharding,
     suffix_dedup,
     token_files,
+    zone_clusters,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_cleaning": line_cleaning.op8_line_cleaning,
     "op9_token_files": token_files.op9_token_files,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op13_zone_clusters": zone_clusters.op13_zone_clusters,
 }
 ORACLES: dict[str, str] = {
     "op1_suffix_array_dedup": suffix_dedup.OP1_SQL,
@@ -40,4 +42,5 @@ ORACLES: dict[str, str] = {
     "op6_chat_template": chat.OP6_SQL,
     "op8_line_cleaning": line_cleaning.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op13_zone_clusters": zone_clusters.OP13_SQL,
 }

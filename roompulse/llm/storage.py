@@ -23,11 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = 1000
 
 
-def saved(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def saved(df: DataFrame, name: str, folder: str | None = None, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write a table to the shared folder and read it back: later work starts from committed files."""
     spark = df.sparkSession
     folder = folder or new_folder(spark, name)
-    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}):
         df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
