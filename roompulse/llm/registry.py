@@ -13,6 +13,7 @@ from roompulse.llm import (
     language_id,
     line_cleaning,
     packing,
+    prefix_trie,
     revisits,
     sharding,
     suffix_dedup,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_cleaning": line_cleaning.op8_line_cleaning,
     "op9_token_files": token_files.op9_token_files,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op13_zone_clusters": zone_clusters.op13_zone_clusters,
 }
 ORACLES: dict[str, str] = {
@@ -42,5 +44,6 @@ ORACLES: dict[str, str] = {
     "op6_chat_template": chat.OP6_SQL,
     "op8_line_cleaning": line_cleaning.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op13_zone_clusters": zone_clusters.OP13_SQL,
 }
