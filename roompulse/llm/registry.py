@@ -13,6 +13,7 @@ from roompulse.llm import (
     language_id,
     line_cleaning,
     packing,
+    page_text,
     prefix_trie,
     revisits,
     sharding,
@@ -35,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": token_files.op9_token_files,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_page_text": page_text.op12_page_text,
     "op13_zone_clusters": zone_clusters.op13_zone_clusters,
 }
 ORACLES: dict[str, str] = {
@@ -45,5 +47,6 @@ ORACLES: dict[str, str] = {
     "op8_line_cleaning": line_cleaning.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_page_text": page_text.OP12_SQL,
     "op13_zone_clusters": zone_clusters.OP13_SQL,
 }
