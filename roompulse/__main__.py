@@ -28,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--state-partitions", type=int, help="partitions of a stream's state, fixed with its checkpoint")
     top.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
     top.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch at most")
+    top.add_argument("--follow", action="store_true", help="read what is appended to log files, not only new files")
+    top.add_argument("--once-within", help="read a message that is published again within this time once, e.g. '1 hour'")
     top.add_argument("--quiet", action="store_true", help="no console output of streams")
     top.add_argument("--once", action="store_true", help="process what is there and stop")
     job = top.add_subparsers(dest="job", required=True)
@@ -79,6 +81,7 @@ def main(arguments: list[str] | None = None) -> None:
         index_format=args.index_format, index_root=args.index_root,
         starting_offsets=args.starting_offsets or ("earliest" if args.once else None),
         min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets, max_bytes_per_trigger=args.max_bytes,
+        follow_appended=args.follow, once_within=args.once_within,
     )
     conf = settings.index_options()
     if args.state_partitions:

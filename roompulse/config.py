@@ -33,7 +33,8 @@ class Settings:
     ``starting_offsets`` is where a stream without a checkpoint begins (the bus's default is the latest
     message), ``min_partitions`` the number of tasks that read a topic at least.
     ``max_offsets_per_trigger`` (messages) and ``max_bytes_per_trigger`` (files) bound a micro-batch
-    when a stream has to catch up.
+    when a stream has to catch up. ``follow_appended`` reads what is appended to log files, not only new files. With
+    ``once_within`` (a length of time) a message that is published again within it is read once.
     """
 
     broker: str = ENVIRONMENT["broker"][1]
@@ -50,6 +51,8 @@ class Settings:
     min_partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     max_bytes_per_trigger: int | None = None
+    follow_appended: bool = False
+    once_within: str | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> Settings:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX, RAW_SUFFIX, Settings
 from roompulse.functions.ingest import (
-    iso_text, parse_readings, stamped_records, with_document_id,
+    iso_text, message_key, parse_readings, stamped_records, with_document_id,
 )
 from roompulse.functions.logs import matched_log, matched_logfmt
 from roompulse.functions.scoring import LinearModel
@@ -31,7 +31,8 @@ from roompulse.sinks.batch import write_csv, write_json_lines, write_topic
 from roompulse.sinks.stream import start, to_batches, to_console, to_index, to_topic
 from roompulse.sources.files import read_appended_csv, read_lines, stream_lines, two_field_rows
 from roompulse.sources.index import read_index
-from roompulse.sources.topics import replay_topic, stream_topic
+from roompulse.sources.tail import tail_lines
+from roompulse.sources.topics import once_only, replay_topic, stream_topic
 from roompulse.streaming.labelling import label_batches
 from roompulse.streaming.occupancy import approximate_windows, exact_windows, sketched_windows
 from roompulse.streaming.outputs import (
@@ -46,10 +47,15 @@ Trigger = dict | None
 def _messages(spark: SparkSession, settings: Settings, topic: str | None = None) -> DataFrame:
     """A topic's stream; messages of a bus have a place in it, which becomes their document id."""
     messages = stream_topic(spark, settings, topic)
+    if settings.once_within is not None:
+        messages = once_only(messages, settings.once_within)
     return with_document_id(messages) if settings.stream_format == "kafka" else messages
 
 
 def _log_lines(spark: SparkSession, settings: Settings, logs: str) -> DataFrame:
+    """New lines of the logs; those of followed files have an id, which becomes their message's key."""
+    if settings.follow_appended:
+        return tail_lines(spark, logs).select(message_key().alias("key"), "value")
     return stream_lines(spark, logs, **settings.file_source_options())
 
 
@@ -136,7 +142,7 @@ def occupancy(
     Complete mode keeps every window's sketch for ever and reads the topic again, so the console is
     off unless asked for; the newest windows are those of the index, latest start first.
     """
-    sightings = parse_readings(stream_topic(spark, settings), DEVICE_SIGHTING)
+    sightings = parse_readings(_messages(spark, settings), DEVICE_SIGHTING).drop(DOCUMENT_ID)
     windows = OCCUPANCY_FORMS[form](sightings, **window_options)
     id_column = None
     if settings.index_format == "es":
@@ -161,7 +167,7 @@ def label_log(
     Lines without all sensor values go to ``<path>_rejected`` as they came.
     """
     both = label_batches(csv_output(path), table_output(f"{path}_rejected"))
-    lines = _log_lines(spark, settings, logs)
+    lines = _log_lines(spark, settings, logs).select("value")
     return start(to_batches(lines, "label_log", checkpoints, both), spark, trigger)
 
 

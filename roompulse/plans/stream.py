@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from dataclasses import replace
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.config import OCCUPANCY_SUFFIX
+from roompulse.config import ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX
 from roompulse.functions.ingest import parse_readings, stamped_records
 from roompulse.plans import jobs
 from roompulse.plans.batch import (
@@ -16,11 +22,12 @@ from roompulse.plans.batch import (
 from roompulse.plans.catalog import READINGS_SQL, query
 from roompulse.plans.readings import events, events_stream, messages, readings, sightings
 from roompulse.schemas import ROOM_READING, TRAINING_ROW
-from roompulse.sinks.batch import write_lines
+from roompulse.sinks.batch import write_lines, write_topic
 from roompulse.sinks.stream import drain, to_batches, to_csv, to_files, to_index, to_json_lines, to_topic
 from roompulse.sources.files import read_appended_csv, stream_lines
 from roompulse.sources.index import read_index
-from roompulse.sources.topics import replay_topic, stream_topic
+from roompulse.sources.tail import tail_lines
+from roompulse.sources.topics import once_only, replay_topic, stream_topic
 from roompulse.streaming.carry_forward import carry_forward_stream
 from roompulse.streaming.labelling import label_batches, labelled_readings
 from roompulse.streaming.occupancy import (
@@ -63,6 +70,117 @@ def json_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).json(f"{root}/out")
 
 
+LOGS = 4
+
+
+def grow_logs(lines: DataFrame, folder: str, before: dict[int, int] | None = None) -> dict[int, int]:
+    """Append lines to ``LOGS`` files that were ``before`` long, one task each; a repeated task writes the same bytes again."""
+    before = before or {}
+    folder = folder.removeprefix("file://").removeprefix("file:")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/room-{number}.log", "r+b" if number in before else "w+b") as file:
+            file.truncate(before.get(number, 0))
+            file.seek(before.get(number, 0))
+            for batch in batches:
+                file.write("".join(f"{line}\n" for line in batch["value"].to_pylist()).encode())
+            yield pa.RecordBatch.from_pydict({"number": [number], "size": [file.tell()]})
+
+    return dict(lines.select("value").repartition(LOGS, "value").mapInArrow(write, "number long, size long").collect())
+
+
+def in_two_deliveries(source: DataFrame) -> list[DataFrame]:
+    """Events before and from the middle of their time on."""
+    micros = F.unix_micros("ts")
+    lo, hi = source.agg(F.min(micros), F.max(micros)).first()
+    half = lo + (hi - lo) // 2
+    return [source.filter(micros < half), source.filter(micros >= half)]
+
+
+def log_lines(rows: DataFrame) -> DataFrame:
+    return messages(rows).select(F.col("value").cast("string").alias("value"))
+
+
+@query(READINGS_SQL + f"SELECT {READING_SQL_COLUMNS} FROM readings")
+def json_tail_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Follow JSON logs that grow between two runs: what was appended to the same files is read on."""
+    root = new_folder(spark, "json_tail_appended")
+    sizes: dict[int, int] = {}
+    for delivery in in_two_deliveries(events(spark, sf_dir)):
+        sizes = grow_logs(log_lines(delivery), f"{root}/logs", sizes)
+        rows = with_time_text(parse_readings(tail_lines(spark, f"{root}/logs"), ROOM_READING))
+        drain(to_json_lines(rows, "json_tail_appended", f"{root}/checkpoints", f"{root}/out"), spark)
+    return spark.read.schema(rows.schema).json(f"{root}/out")
+
+
+@query(READINGS_SQL + "SELECT mac, rssi, temperature, humidity, light, 2 AS published FROM readings")
+def ship_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship followed logs to a bus that gets every batch twice: readers get each record once."""
+    root = new_folder(spark, "ship_once")
+    settings = replace(file_settings(spark, "ship_once_topic"), follow_appended=True, once_within="1 hour")
+    sizes: dict[int, int] = {}
+    for delivery in in_two_deliveries(events(spark, sf_dir)):
+        sizes = grow_logs(log_lines(delivery), f"{root}/logs", sizes)
+        jobs.ship_log(spark, settings, f"{root}/logs", f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
+    # A bus takes a batch that is published again a second time.
+    shipped = replay_topic(spark, settings).select("key", "value")
+    for _ in range(2):
+        write_topic(shipped, settings, "bus", whole=True)
+    rows = parse_readings(once_only(stream_topic(spark, settings, "bus"), settings.once_within), ROOM_READING).drop("timestamp")
+    drain(to_files(rows, "ship_once_read", f"{root}/checkpoints", f"{root}/out"), spark)
+    times = replay_topic(spark, settings, "bus").count() // events(spark, sf_dir).count()
+    return spark.read.parquet(f"{root}/out").withColumn("published", F.lit(times))
+
+
+@query(READINGS_SQL + """
+SELECT 'envData' AS route, event_id, NULL::INTEGER AS rssi, temperature, TRUE AS is_stamped FROM readings
+UNION ALL SELECT 'macs', event_id, rssi, NULL, TRUE FROM readings""")
+def route_log_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routing job over followed logs: whole stamped records, each topic without the other's keys."""
+    root = new_folder(spark, "route_log_job")
+    settings = replace(file_settings(spark, "route_log_topics"), follow_appended=True)
+    raw = readings(events(spark, sf_dir))
+    grow_logs(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")), f"{root}/logs")
+    jobs.route_log(spark, settings, f"{root}/logs", f"{root}/checkpoints", {"availableNow": True}).awaitTermination()
+    schema = "event_id long, rssi int, temperature double, timestamp double"
+    parts = [
+        replay_topic(spark, settings, topic).select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select(
+            F.lit(topic).alias("route"), "r.event_id", "r.rssi", "r.temperature", (F.col("r.timestamp") > 1.7e9).alias("is_stamped"))
+        for topic in (ENV_TOPIC, MACS_TOPIC)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+SELECT event_id, form, CASE WHEN form < 4 THEN text END AS logged, CASE WHEN form >= 4 THEN text END AS kept
+FROM (
+  SELECT event_id, event_id % 7 AS form, CASE event_id % 7
+    WHEN 0 THEN '{"id":' || event_id || ',"a":1,"a":2}' WHEN 1 THEN '{"id":' || event_id || '} tail'
+    WHEN 2 THEN '{"id":' || event_id || '}{"b":2}' WHEN 3 THEN '{"id":' || event_id || ',"timestamp":1,"a":1e400}'
+    WHEN 4 THEN '{"id":' || event_id || ',"a":1e400}' WHEN 5 THEN '{"id":' || event_id || ',"a":1.10,"b":{"c":[ 1 ]}}'
+    ELSE '{"id":' || event_id || ',"a":12345678901234567890123456789012345678901234}' END AS text
+  FROM events
+)""")
+def ship_odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship lines that are not one JSON object, or hold numbers that parsers change: all of their text arrives."""
+    root = new_folder(spark, "ship_odd_lines")
+    settings = file_settings(spark, "ship_odd_lines_topic")
+    tails = [',"a":1,"a":2}', "} tail", '}{"b":2}', ',"timestamp":1,"a":1e400}', ',"a":1e400}', ',"a":1.10,"b":{"c":[ 1 ]}}',
+             ',"a":12345678901234567890123456789012345678901234}']
+    form = F.col("event_id") % 7
+    tail = F.element_at(F.array(*map(F.lit, tails)), (form + 1).cast("int"))
+    write_lines(events(spark, sf_dir).select(F.concat(F.lit('{"id":'), "event_id", tail).alias("value")), f"{root}/logs")
+    shipped = stamped_records(stream_lines(spark, f"{root}/logs"))
+    drain(to_topic(shipped, "ship_odd_lines", f"{root}/checkpoints", settings, whole=True), spark)
+    text = F.col("value").cast("string")
+    found = replay_topic(spark, settings).select(
+        F.get_json_object(text, "$.log").alias("logged"), F.regexp_replace(text, r',"timestamp":[0-9.]+\}$', "}").alias("whole"))
+    event = F.regexp_extract(F.coalesce("logged", "whole"), r'"id":([0-9]+)', 1).cast("long")
+    return found.select(event.alias("event_id"), (event % 7).alias("form"), "logged", F.when(F.col("logged").isNull(), F.col("whole")).alias("kept"))
+
+
 @query(READINGS_SQL + f"SELECT {READING_SQL_COLUMNS} FROM readings")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic to typed readings in an index."""

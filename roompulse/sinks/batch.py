@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from roompulse.config import Settings
-from roompulse.functions.ingest import to_json_value
+from roompulse.functions.ingest import as_bytes, to_json_value
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
@@ -37,9 +37,7 @@ def write_topic(df: DataFrame, settings: Settings, topic: str | None = None, who
     if settings.stream_format == "kafka":
         messages.write.format("kafka").options(**settings.kafka_sink_options(topic)).save()
     else:
-        messages.select(messages["value"].cast("binary").alias("value")).write.mode("append").format(
-            settings.stream_format
-        ).save(settings.topic_path(topic))
+        as_bytes(messages).write.mode("append").format(settings.stream_format).save(settings.topic_path(topic))
 
 
 def write_index(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roompulse.config import Settings
-from roompulse.functions.ingest import to_json_value
+from roompulse.functions.ingest import as_bytes, to_json_value
 from roompulse.session import session_conf, state_conf
 
 BatchFunction = Callable[[DataFrame, int], None]
@@ -83,7 +83,7 @@ def to_topic(
             .format("kafka")
             .options(**settings.kafka_sink_options(topic))
         )
-    messages = messages.select(messages["value"].cast("binary").alias("value"))
+    messages = as_bytes(messages)
     return to_files(messages, name, checkpoint_root, settings.topic_path(topic), settings.stream_format)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roompulse.config import Settings
 from roompulse.schemas import ENVELOPE
@@ -30,3 +31,19 @@ def replay_topic(
         source = settings.kafka_source_options(topic, from_beginning=True)
         return reader.options(**source).options(**options).load()
     return reader.schema(ENVELOPE).options(**options).load(settings.topic_path(topic))
+
+
+def once_only(messages: DataFrame, within: str) -> DataFrame:
+    """A stream of messages in which one that was published again within a time comes once.
+
+    Copies of a message have its key. A message without a key is told apart by its place in the topic, and without that it is
+    taken as it is. The time is that of reading: event times would let a partition that lags behind lose its messages. The
+    state holds one key per message read in the last ``within``; a copy that comes later is a message of its own.
+    """
+    place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    own = F.when(F.col("partition").isNotNull() & F.col("offset").isNotNull(), place).otherwise(F.uuid())
+    named = messages.withColumns({
+        "_once": F.when(F.col("key").isNotNull(), F.concat(F.lit("k"), F.hex("key"))).otherwise(F.concat(F.lit("p"), own)),
+        "_came": F.current_timestamp(),
+    })
+    return named.withWatermark("_came", within).dropDuplicatesWithinWatermark(["_once"]).select(*messages.columns)

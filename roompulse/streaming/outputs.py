@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from roompulse.config import Settings
-from roompulse.functions.ingest import to_json_value
+from roompulse.functions.ingest import as_bytes, to_json_value
 from roompulse.schemas import DOCUMENT_ID
 from roompulse.sinks.batch import write_index, write_topic
 from roompulse.sources.index import OWN_BATCH_ID
@@ -82,7 +81,7 @@ def topic_output(settings: Settings, topic: str, whole: bool = False) -> BatchFu
         if settings.stream_format == "kafka":
             write_topic(batch, settings, topic, whole)
         else:
-            values = (batch if whole else to_json_value(batch)).select(F.col("value").cast("binary").alias("value"))
+            values = as_bytes(batch if whole else to_json_value(batch))
             write_batch(values, settings.topic_path(topic), batch_id, settings.stream_format)
 
     return write
