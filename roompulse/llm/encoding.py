@@ -32,8 +32,10 @@ for _code in range(128):
     elif chr(_code).isprintable() and chr(_code) not in " '":
         _CLASS[_code] = _PUNCT
 _CLASS[[9, 10, 11, 12, 13, 32]] = _WHITE
-#: Pieces kept between batches; beyond it the table starts anew.
-CACHE_PIECES = 150_000
+#: Pieces kept between slices; beyond it those that came up in one slice only go, and of the others the rarer ones.
+CACHE_PIECES = 400_000
+#: Bytes of text that are encoded at a time: a piece is looked up once in each slice that has it.
+ENCODE_BYTES = 1 << 21
 _GROUP, _GROUPS = 100, 20
 _ADDED = np.uint64(1 << 40)
 
@@ -112,9 +114,22 @@ class PieceEncoder:
     def _clear(self) -> None:
         order = np.argsort(self.added_keys)
         self.keys = self.added_keys[order]
-        self.first, self.count = order, np.ones(len(order), np.int64)
+        self.first, self.count, self.uses = order, np.ones(len(order), np.int64), np.zeros(len(order), np.int64)
         self.ids = self.added_ids
 
+    def _forget(self) -> None:
+        """Keep the pieces that came up in more than one slice, at most half of ``CACHE_PIECES``: the more slices the better."""
+        rare = np.isin(self.keys, self.added_keys, invert=True)
+        least = 2
+        if len(self.uses) > CACHE_PIECES // 2:
+            least = max(least, int(np.partition(self.uses, -(CACHE_PIECES // 2))[-(CACHE_PIECES // 2)]) + 1)
+        kept = np.flatnonzero(~rare | (self.uses >= least))
+        count = self.count[kept]
+        self.ids = self.ids[bytetext.ragged(self.first[kept], count)]
+        self.keys, self.first, self.count = self.keys[kept], np.cumsum(count) - count, count
+        # What was kept has to come up again to stay.
+        self.uses = np.ones(len(kept), np.int64)
+
     def _odd(self, data: np.ndarray, raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Pieces that aren't one plain word with at most one space before it, or that hold the mark."""
         white = (_CLASS[data] == _WHITE) | _wide_space(data)
@@ -190,11 +205,12 @@ class PieceEncoder:
         hashes[np.searchsorted(starts, added_starts)] = added_keys
         distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > CACHE_PIECES:
-            self._clear()
+            self._forget()
         found = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = found < len(self.keys)
         known[inside] = self.keys[found[inside]] == distinct[inside]
+        self.uses[found[known]] += 1
         new = np.flatnonzero(~known)
         if len(new):
             raw = data.tobytes()
@@ -204,11 +220,10 @@ class PieceEncoder:
             count = np.fromiter(map(len, encoded), np.int64, len(encoded))
             first = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, *encoded])
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys)
-            self.keys = keys[order]
-            self.first = np.concatenate([self.first, first])[order]
-            self.count = np.concatenate([self.count, count])[order]
+            at = found[new]  # both are sorted
+            self.keys = np.insert(self.keys, at, distinct[new])
+            self.first, self.count = np.insert(self.first, at, first), np.insert(self.count, at, count)
+            self.uses = np.insert(self.uses, at, 1)
             found = np.searchsorted(self.keys, distinct)
         place = found[inverse.reshape(-1)]
         count = self.count[place]
@@ -218,14 +233,19 @@ class PieceEncoder:
         return ids, np.diff(borders)
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
 @contextmanager
 def encoding_task(path: str) -> Iterator[PieceEncoder]:
-    """An encoder for one task; its tokenizer and pieces go at the end."""
-    encoder = PieceEncoder(path, added_tokens=True)
-    try:
-        yield encoder
-    finally:
-        encoder.close()
+    """The encoder of this worker process, whose tasks run one after the other; it holds one tokenizer at a time."""
+    encoder = _ENCODERS.get(path)
+    if encoder is None:
+        for other in _ENCODERS.values():
+            other.close()
+        _ENCODERS.clear()
+        encoder = _ENCODERS[path] = PieceEncoder(path, added_tokens=True)
+    yield encoder
 
 
 def tokenizer_path(name: str) -> str:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.encoding import PieceEncoder, encoding_task
+from roompulse.llm.encoding import ENCODE_BYTES, PieceEncoder, encoding_task
 from roompulse.llm.storage import documents, mapped, saved
 
 CAPACITY = 2048
@@ -64,7 +64,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
         for batch in batches:
             data, offsets = bytetext.utf8(batch["text"])
             doc_ids = batch["doc_id"]
-            for first, last in bytetext.slices(offsets):
+            for first, last in bytetext.slices(offsets, ENCODE_BYTES):
                 ids, counts = encoder.encode(
                     data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                 ends = np.cumsum(counts)

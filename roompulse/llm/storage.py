@@ -58,6 +58,7 @@ def finished(spark: SparkSession) -> None:
 def release_memory() -> None:
     """Give freed memory back to the system: Python workers live on between tasks and would keep what one task needed."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

@@ -1,8 +1,8 @@
 """Token-id files: flat unsigned integers and 64-bit document offsets, read back by memory map, or by range where the
 store isn't local.
 
-Documents are range-partitioned by id and sorted, so the partitions' files in order are the corpus in
-ascending ``doc_id`` order (NULL ids first). Each task writes
+Documents are encoded where they lie; their ids are range-partitioned by document id and sorted, so the partitions' files in
+order are the corpus in ascending ``doc_id`` order (NULL ids first). Each task writes
 
 * ``<name>.ids``: the token ids of its documents, little-endian, 2 bytes each where the vocabulary allows, else 4;
 * ``<name>.off``: n + 1 offsets into them, signed 64-bit little-endian;
@@ -25,14 +25,15 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.encoding import encoding_task
-from roompulse.llm.storage import documents, mapped, saved
+from roompulse.llm.encoding import ENCODE_BYTES, encoding_task
+from roompulse.llm.storage import documents, dropped, finished, mapped, saved
 from roompulse.workspace import new_folder
 
 NULL_ID = -(1 << 63)
@@ -54,7 +55,22 @@ def _width(path: str) -> int:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files of a corpus below a shared folder; returns their manifest with bases."""
-    width = _width(tokenizer)
+    spark, width = docs.sparkSession, _width(tokenizer)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoding_task(tokenizer) as encoder:
+            for batch in batches:
+                data, offsets = bytetext.utf8(batch["text"])
+                for first, last in bytetext.slices(offsets, ENCODE_BYTES):
+                    ids, counts = encoder.encode(
+                        data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+                    ends = np.cumsum(counts)
+                    raw = np.insert(ids, ends, end_id).astype(f"<u{width}").data.cast("B")
+                    bounds = (np.append(0, ends + np.arange(1, len(ends) + 1)) * width).tolist()
+                    yield pa.RecordBatch.from_arrays([
+                        batch["doc_id"].slice(first, last - first).cast(pa.int64()),
+                        pa.array([raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+                    ], names=["doc_id", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(folder)
@@ -64,27 +80,26 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
         docs_done = tokens_done = 0
         with store.open_output_stream(f"{root}/{name}.ids") as ids_file, \
                 store.open_output_stream(f"{root}/{name}.off") as off_file, \
-                store.open_output_stream(f"{root}/{name}.doc") as doc_file, \
-                encoding_task(tokenizer) as encoder:
+                store.open_output_stream(f"{root}/{name}.doc") as doc_file:
             off_file.write(np.zeros(1, "<i8").tobytes())
             for batch in batches:
-                data, offsets = bytetext.utf8(batch["text"])
-                doc_file.write(batch["doc_id"].cast(pa.int64()).fill_null(NULL_ID).to_numpy().astype("<i8").tobytes())
-                for first, last in bytetext.slices(offsets):
-                    ids, counts = encoder.encode(
-                        data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
-                    ends = np.cumsum(counts)
-                    ids = np.insert(ids, ends, end_id)
-                    ids_file.write(ids.astype(f"<u{width}").tobytes())
-                    off_file.write((tokens_done + ends + np.arange(1, len(ends) + 1)).astype("<i8").tobytes())
-                    tokens_done += len(ids)
+                doc_file.write(batch["doc_id"].fill_null(NULL_ID).to_numpy().astype("<i8").tobytes())
+                sizes = pc.binary_length(batch["ids"]).to_numpy().astype("<i8") // width
+                for ids in batch["ids"]:
+                    ids_file.write(ids.as_buffer())
+                off_file.write((tokens_done + np.cumsum(sizes)).astype("<i8").tobytes())
+                tokens_done += int(sizes.sum())
                 docs_done += batch.num_rows
         if docs_done:
             yield pa.RecordBatch.from_pydict({
                 "worker": pa.array([worker], pa.int32()), "name": [name], "docs": [docs_done], "tokens": [tokens_done]})
 
-    parts = documents(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Ids are a fraction of the text: they are what is shuffled and sorted.
+    encoded = saved(documents(docs, id_col, text_col).transform(mapped, encode, "doc_id long, ids binary"), "encoded", f"{folder}/encoded")
+    parts = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     manifest = saved(parts.transform(mapped, write, MANIFEST), "manifest", f"{folder}/manifest")
+    finished(spark)
+    dropped(spark, f"{folder}/encoded")
     before = Window.orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.select(
         F.lit(folder).alias("folder"), F.lit(width).alias("width"), "*",

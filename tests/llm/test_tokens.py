@@ -179,3 +179,20 @@ def test_packing_places_every_id_once(spark, docs):
 
 def test_packing_nothing(spark, empty):
     assert packing.packed(empty, tokenizer_path(FILES[1]), end_id=1).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 20, 300])
+def test_forgotten_pieces_are_encoded_again(monkeypatch, limit):
+    """A table so small that pieces go after nearly every slice, added tokens excepted."""
+    monkeypatch.setattr("roompulse.llm.encoding.CACHE_PIECES", limit)
+    draw = random.Random(9)
+    words = [f"w{i}" * (1 + i % 3) for i in range(200)] + ["<|endoftext|>"]
+    path = tokenizer_path(FILES[0])
+    encoder, reference = PieceEncoder(path, added_tokens=True), by_default(path)
+    for _ in range(30):
+        texts = [" ".join(draw.choices(words, k=20)) for _ in range(5)]
+        ids, counts = encoder.encode(*bytetext.utf8(pa.array(texts)))
+        ends = np.cumsum(counts)
+        assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [reference(t) for t in texts]
+        assert len(encoder.ids) == encoder.count.sum() and (np.diff(encoder.keys.astype(object)) > 0).all()
+        assert len(encoder.uses) == len(encoder.keys) == len(encoder.first)
