@@ -28,7 +28,7 @@ from roompulse.sources.files import read_appended_csv, stream_lines
 from roompulse.sources.index import read_index
 from roompulse.sources.tail import tail_lines
 from roompulse.sources.topics import once_only, replay_topic, stream_topic
-from roompulse.streaming.carry_forward import carry_forward_stream
+from roompulse.streaming.carry_forward import KnownValues, carry_forward_batches
 from roompulse.streaming.labelling import label_batches, labelled_readings
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
@@ -474,25 +474,22 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- carry-forward ----------------------------------------------------------------------------
 
 def filled_in_deliveries(spark: SparkSession, sf_dir: str, name: str, deliveries: list[DataFrame]) -> DataFrame:
-    """Carry-forward on a stream that gets the readings in several deliveries, from one checkpoint."""
+    """Carry-forward on a stream that gets the readings in several deliveries, from one checkpoint; a day is a segment."""
     root = new_folder(spark, name)
+    known = KnownValues(spark, f"{root}/known")
+    fill = carry_forward_batches(
+        table_output(f"{root}/out"), known, "user_id", ["ts", "event_id"], FEED_COLUMNS, F.to_date("ts"))
     for rows in deliveries:
         arrive(sensor_feed(rows), f"{root}/in")
         stream = spark.readStream.schema(sensor_feed(rows).schema).parquet(f"{root}/in")
-        filled = carry_forward_stream(stream, "user_id", ["ts", "event_id"], FEED_COLUMNS)
-        drain(to_files(filled, name, f"{root}/checkpoints", f"{root}/out"), spark)
-    return spark.read.parquet(f"{root}/out").drop("ts")
+        drain(to_batches(stream, name, f"{root}/checkpoints", fill), spark)
+    return spark.read.parquet(f"{root}/out").drop("ts", "batch_id")
 
 
 @query(CARRY_FORWARD_SQL)
 def locf_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carry-forward over two micro-batches, with the last known values in keyed state between them."""
-    source = events(spark, sf_dir)
-    micros = F.unix_micros("ts")
-    lo, hi = source.agg(F.min(micros), F.max(micros)).first()
-    half = lo + (hi - lo) // 2
-    deliveries = [source.filter(micros < half), source.filter(micros >= half)]
-    return filled_in_deliveries(spark, sf_dir, "locf_stream", deliveries)
+    """Carry-forward over two micro-batches, with the last known values of each device between them."""
+    return filled_in_deliveries(spark, sf_dir, "locf_stream", in_two_deliveries(events(spark, sf_dir)))
 
 
 # A row takes the latest value at or before it, of its own delivery or of the newest entry of the one before.

@@ -17,7 +17,7 @@ from roompulse.schemas import ROOM_READING
 from roompulse.sinks.stream import (
     batch_folder, checkpoint_folder, drain, to_batches, to_console, to_files,
 )
-from roompulse.streaming.carry_forward import carry_forward_stream
+from roompulse.streaming.carry_forward import KnownValues, carry_forward_batches
 from roompulse.streaming.occupancy import (
     approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
 )
@@ -190,8 +190,9 @@ def test_carry_forward_over_restarts(spark, tmp_path):
     for rows in batches:
         spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        filled = carry_forward_stream(stream, "device", ["t", "id"], ["light"])
-        drain(to_files(filled, "fill", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+        fill = carry_forward_batches(
+            table_output(f"{tmp_path}/out"), KnownValues(spark, f"{tmp_path}/known"), "device", ["t", "id"], ["light"])
+        drain(to_batches(stream, "fill", f"{tmp_path}/cp", fill), spark)
     whole = spark.createDataFrame([r for rows in batches for r in rows], schema)
     expected = carry_forward(whole, "device", ["t", "id"], ["light"])
     got = spark.read.parquet(f"{tmp_path}/out")
@@ -203,8 +204,9 @@ def test_a_late_value_does_not_replace_a_newer_one(spark, tmp_path):
     for rows in ([(0, "a", 10, 1.0)], [(1, "a", 5, 9.0), (2, "a", 4, None)], [(3, "a", 11, None), (4, "a", 7, None)]):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        filled = carry_forward_stream(stream, "device", ["t", "id"], ["light"])
-        drain(to_files(filled, "fill", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+        fill = carry_forward_batches(
+            table_output(f"{tmp_path}/out"), KnownValues(spark, f"{tmp_path}/known"), "device", ["t", "id"], ["light"])
+        drain(to_batches(stream, "fill", f"{tmp_path}/cp", fill), spark)
     got = {r["id"]: r["light"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {0: 1.0, 1: 9.0, 2: None, 3: 1.0, 4: None}
 
