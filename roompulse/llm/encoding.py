@@ -34,8 +34,6 @@ for _code in range(128):
 _CLASS[[9, 10, 11, 12, 13, 32]] = _WHITE
 #: Pieces kept between slices; beyond it those that came up in one slice only go, and of the others the rarer ones.
 CACHE_PIECES = 400_000
-#: Bytes of text that are encoded at a time: a piece is looked up once in each slice that has it.
-ENCODE_BYTES = 1 << 21
 _GROUP, _GROUPS = 100, 20
 _ADDED = np.uint64(1 << 40)
 

@@ -1,8 +1,8 @@
 """Token-id files: flat unsigned integers and 64-bit document offsets, read back by memory map, or by range where the
 store isn't local.
 
-Documents are encoded where they lie; their ids are range-partitioned by document id and sorted, so the partitions' files in
-order are the corpus in ascending ``doc_id`` order (NULL ids first). Each task writes
+Documents are encoded where they lie; their token ids are dealt to partitions by ranges of document ids and sorted, so the
+partitions' files in order are the corpus in ascending ``doc_id`` order (NULL ids first). Each task writes
 
 * ``<name>.ids``: the token ids of its documents, little-endian, 2 bytes each where the vocabulary allows, else 4;
 * ``<name>.off``: n + 1 offsets into them, signed 64-bit little-endian;
@@ -28,12 +28,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.encoding import ENCODE_BYTES, encoding_task
-from roompulse.llm.storage import documents, dropped, finished, mapped, saved
+from roompulse.llm.encoding import encoding_task
+from roompulse.llm.storage import documents, mapped, saved
 from roompulse.workspace import new_folder
 
 NULL_ID = -(1 << 63)
@@ -52,6 +52,24 @@ def _width(path: str) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
+def _id(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+
+
+def _part(ids: DataFrame, count: int) -> Column:
+    """The partition of a document, in ascending order of ids and with nearly as many rows as the others.
+
+    Borders are approximate quantiles of the ids, so nothing is encoded for a sample. An id with the rows of several
+    partitions is dealt to all of those that it alone fills, by its text.
+    """
+    borders = ids.agg(F.percentile_approx("id", [k / count for k in range(1, count)], 100 * count)).first()[0] if count > 1 else None
+    if not borders:
+        return F.lit(0)
+    sorted_borders = F.lit(sorted(borders))
+    low, high = (F.size(F.filter(sorted_borders, keep)) for keep in (lambda b: b < _id("doc_id"), lambda b: b <= _id("doc_id")))
+    return (low + F.pmod(F.xxhash64("text"), high - low + 1)).cast("int")
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files of a corpus below a shared folder; returns their manifest with bases."""
@@ -61,16 +79,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
         with encoding_task(tokenizer) as encoder:
             for batch in batches:
                 data, offsets = bytetext.utf8(batch["text"])
-                for first, last in bytetext.slices(offsets, ENCODE_BYTES):
+                for first, last in bytetext.slices(offsets):
                     ids, counts = encoder.encode(
                         data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                     ends = np.cumsum(counts)
                     raw = np.insert(ids, ends, end_id).astype(f"<u{width}").data.cast("B")
                     bounds = (np.append(0, ends + np.arange(1, len(ends) + 1)) * width).tolist()
                     yield pa.RecordBatch.from_arrays([
-                        batch["doc_id"].slice(first, last - first).cast(pa.int64()),
+                        batch["doc_id"].slice(first, last - first).cast(pa.int64()), batch["part"].slice(first, last - first),
                         pa.array([raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
-                    ], names=["doc_id", "ids"])
+                    ], names=["doc_id", "part", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(folder)
@@ -95,11 +113,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                 "worker": pa.array([worker], pa.int32()), "name": [name], "docs": [docs_done], "tokens": [tokens_done]})
 
     # Ids are a fraction of the text: they are what is shuffled and sorted.
-    encoded = saved(documents(docs, id_col, text_col).transform(mapped, encode, "doc_id long, ids binary"), "encoded", f"{folder}/encoded")
-    parts = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = documents(docs, id_col, text_col).withColumn("part", _part(docs.select(_id(id_col).alias("id")), count))
+    encoded = placed.transform(mapped, encode, "doc_id long, part int, ids binary")
+    parts = encoded.repartitionById(count, "part").sortWithinPartitions("doc_id").drop("part")
     manifest = saved(parts.transform(mapped, write, MANIFEST), "manifest", f"{folder}/manifest")
-    finished(spark)
-    dropped(spark, f"{folder}/encoded")
     before = Window.orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.select(
         F.lit(folder).alias("folder"), F.lit(width).alias("width"), "*",

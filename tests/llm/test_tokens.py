@@ -196,3 +196,25 @@ def test_forgotten_pieces_are_encoded_again(monkeypatch, limit):
         assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [reference(t) for t in texts]
         assert len(encoder.ids) == encoder.count.sum() and (np.diff(encoder.keys.astype(object)) > 0).all()
         assert len(encoder.uses) == len(encoder.keys) == len(encoder.first)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 50])
+def test_files_follow_the_ids_however_dealt(spark, parts):
+    """An id with a third of the rows, NULL ids, the greatest and least ids, more partitions than rows."""
+    rows = [(i, f"text {i}") for i in range(40)] + [(17, f"copy {i}") for i in range(30)] + [(None, "x")] * 9
+    rows += [((1 << 63) - 1 - i, f"far {i}") for i in range(5)] + [(-(1 << 63) + 1 + i, "low") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path, before = tokenizer_path(FILES[0]), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        found = read_token_files(write_token_files(docs, path, new_folder(spark, "dealt"), end_id=0)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    reference = by_default(path)
+    want = sorted(((-(1 << 63) if i is None else i), [*reference(t), 0]) for i, t in rows)
+    got = sorted(((-(1 << 63) if r["doc_id"] is None else r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in found)
+    assert got == want
+    found.sort(key=lambda r: r["start"])
+    ids = [-(1 << 63) if r["doc_id"] is None else r["doc_id"] for r in found]
+    assert ids == sorted(ids)
+    assert [r["start"] for r in found] == np.cumsum([0, *(len(r["ids"]) // 4 for r in found)])[:-1].tolist()
