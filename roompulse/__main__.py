@@ -13,6 +13,7 @@ from roompulse.operators.comfort_model import load
 from roompulse.operators.occupancy import DEVICES_PER_PERSON, SLIDE_SECONDS, WATERMARK, WINDOW_SECONDS
 from roompulse.plans import jobs
 from roompulse.session import STATE_PARTITIONS, build_session
+from roompulse.streaming.watch import StreamWatch
 from roompulse.workspace import shared_root
 
 
@@ -30,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch at most")
     top.add_argument("--follow", action="store_true", help="read what is appended to log files, not only new files")
     top.add_argument("--once-within", help="read a message that is published again within this time once, e.g. '1 hour'")
+    top.add_argument("--watch", help="folder for failures, dropped rows and lost messages of the streams")
     top.add_argument("--quiet", action="store_true", help="no console output of streams")
     top.add_argument("--once", action="store_true", help="process what is there and stop")
     job = top.add_subparsers(dest="job", required=True)
@@ -46,6 +48,17 @@ def parser() -> argparse.ArgumentParser:
     rooms.add_argument("--watermark", default=WATERMARK)
     rooms.add_argument("--devices-per-person", type=float, default=DEVICES_PER_PERSON)
     rooms.add_argument("--show-windows", action="store_true", help="all windows to the console; keeps them all in state")
+    job.add_parser("newest-occupancy")
+    panes = job.add_parser("keep-panes")
+    panes.add_argument("path")
+    panes.add_argument("--watermark", default=WATERMARK)
+    kept = job.add_parser("pane-occupancy")
+    kept.add_argument("path")
+    kept.add_argument("--window", type=int, default=WINDOW_SECONDS, help="seconds")
+    kept.add_argument("--slide", type=int, default=SLIDE_SECONDS, help="seconds")
+    late = job.add_parser("keep-late")
+    late.add_argument("path")
+    late.add_argument("--watermark", default=WATERMARK)
     label = job.add_parser("label-log")
     label.add_argument("logs")
     label.add_argument("path")
@@ -90,6 +103,7 @@ def main(arguments: list[str] | None = None) -> None:
     checkpoints = args.checkpoints or f"{shared_root(spark)}/roompulse"
     trigger = {"availableNow": True} if args.once else None
     console = not args.quiet
+    watch = StreamWatch(spark, args.watch).start() if args.watch else None
 
     if args.job == "ship-log":
         jobs.ship_log(spark, settings, args.logs, checkpoints, trigger)
@@ -109,6 +123,14 @@ def main(arguments: list[str] | None = None) -> None:
             window_seconds=args.window, slide_seconds=args.slide,
             devices_per_person=args.devices_per_person,
         )
+    elif args.job == "newest-occupancy":
+        jobs.newest_occupancy(spark, settings, checkpoints).show()
+    elif args.job == "keep-panes":
+        jobs.keep_panes(spark, settings, args.path, checkpoints, trigger, watermark=args.watermark)
+    elif args.job == "pane-occupancy":
+        jobs.pane_occupancy(spark, args.path, window_seconds=args.window, slide_seconds=args.slide).show()
+    elif args.job == "keep-late":
+        jobs.keep_late(spark, settings, args.path, checkpoints, args.watermark, trigger)
     elif args.job == "label-log":
         jobs.label_log(spark, settings, args.logs, args.path, checkpoints, trigger)
     elif args.job == "train":
@@ -133,11 +155,15 @@ def main(arguments: list[str] | None = None) -> None:
                 print(f"{index}: {hits} hits")
 
     # A failure of any stream ends the job; with --once each stream ends by itself.
-    if args.once:
-        for query in spark.streams.active:
-            query.awaitTermination()
-    elif spark.streams.active:
-        spark.streams.awaitAnyTermination()
+    try:
+        if args.once:
+            for query in spark.streams.active:
+                query.awaitTermination()
+        elif spark.streams.active:
+            spark.streams.awaitAnyTermination()
+    finally:
+        if watch is not None:
+            watch.stop()
 
 
 if __name__ == "__main__":

@@ -70,6 +70,28 @@ def sketched_occupancy(
     return with_people(merged, devices_per_person)
 
 
+def pane_sketches(readings: DataFrame, pane_seconds: int = SLIDE_SECONDS, log_size: int = 12) -> DataFrame:
+    """One mergeable sketch of the devices per pane: its start and end, and the sketch. Batch or append mode."""
+    panes = readings.groupBy(F.window("timestamp", f"{pane_seconds} seconds").alias("pane")).agg(
+        F.hll_sketch_agg("mac", F.lit(log_size)).alias("sketch"))
+    return panes.select(F.col("pane.start").alias("pane_start"), F.col("pane.end").alias("pane_end"), "sketch")
+
+
+def occupancy_from_panes(
+    panes: DataFrame, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS,
+    devices_per_person: float = DEVICES_PER_PERSON, pane_seconds: int = SLIDE_SECONDS,
+) -> DataFrame:
+    """Any windows from kept pane sketches, without the readings: sizes and slides are multiples of the pane's.
+
+    Readings move no more; a window costs one sketch per pane, and each task sends one sketch per window.
+    """
+    if window_seconds % pane_seconds or slide_seconds % pane_seconds:
+        raise ValueError("the window and the slide must be multiples of the pane")
+    window = F.window("pane_start", f"{window_seconds} seconds", f"{slide_seconds} seconds").alias("window")
+    merged = panes.groupBy(window).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_macs"))
+    return with_people(merged, devices_per_person)
+
+
 def _floor_div(value: Column, step: int) -> Column:
     """Exact integer floor division, also for times before 1970."""
     return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))

@@ -23,18 +23,20 @@ from roompulse.operators.comfort_model import (
 )
 from roompulse.operators.evaluation import confusion_counts
 from roompulse.operators.export import EXPORT_ROWS, first_documents
+from roompulse.operators.occupancy import occupancy_from_panes
 from roompulse.operators.split import random_split
 from roompulse.schemas import (
     DEVICE_SIGHTING, DOCUMENT_ID, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW,
 )
 from roompulse.sinks.batch import write_csv, write_json_lines, write_topic
-from roompulse.sinks.stream import start, to_batches, to_console, to_index, to_topic
+from roompulse.sinks.stream import checkpoint_folder, start, to_batches, to_console, to_files, to_index, to_topic
 from roompulse.sources.files import read_appended_csv, read_lines, stream_lines, two_field_rows
 from roompulse.sources.index import read_index
 from roompulse.sources.tail import tail_lines
 from roompulse.sources.topics import once_only, replay_topic, stream_topic
 from roompulse.streaming.labelling import label_batches
-from roompulse.streaming.occupancy import approximate_windows, exact_windows, sketched_windows
+from roompulse.streaming.late import split_late
+from roompulse.streaming.occupancy import approximate_windows, exact_windows, newest_windows, sketch_panes, sketched_windows
 from roompulse.streaming.outputs import (
     console_output, csv_output, fan_out, index_output, table_output, topic_output,
 )
@@ -158,6 +160,35 @@ def occupancy(
     return queries
 
 
+def newest_occupancy(spark: SparkSession, settings: Settings, checkpoints: str) -> DataFrame:
+    """All windows of the exact form, newest first: the closed ones of the index, the open ones of the stream's state."""
+    closed = read_index(spark, settings, settings.index + OCCUPANCY_SUFFIX).withColumns(
+        {name: F.col(name).cast("timestamp") for name in ("start", "end")})
+    return newest_windows(spark, checkpoint_folder(checkpoints, "occupancy"), closed)
+
+
+def keep_panes(
+    spark: SparkSession, settings: Settings, path: str, checkpoints: str, trigger: Trigger = None, **pane_options
+) -> StreamingQuery:
+    """One sketch of the devices per pane to a table, from which ``pane_occupancy`` reads any windows later."""
+    sightings = parse_readings(_messages(spark, settings), DEVICE_SIGHTING).drop(DOCUMENT_ID)
+    return start(to_files(sketch_panes(sightings, **pane_options), "keep_panes", checkpoints, path), spark, trigger)
+
+
+def pane_occupancy(spark: SparkSession, path: str, **window_options) -> DataFrame:
+    """Windows of any size from kept panes, newest first."""
+    return occupancy_from_panes(spark.read.parquet(path), **window_options).orderBy(F.col("start").desc())
+
+
+def keep_late(
+    spark: SparkSession, settings: Settings, path: str, checkpoints: str, delay: str, trigger: Trigger = None
+) -> StreamingQuery:
+    """The device topic as two tables below ``path``: ``on_time``, for windows, and ``late``, which they would drop."""
+    rows = parse_readings(_messages(spark, settings), DEVICE_SIGHTING).drop(DOCUMENT_ID)
+    split = split_late(table_output(f"{path}/on_time"), table_output(f"{path}/late"), f"{path}/newest", delay=delay)
+    return start(to_batches(rows, "keep_late", checkpoints, split), spark, trigger)
+
+
 def label_log(
     spark: SparkSession, settings: Settings, logs: str, path: str, checkpoints: str,
     trigger: Trigger = None,

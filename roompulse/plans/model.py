@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.functions.rules import comfort_label
@@ -11,6 +11,7 @@ from roompulse.functions.scoring import with_score
 from roompulse.operators.comfort_model import (
     QUALITY_GATE, evaluate, linear_model, load, save_if_good, score, train,
 )
+from roompulse.operators.evaluation import rank_area
 from roompulse.operators.split import hash_split
 from roompulse.plans.batch import READING_SQL_COLUMNS, file_settings, with_time_text
 from roompulse.plans.catalog import READINGS_SQL, query
@@ -91,12 +92,7 @@ def lr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_rows, test_rows = hash_split(labelled(spark, sf_dir), "event_id")
     scored = score(test_rows, train(train_rows))
     report = evaluate(scored)
-    # The area is the share of (positive, negative) pairs that the scores rank rightly, ties counting half.
-    by_score = scored.groupBy(vector_to_array("rawPrediction")[1].alias("s")).agg(
-        F.sum("comfortable").alias("up"), F.sum(1 - F.col("comfortable")).alias("down"))
-    below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    pairs = by_score.withColumn("below", F.coalesce(F.sum("down").over(below), F.lit(0)))
-    area = pairs.agg(F.sum(F.col("up") * (F.col("below") + F.col("down") / 2)) / (F.sum("up") * F.sum("down"))).first()[0]
+    area = rank_area(scored.withColumn("s", vector_to_array("rawPrediction")[1]), "comfortable", "s")
     right = scored.agg(F.avg((F.col("prediction") == F.col("comfortable")).cast("double"))).first()[0]
     return report.confusion.agg(F.sum("count").alias("rows")).select(
         "rows", F.lit(abs(report.accuracy - right) < 1e-9).alias("accuracy_is_share"),

@@ -8,11 +8,13 @@ from dataclasses import replace
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.config import ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX
 from roompulse.functions.ingest import parse_readings, stamped_records
+from roompulse.operators.occupancy import exact_occupancy, occupancy_from_panes
 from roompulse.plans import jobs
 from roompulse.plans.batch import (
     CARRY_FORWARD_SQL, DAY, DAYS_SQL, FEED_COLUMNS, HALF_DAY, FIXED_MODEL, LABEL_SQL, OCCUPANCY_SQL, PROBABILITY_SQL,
@@ -23,19 +25,21 @@ from roompulse.plans.catalog import READINGS_SQL, query
 from roompulse.plans.readings import events, events_stream, messages, readings, sightings
 from roompulse.schemas import ROOM_READING, TRAINING_ROW
 from roompulse.sinks.batch import write_lines, write_topic
-from roompulse.sinks.stream import drain, to_batches, to_csv, to_files, to_index, to_json_lines, to_topic
+from roompulse.sinks.stream import checkpoint_folder, drain, to_batches, to_csv, to_files, to_index, to_json_lines, to_topic
 from roompulse.sources.files import read_appended_csv, stream_lines
 from roompulse.sources.index import read_index
 from roompulse.sources.tail import tail_lines
 from roompulse.sources.topics import once_only, replay_topic, stream_topic
 from roompulse.streaming.carry_forward import KnownValues, carry_forward_batches
 from roompulse.streaming.labelling import label_batches, labelled_readings
+from roompulse.streaming.late import split_late
 from roompulse.streaming.occupancy import (
-    approximate_windows, device_windows, exact_windows, newest_first_table, sketched_windows,
+    approximate_windows, exact_windows, newest_windows, sketch_panes, sketched_windows,
 )
 from roompulse.streaming.outputs import csv_output, fan_out, table_output
 from roompulse.streaming.routing import route_batches
 from roompulse.streaming.scoring import score_batches, score_messages
+from roompulse.streaming.watch import StreamWatch, watched_events
 from roompulse.workspace import new_folder
 
 SCORED_SQL = f"""
@@ -398,16 +402,82 @@ def occupancy_stream_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(OCCUPANCY_SQL)
 def occupancy_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete mode: all windows, rewritten as one sorted table per batch."""
+    """All windows, newest first: the closed ones of the output, the open ones read from the stream's state."""
     root = new_folder(spark, "occupancy_complete")
-    state = device_windows(sightings(events_stream(spark, sf_dir)))
-    writer = to_batches(
-        state, "occupancy_stream_complete", f"{root}/checkpoints", newest_first_table(f"{root}/out"),
-        mode="complete",
-    )
-    batch_id = drain(writer, spark).lastProgress.batchId
-    windows = spark.read.parquet(f"{root}/out/batch_id={batch_id}")
-    return occupancy_text(windows.orderBy(F.col("start").desc()))
+    windows = exact_windows(sightings(events_stream(spark, sf_dir)))
+    drain(to_files(windows, "occupancy_stream_complete", f"{root}/checkpoints", f"{root}/out"), spark)
+    checkpoint = checkpoint_folder(f"{root}/checkpoints", "occupancy_stream_complete")
+    return occupancy_text(newest_windows(spark, checkpoint, spark.read.parquet(f"{root}/out")))
+
+
+# Devices enough for windows of hundreds: the events fall into ten minutes, from one of 997 devices each.
+CROWD, CROWD_SECONDS = 997, 600
+
+
+def crowd(source: DataFrame) -> DataFrame:
+    seconds = F.floor(F.unix_micros("ts") / F.lit(1e6)).cast("long") % CROWD_SECONDS
+    return source.select(
+        F.concat(F.lit("m"), (F.col("event_id") % CROWD).cast("string")).alias("mac"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + seconds).alias("timestamp"))
+
+
+CROWD_SQL = f"""
+  SELECT 'm' || event_id % {CROWD} AS mac, make_timestamp((1704067200 + (epoch_us(ts) // 1000000) % {CROWD_SECONDS}) * 1000000) AS ts
+  FROM events"""
+
+
+def exact_and_close(windows: DataFrame, exact: DataFrame, error: float) -> DataFrame:
+    """Exact counts of estimated windows, and whether the estimate is within three standard errors, of a hundred at least."""
+    found = exact.select("start", "end", F.col("distinct_macs").alias("devices")).join(windows, ["start", "end"])
+    bound = 3 * error * F.greatest("devices", F.lit(100))
+    return found.select(
+        F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), F.date_format("end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+        "devices", (F.abs(F.col("distinct_macs") - F.col("devices")) <= bound).alias("is_close"))
+
+
+@query(f"""
+WITH crowd AS ({CROWD_SQL})
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 2 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+  count(DISTINCT mac) AS devices, TRUE AS is_close
+FROM (SELECT time_bucket(INTERVAL 30 SECOND, ts) - to_seconds(30 * i) AS s, mac FROM crowd, range(4) t(i))
+WHERE s + INTERVAL 2 MINUTE <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM crowd)
+GROUP BY s""")
+def occupancy_stream_crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production stream on windows of two minutes every 30 seconds, each with hundreds of devices."""
+    root = new_folder(spark, "occupancy_stream_crowd")
+    windows = approximate_windows(crowd(events_stream(spark, sf_dir)))
+    drain(to_files(windows, "occupancy_stream_crowd", f"{root}/checkpoints", f"{root}/out"), spark)
+    return exact_and_close(spark.read.parquet(f"{root}/out"), exact_occupancy(crowd(events(spark, sf_dir))), 0.05)
+
+
+PANE_SPANS = {"2 minutes": (120, 30), "an hour": (3600, 1800), "a day": (86_400, 43_200)}
+PANE_PARTS = " UNION ALL ".join(f"""
+SELECT '{name}' AS span, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(s + INTERVAL {size} SECOND, '%Y-%m-%d %H:%M:%S') AS window_end, count(DISTINCT user_id) AS devices, TRUE AS is_close
+FROM (SELECT time_bucket(INTERVAL {slide} SECOND, ts) - to_seconds({slide} * i) AS s, user_id FROM kept, range({size // slide}) t(i)) GROUP BY s"""
+                               for name, (size, slide) in PANE_SPANS.items())
+
+
+@query(f"""
+WITH kept AS (
+  SELECT ts, user_id FROM events
+  WHERE time_bucket(INTERVAL 30 SECOND, ts) + INTERVAL 30 SECOND <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM events)
+) {PANE_PARTS}""")
+def occupancy_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table of kept pane sketches, written by a stream; windows of three sizes are read from it without the readings."""
+    root = new_folder(spark, "occupancy_panes")
+    panes = sketch_panes(sightings(events_stream(spark, sf_dir)))
+    drain(to_files(panes, "occupancy_panes", f"{root}/checkpoints", f"{root}/panes"), spark)
+    panes = spark.read.parquet(f"{root}/panes")
+    closed = sightings(events(spark, sf_dir)).withColumn("pane", F.window("timestamp", "30 seconds"))
+    closed = closed.withColumn("pane_start", F.col("pane.start")).join(panes.select("pane_start"), "pane_start", "left_semi")
+    out = None
+    for name, (size, slide) in PANE_SPANS.items():
+        # 2 ** 12 registers: a standard error of 1.6 %.
+        found = exact_and_close(occupancy_from_panes(panes, size, slide), exact_occupancy(closed, size, slide), 0.016)
+        found = found.withColumn("span", F.lit(name))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def arrive(rows: DataFrame, folder: str) -> None:
@@ -438,20 +508,76 @@ def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings in three deliveries; the last one also brings old ones, which the watermark drops."""
     root = new_folder(spark, "late_drop")
     source = events(spark, sf_dir)
+    for rows in late_deliveries(source):
+        arrive(sightings(rows), f"{root}/in")
+        stream = spark.readStream.schema(sightings(source).schema).parquet(f"{root}/in")
+        drain(to_files(exact_windows(stream), "late_drop", f"{root}/checkpoints", f"{root}/out"), spark)
+    return occupancy_text(spark.read.parquet(f"{root}/out"))
+
+
+LATE_SIDES_SQL = """
+WITH span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+d AS (
+  SELECT event_id, ts, CASE WHEN event_type = 'error' AND epoch_us(ts) < lo + (hi - lo) // 4 THEN 3
+    WHEN epoch_us(ts) < lo + (hi - lo) // 2 THEN 1 WHEN epoch_us(ts) < lo + (hi - lo) // 4 * 3 THEN 2 ELSE 3 END AS n
+  FROM events, span
+)
+SELECT event_id, n > 1 AND ts < (SELECT max(ts) FROM d AS e WHERE e.n < d.n) - INTERVAL 1 MINUTE AS is_late FROM d"""
+
+
+def late_deliveries(source: DataFrame) -> list[DataFrame]:
+    """Three deliveries; the last one also brings old events of one kind."""
     micros = F.unix_micros("ts")
     lo, hi = source.agg(F.min(micros), F.max(micros)).first()
     late = (F.col("event_type") == "error") & (micros < lo + (hi - lo) // 4)
     half, three_quarters = lo + (hi - lo) // 2, lo + (hi - lo) // 4 * 3
-    deliveries = [
+    return [
         source.filter(~late & (micros < half)),
         source.filter(~late & (micros >= half) & (micros < three_quarters)),
         source.filter(late | (micros >= three_quarters)),
     ]
-    for rows in deliveries:
-        arrive(sightings(rows), f"{root}/in")
-        stream = spark.readStream.schema(sightings(source).schema).parquet(f"{root}/in")
-        drain(to_files(exact_windows(stream), "late_drop", f"{root}/checkpoints", f"{root}/out"), spark)
-    return occupancy_text(spark.read.parquet(f"{root}/out"))
+
+
+@query(LATE_SIDES_SQL)
+def late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings in three deliveries: those on time and those behind the watermark are two tables, together the input."""
+    root = new_folder(spark, "late_kept")
+    split = split_late(table_output(f"{root}/on_time"), table_output(f"{root}/late"), f"{root}/newest")
+    for rows in late_deliveries(events(spark, sf_dir)):
+        rows = rows.select("event_id", F.col("ts").alias("timestamp"))
+        arrive(rows, f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        drain(to_batches(stream, "late_kept", f"{root}/checkpoints", split), spark)
+    sides = [spark.read.parquet(f"{root}/{side}").select("event_id", F.lit(side == "late").alias("is_late")) for side in ("on_time", "late")]
+    return sides[0].unionByName(sides[1])
+
+
+@query("""
+SELECT 'watch_failing' AS query, 'failed' AS event, 1 AS n, TRUE AS has_detail WHERE EXISTS (FROM events WHERE event_type = 'error')
+UNION ALL SELECT 'watch_late', 'dropped', 1, FALSE
+UNION ALL SELECT 'watch_late', 'stopped', 3, FALSE""")
+def watch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that fails and one that drops late rows, run under a watch; what happened is read from its table."""
+    root = new_folder(spark, "watch_table")
+    source = events(spark, sf_dir)
+    watch = StreamWatch(spark, f"{root}/events").start()
+    try:
+        failing = events_stream(spark, sf_dir).select(
+            F.when(F.col("event_type") == "error", F.raise_error(F.lit("a reading that stops the stream"))).otherwise(F.col("event_id")).alias("id"))
+        try:
+            drain(to_files(failing, "watch_failing", f"{root}/checkpoints", f"{root}/failing"), spark)
+        except StreamingQueryException:
+            pass  # the table tells
+        for rows in late_deliveries(source):
+            arrive(sightings(rows), f"{root}/in")
+            stream = spark.readStream.schema(sightings(source).schema).parquet(f"{root}/in")
+            drain(to_files(exact_windows(stream), "watch_late", f"{root}/checkpoints", f"{root}/out"), spark)
+    finally:
+        watch.stop()
+    found = watched_events(spark, f"{root}/events").filter("event <> 'started' AND query LIKE 'watch_%'")
+    return found.groupBy("query", "event").agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.max(F.col("detail").contains("a reading that stops")).alias("has_detail")
+    ).select("query", "event", "n", F.coalesce("has_detail", F.lit(False)).alias("has_detail"))
 
 
 @query(CLOSED_SQL)

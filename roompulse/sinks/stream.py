@@ -98,6 +98,24 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
+def committed_batches(spark, path: str) -> list[int]:
+    """Numbers of the batches with a committed folder below a path."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    files = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(make(path)):
+        return []
+    folders = [status.getPath() for status in files.listStatus(make(path))]
+    return sorted(int(f.getName().split("=")[1]) for f in folders if files.exists(make(f, "_SUCCESS")))
+
+
+def drop_batches(spark, path: str, before: int) -> None:
+    """Delete the folders of batches before a number."""
+    for batch_id in committed_batches(spark, path):
+        if batch_id < before:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, batch_id))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, file_format: str = "parquet") -> None:
     """Write one micro-batch to its own folder, so a replayed batch replaces itself."""
     df.write.mode("overwrite").format(file_format).save(batch_folder(path, batch_id))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roompulse.sinks.stream import BatchFunction, batch_folder
+from roompulse.sinks.stream import BatchFunction, batch_folder, committed_batches, drop_batches
 
 COMPACT_EVERY = 20
 
@@ -23,21 +23,12 @@ class KnownValues:
     def __init__(self, spark: SparkSession, path: str, every: int = COMPACT_EVERY, idle: str | None = None):
         self.spark, self.path, self.every, self.idle = spark, path, every, idle
 
-    def _folders(self, part: str) -> list[int]:
-        """Batches with a committed folder."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
-            return []
-        done = [s.getPath() for s in files.listStatus(path)]
-        make = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(p.getName().split("=")[1]) for p in done if files.exists(make(p, "_SUCCESS")))
-
     def before(self, batch_id: int) -> DataFrame | None:
-        whole = [b for b in self._folders("whole") if b < batch_id]
+        whole = [b for b in committed_batches(self.spark, f"{self.path}/whole") if b < batch_id]
         first = whole[-1] if whole else -1
         paths = [batch_folder(f"{self.path}/whole", first)] if whole else []
-        paths += [batch_folder(f"{self.path}/changes", b) for b in self._folders("changes") if first < b < batch_id]
+        changes = committed_batches(self.spark, f"{self.path}/changes")
+        paths += [batch_folder(f"{self.path}/changes", b) for b in changes if first < b < batch_id]
         if not paths:
             return None
         rows = self.spark.read.parquet(*paths)
@@ -52,13 +43,10 @@ class KnownValues:
             whole = whole.filter(F.col("_seen") >= F.current_timestamp() - F.expr(f"INTERVAL {self.idle}"))
         whole.write.mode("overwrite").parquet(batch_folder(f"{self.path}/whole", batch_id))
         # A replay of this batch still reads what was there before it.
-        kept = max([b for b in self._folders("whole") if b < batch_id], default=None)
+        kept = max([b for b in committed_batches(self.spark, f"{self.path}/whole") if b < batch_id], default=None)
         if kept is not None:
-            for part, last in (("changes", kept), ("whole", kept - 1)):
-                for old in self._folders(part):
-                    if old <= last:
-                        path = self.spark._jvm.org.apache.hadoop.fs.Path(batch_folder(f"{self.path}/{part}", old))
-                        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            drop_batches(self.spark, f"{self.path}/changes", kept + 1)
+            drop_batches(self.spark, f"{self.path}/whole", kept)
 
 
 def newest(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.operators.occupancy import (
@@ -11,6 +11,7 @@ from roompulse.operators.occupancy import (
     WATERMARK,
     WINDOW_SECONDS,
     approximate_occupancy,
+    pane_sketches,
     sketched_occupancy,
     sliding_window,
     with_people,
@@ -38,6 +39,11 @@ def sketched_windows(
     )
 
 
+def sketch_panes(readings: DataFrame, watermark: str = WATERMARK, pane_seconds: int = SLIDE_SECONDS) -> DataFrame:
+    """Closed panes' sketches in append mode, for a table that any window can be read from later."""
+    return pane_sketches(readings.withWatermark("timestamp", watermark), pane_seconds)
+
+
 def exact_windows(
     readings: DataFrame, watermark: str = WATERMARK, window_seconds: int = WINDOW_SECONDS,
     slide_seconds: int = SLIDE_SECONDS, devices_per_person: float = DEVICES_PER_PERSON,
@@ -61,6 +67,35 @@ def device_windows(
     return readings.groupBy(window, "mac").agg(F.count(F.lit(1)).alias("readings"))
 
 
+def open_windows(spark: SparkSession, checkpoint: str, devices_per_person: float = DEVICES_PER_PERSON) -> DataFrame:
+    """The windows that ``exact_windows`` hasn't closed yet, read from the state in its checkpoint folder.
+
+    What a window's devices are is in the state of the first aggregation until the watermark passes it, and its
+    count in that of the second one after that.
+    """
+    counts = None
+    for operator in spark.read.format("state-metadata").load(checkpoint).select("operatorId").distinct().collect():
+        state = spark.read.format("statestore").option("operatorId", operator[0]).load(checkpoint)
+        if "mac" in state.schema["key"].dataType.names:
+            rows = state.groupBy("key.window").agg(F.count("key.mac").alias("distinct_macs"))
+        else:
+            rows = state.select("key.window", F.col("value.count").alias("distinct_macs"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    # A window can be in both states only between two batches of one run, with parts of its devices in each.
+    return with_people(counts.groupBy("window").agg(F.sum("distinct_macs").alias("distinct_macs")), devices_per_person)
+
+
+def newest_windows(
+    spark: SparkSession, checkpoint: str, closed: DataFrame, devices_per_person: float = DEVICES_PER_PERSON
+) -> DataFrame:
+    """All windows, newest first: the closed ones of a table, and the open ones of the state.
+
+    The state is bounded by the watermark. A window that was closed after the state was written is the table's.
+    """
+    open_ = open_windows(spark, checkpoint, devices_per_person).join(closed.select("start"), "start", "left_anti")
+    return closed.select(open_.columns).unionByName(open_).orderBy(F.col("start").desc())
+
+
 def newest_first_table(path: str, devices_per_person: float = DEVICES_PER_PERSON) -> BatchFunction:
     """A complete-mode batch of ``device_windows`` as a table of windows, sorted newest first.
 
