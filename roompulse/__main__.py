@@ -38,6 +38,9 @@ def parser() -> argparse.ArgumentParser:
     for name in ("ship-log", "route-log"):
         job.add_parser(name).add_argument("logs")
     job.add_parser("publish-scans").add_argument("path")
+    convert = job.add_parser("convert-scans")
+    convert.add_argument("path")
+    convert.add_argument("logs")
     job.add_parser("dump-topic").add_argument("path")
     for name in ("ingest-environment", "ingest-devices"):
         job.add_parser(name)
@@ -70,16 +73,18 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("csv")
     batch.add_argument("model")
     batch.add_argument("--rejects", help="folder for rows without all features")
+    batch.add_argument("--features", nargs="*", help="the order of the features of a model saved without its assembler")
     live = job.add_parser("live-scores")
     source = live.add_mutually_exclusive_group(required=True)
     source.add_argument("--model", help="folder of a saved model")
     source.add_argument("--train", help="training CSV to fit at start")
+    live.add_argument("--features", nargs="*", help="the order of the features of a model saved without its assembler")
     live.add_argument("--strict", action="store_true", help="fail on readings with missing values")
     parse = job.add_parser("parse-logs")
     parse.add_argument("logs")
-    parse.add_argument("format", choices=[*LOG_PATTERNS, "logfmt"])
+    parse.add_argument("format", choices=[*LOG_PATTERNS, "logfmt", "json", "docker"])
     parse.add_argument("path")
-    parse.add_argument("--fields", nargs="*", help="keys of logfmt lines to keep")
+    parse.add_argument("--fields", nargs="*", help="keys of logfmt or JSON lines to keep")
     export = job.add_parser("export")
     export.add_argument("index", nargs="+")
     export.add_argument("path")
@@ -111,6 +116,8 @@ def main(arguments: list[str] | None = None) -> None:
         jobs.route_log(spark, settings, args.logs, checkpoints, trigger)
     elif args.job == "publish-scans":
         jobs.publish_scans(spark, settings, args.path)
+    elif args.job == "convert-scans":
+        jobs.convert_scans(spark, args.path, args.logs)
     elif args.job == "dump-topic":
         jobs.dump_topic(spark, settings, args.path)
     elif args.job == "ingest-environment":
@@ -138,12 +145,12 @@ def main(arguments: list[str] | None = None) -> None:
         report.confusion.show()
         print(f"area under ROC {report.auc}, accuracy {report.accuracy}, rejected {report.rejected}, saved {saved}")
     elif args.job == "score-file":
-        scored, confusion, rejected = jobs.score_file(spark, args.csv, args.model, args.rejects)
+        scored, confusion, rejected = jobs.score_file(spark, args.csv, args.model, args.rejects, args.features)
         confusion.show()
         print(f"{rejected.count()} rows rejected")
         scored.show(100)
     elif args.job == "live-scores":
-        model = load(args.model) if args.model else jobs.train_model(spark, args.train)[0]
+        model = load(args.model, args.features) if args.model else jobs.train_model(spark, args.train)[0]
         jobs.live_scores(spark, settings, model, checkpoints, args.strict, console, trigger)
     elif args.job == "parse-logs":
         jobs.parse_logs(spark, args.logs, args.format, args.path, args.fields)

@@ -49,6 +49,8 @@ ISO_TIMES = {
     "istio-envoy-proxy": "start_time",
     "cri": "time",
 }
+# The keys of a container's JSON log.
+DOCKER_FIELDS = "log string, stream string, time string"
 LOGFMT_PAIR = r'([^\s=]+)=("[^"]*"|\S*)'
 
 # Cheap conditions that every matching line meets. A pattern that backtracks for long on other lines is
@@ -160,22 +162,19 @@ def with_log_time(fields: DataFrame, name: str, year: int | None = None) -> Data
     return fields
 
 
+def matched_json_log(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """As ``matched_log``, for JSON lines with a declared schema; a line that is no JSON object does not match."""
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.when(F.regexp_like(value, F.lit(r"^\s*\{")), F.from_json(value, f"{schema}, _corrupt string", options))
+    both = lines.select(value, parsed.alias("parsed"))
+    matches = F.col("parsed").isNotNull() & F.col("parsed._corrupt").isNull()
+    return both.select(value, matches.alias("matched"), F.when(matches, F.col("parsed").dropFields("_corrupt")).alias("fields"))
+
+
 def parse_json_log(lines: DataFrame, schema: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON lines with a declared schema; lines that are no JSON object go to the rejects."""
-    parsed = lines.withColumn(
-        "parsed",
-        F.when(
-            F.regexp_like(value, F.lit(r"^\s*\{")),
-            F.from_json(
-                value, f"{schema}, bad string", {"columnNameOfCorruptRecord": "bad"}
-            ),
-        ),
-    )
-    good = F.col("parsed").isNotNull() & F.col("parsed.bad").isNull()
-    return (
-        parsed.filter(good).select("parsed.*").drop("bad"),
-        parsed.filter(~good).select(value),
-    )
+    """The fields of JSON lines, and the lines that are no JSON object; ``matched_json_log`` gives both in one pass."""
+    both = matched_json_log(lines, schema, value)
+    return both.filter("matched").select("fields.*"), both.filter("not matched").select(value)
 
 
 def logfmt_fields(line: Column | str, names: list[str]) -> list[Column]:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.functions.rules import is_number, prediction_text
@@ -63,12 +64,22 @@ def save_if_good(model: PipelineModel, report: Report, path: str, gate: float =
 
 
 def load(path: str, features: list[str] | None = None) -> PipelineModel:
-    """Load a saved model and check that it takes the expected features in the expected order."""
-    model = PipelineModel.load(path)
+    """Load a saved model and check that it takes the expected features in the expected order.
+
+    A folder may also hold a bare logistic regression, which doesn't know the names of its features: their order has to be
+    stated then, and an assembler for it is set before the model.
+    """
+    spark = SparkSession.active()
+    if DefaultParamsReader.loadMetadata(path, spark)["class"].endswith(".LogisticRegressionModel"):
+        if features is None:
+            raise ValueError(f"{path} holds a model alone: state the order of its features")
+        model = PipelineModel([assembler(features), LogisticRegressionModel.load(path)])
+    else:
+        model = PipelineModel.load(path)
     expected = features or SENSOR_COLUMNS
     assembled = model.stages[0].getInputCols()
     if list(assembled) != list(expected) or model.stages[-1].numFeatures != len(expected):
-        raise ValueError(f"the saved model takes {assembled}, not {expected}")
+        raise ValueError(f"the saved model takes {model.stages[-1].numFeatures} features {assembled}, not {expected}")
     return model
 
 

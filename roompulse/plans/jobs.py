@@ -14,9 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roompulse.config import ENV_INDEX, ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX, RAW_SUFFIX, Settings
 from roompulse.functions.ingest import (
-    iso_text, message_key, parse_readings, stamped_records, with_document_id,
+    iso_text, message_key, parse_readings, scan_line, stamped_records, with_document_id,
 )
-from roompulse.functions.logs import matched_log, matched_logfmt
+from roompulse.functions.logs import DOCKER_FIELDS, matched_json_log, matched_log, matched_logfmt
 from roompulse.functions.scoring import LinearModel
 from roompulse.operators.comfort_model import (
     Report, complete_and_rejected, evaluate, linear_model, load, save_if_good, score, train, usable_and_rejected,
@@ -28,7 +28,7 @@ from roompulse.operators.split import random_split
 from roompulse.schemas import (
     DEVICE_SIGHTING, DOCUMENT_ID, ENVIRONMENT_READING, ROOM_READING, TRAINING_ROW,
 )
-from roompulse.sinks.batch import write_csv, write_json_lines, write_topic
+from roompulse.sinks.batch import write_csv, write_json_lines, write_lines, write_topic
 from roompulse.sinks.stream import checkpoint_folder, start, to_batches, to_console, to_files, to_index, to_topic
 from roompulse.sources.files import read_appended_csv, read_lines, stream_lines, two_field_rows
 from roompulse.sources.index import read_index
@@ -83,6 +83,21 @@ def publish_scans(spark: SparkSession, settings: Settings, path: str) -> None:
     write_topic(two_field_rows(read_lines(spark, path), "mac_address", "rssi"), settings, MACS_TOPIC)
 
 
+def convert_scans(spark: SparkSession, path: str, logs: str) -> None:
+    """Headerless ``mac,rssi`` lines as JSON readings in a folder that the shipping job follows.
+
+    Lines whose rssi is no whole number go to ``<logs>_rejected`` as they came. The lines are parsed once.
+    """
+    lines = read_lines(spark, path).select("value", scan_line().alias("scan"))
+    record = F.to_json("scan", {"ignoreNullFields": "false"})
+    sides = lines.select(F.coalesce(record, "value").alias("value"), F.col("scan").isNotNull().alias("whole")).persist()
+    try:
+        write_lines(sides.filter("whole").select("value"), logs)
+        write_lines(sides.filter("not whole").select("value"), f"{logs}_rejected")
+    finally:
+        sides.unpersist()
+
+
 def dump_topic(spark: SparkSession, settings: Settings, path: str) -> None:
     """Everything in a topic, from the beginning, as text of the messages."""
     values = replay_topic(spark, settings).select(F.col("value").cast("string").alias("message"))
@@ -221,17 +236,18 @@ def train_model(
 
 
 def score_file(
-    spark: SparkSession, csv: str, model_path: str, rejects: str | None = None
+    spark: SparkSession, csv: str, model_path: str, rejects: str | None = None, features: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Score rows with a saved model: the scored rows, their confusion counts, and the rejected rows.
 
+    ``features`` states the order of a model that was saved without its assembler.
     A row needs all features to be scored; one without a label is scored too, and counted under NULL.
     """
     rows = read_appended_csv(spark, csv, TRAINING_ROW, text="line")
     complete, rejected = complete_and_rejected(rows)
     if rejects is not None:
         write_csv(rejected, rejects)
-    scored = score(complete.drop("line"), load(model_path))
+    scored = score(complete.drop("line"), load(model_path, features))
     return scored, confusion_counts(scored, "comfortable"), rejected
 
 
@@ -281,9 +297,19 @@ def parse_logs(
 ) -> None:
     """Log lines of a format as JSON lines below ``path``, parsed and rejected ones in a part each, from one pass.
 
-    ``logfmt`` has no fixed fields: name those to keep. A rejected line is kept as it came.
+    ``logfmt`` and ``json`` have no fixed fields: name those to keep, for JSON with a type if it isn't text (``"k int"``). A
+    rejected line is kept as it came.
     """
     lines = read_lines(spark, logs)
-    rows = matched_logfmt(lines, fields or []) if name == "logfmt" else matched_log(lines, name)
+    if name == "logfmt":
+        rows = matched_logfmt(lines, fields or [])
+    elif name == "docker":
+        rows = matched_json_log(lines, DOCKER_FIELDS)
+    elif name == "json":
+        if not fields:
+            raise ValueError("name the keys of the JSON lines to keep")
+        rows = matched_json_log(lines, ", ".join(field if " " in field else f"`{field}` string" for field in fields))
+    else:
+        rows = matched_log(lines, name)
     kept = F.when(~F.col("matched"), F.col("value")).alias("value")
     rows.select(kept, "fields", "matched").write.partitionBy("matched").json(path)

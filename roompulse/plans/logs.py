@@ -94,6 +94,28 @@ def log_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "fields.stream", "fields.message")
 
 
+@query("""
+SELECT f AS format, event_type <> 'purchase' AS matched, CASE WHEN event_type = 'purchase' THEN 'sold,' || event_id END AS line,
+  CASE WHEN event_type <> 'purchase' AND f = 'docker' THEN 'stdout' END AS stream,
+  CASE WHEN event_type <> 'purchase' AND f = 'json' THEN event_id END AS id
+FROM events, (VALUES ('docker'), ('json')) t(f)""")
+def log_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log job on container logs and on JSON lines with declared keys: both parts of each."""
+    out = None
+    for name, line, fields in (
+        ("docker", '{"log":"event {event_id}","stream":"stdout","time":"{iso}Z"}', None),
+        ("json", '{"level":"{event_type}","id":{event_id}}', ["level", "id long"]),
+    ):
+        root = new_folder(spark, f"log_job_{name}")
+        write_lines(lines(spark, sf_dir, template(line)), f"{root}/logs")
+        parse_logs(spark, f"{root}/logs", name, f"{root}/out", fields)
+        schema = "value string, fields struct<stream: string, id: long>, matched boolean"
+        rows = spark.read.schema(schema).json(f"{root}/out").select(
+            F.lit(name).alias("format"), "matched", F.when(~F.col("matched"), F.col("value")).alias("line"), "fields.stream", "fields.id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def is_view() -> Column:
     return F.col("event_type") == "view"
 

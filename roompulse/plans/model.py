@@ -84,6 +84,19 @@ def lr_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.join(after, "event_id", "full").select("event_id", F.coalesce(same, F.lit(False)).alias("as_before"))
 
 
+@query("SELECT event_id, TRUE AS as_before FROM events")
+def lr_bare_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save a fitted model without its assembler, load it with the stated order of features, and score everything."""
+    path, order = new_folder(spark, "bare_model"), ["temperature", "humidity", "light"]
+    rows = labelled(spark, sf_dir)
+    model = train(rows, features=order)
+    model.stages[-1].write().save(path)
+    before = scored_columns(score(rows, model)).withColumnsRenamed({"probability": "p", "prediction": "was"})
+    after = scored_columns(score(rows, load(path, order))).drop("comfortable")
+    same = (F.col("p") == F.col("probability")) & (F.col("was") == F.col("prediction"))
+    return before.join(after, "event_id", "full").select("event_id", F.coalesce(same, F.lit(False)).alias("as_before"))
+
+
 @query(f"""
 SELECT count(*) AS rows, TRUE AS accuracy_is_share, TRUE AS auc_is_rank_share, TRUE AS beats_gate
 FROM events WHERE {TEST_SQL}""")

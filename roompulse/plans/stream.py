@@ -12,7 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.config import ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX
+from roompulse.config import ENV_TOPIC, MACS_TOPIC, OCCUPANCY_SUFFIX, RAW_SUFFIX
 from roompulse.functions.ingest import parse_readings, stamped_records
 from roompulse.operators.occupancy import exact_occupancy, occupancy_from_panes
 from roompulse.plans import jobs
@@ -26,7 +26,7 @@ from roompulse.plans.readings import events, events_stream, messages, readings,
 from roompulse.schemas import ROOM_READING, TRAINING_ROW
 from roompulse.sinks.batch import write_lines, write_topic
 from roompulse.sinks.stream import checkpoint_folder, drain, to_batches, to_csv, to_files, to_index, to_json_lines, to_topic
-from roompulse.sources.files import read_appended_csv, stream_lines
+from roompulse.sources.files import read_appended_csv, read_lines, stream_lines
 from roompulse.sources.index import read_index
 from roompulse.sources.tail import tail_lines
 from roompulse.sources.topics import once_only, replay_topic, stream_topic
@@ -185,6 +185,26 @@ def ship_odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(event.alias("event_id"), (event % 7).alias("form"), "logged", F.when(F.col("logged").isNull(), F.col("whole")).alias("kept"))
 
 
+@query(READINGS_SQL + """
+SELECT 'sighted' AS side, mac, rssi, count(*) AS n FROM readings WHERE event_type <> 'error' GROUP BY ALL
+UNION ALL SELECT 'rejected', mac, NULL, count(*) FROM readings WHERE event_type = 'error' GROUP BY ALL""")
+def scans_to_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan lines converted to a log, shipped, and ingested as device sightings; broken lines are kept apart."""
+    root = new_folder(spark, "scans")
+    settings = file_settings(spark, "scans_topics")
+    rows = readings(events(spark, sf_dir)).join(events(spark, sf_dir).select("event_id", "event_type"), "event_id")
+    rssi = F.when(F.col("event_type") == "error", "strong").otherwise(F.col("rssi").cast("string"))
+    write_lines(rows.select(F.concat_ws(",", "mac", rssi).alias("value")), f"{root}/scans")
+    jobs.convert_scans(spark, f"{root}/scans", f"{root}/logs")
+    once = {"availableNow": True}
+    jobs.ship_log(spark, settings, f"{root}/logs", f"{root}/checkpoints", once).awaitTermination()
+    jobs.ingest_devices(spark, settings, f"{root}/checkpoints", console=False, trigger=once).awaitTermination()
+    sighted = read_index(spark, settings, settings.index + RAW_SUFFIX).select(F.lit("sighted").alias("side"), "mac", "rssi")
+    rejected = read_lines(spark, f"{root}/logs_rejected").select(
+        F.lit("rejected").alias("side"), F.split("value", ",")[0].alias("mac"), F.lit(None).cast("int").alias("rssi"))
+    return sighted.unionByName(rejected).groupBy("side", "mac", "rssi").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(READINGS_SQL + f"SELECT {READING_SQL_COLUMNS} FROM readings")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic to typed readings in an index."""

@@ -185,3 +185,23 @@ def test_export_of_several_indices(spark, tmp_path, settings):
         spark.range(rows).write.parquet(settings.index_path(name))
     assert jobs.export_indices(spark, settings, ["a", "b"], f"{tmp_path}/csv") == {"a": 3, "b": 4}
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv/b").count() == 4
+
+
+def test_scan_lines_become_readings(spark, tmp_path):
+    (tmp_path / "macs.csv").write_text("aa,-5\nbb, -70 ,more\ncc\ndd,strong\n\n")
+    jobs.convert_scans(spark, str(tmp_path / "macs.csv"), f"{tmp_path}/logs")
+    found = spark.read.schema("mac string, rssi int").json(f"{tmp_path}/logs")
+    assert sorted(map(tuple, found.collect())) == [("aa", -5), ("bb", -70)]
+    rejected = spark.read.text(f"{tmp_path}/logs_rejected")
+    assert sorted(r["value"] for r in rejected.collect()) == ["", "cc", "dd,strong"]
+
+
+def test_json_and_container_logs_are_parsed_in_one_pass(spark, tmp_path):
+    (tmp_path / "in.log").write_text('{"a":"x","k":3}\nnot json\n{"k":"text"}\n[1]\n{"a":\n')
+    jobs.parse_logs(spark, str(tmp_path / "in.log"), "json", f"{tmp_path}/out", ["a", "k int"])
+    schema = "value string, fields struct<a: string, k: int>, matched boolean"
+    rows = sorted((r["matched"], r["value"] or "", r["fields"] and tuple(r["fields"])) for r in spark.read.schema(schema).json(f"{tmp_path}/out").collect())
+    assert [r[1] for r in rows if not r[0]] == ["[1]", "not json", '{"a":', '{"k":"text"}']
+    assert [r[2] for r in rows if r[0]] == [("x", 3)]
+    with pytest.raises(ValueError):
+        jobs.parse_logs(spark, str(tmp_path / "in.log"), "json", f"{tmp_path}/other")

@@ -96,3 +96,34 @@ def test_incomplete_rows_are_set_apart(spark):
     assert assembler().transform(complete).first()["features"].size == 3
     with pytest.raises(Exception, match="(?i)null"):
         assembler().transform(df).collect()
+
+
+def test_a_bare_model_needs_the_order_of_its_features(spark, tmp_path):
+    from roompulse.operators.comfort_model import train
+
+    order = ["temperature", "humidity", "light"]
+    rows = spark.createDataFrame(
+        [(float(i % 30), float(i % 53), float(i * 7 % 900), int(i % 30 > 17)) for i in range(300)], "temperature double, humidity double, light double, comfortable int")
+    model = train(rows, features=order)
+    model.stages[-1].write().save(f"{tmp_path}/bare")
+    with pytest.raises(ValueError, match="order"):
+        load(f"{tmp_path}/bare")
+    with pytest.raises(ValueError):
+        load(f"{tmp_path}/bare", order[:2])
+    again = load(f"{tmp_path}/bare", order)
+    values = [tuple(r) for r in score(rows, model).select("light", "probability", "prediction").collect()]
+    assert [tuple(r) for r in score(rows, again).select("light", "probability", "prediction").collect()] == values
+
+
+def test_strict_scoring_stops_with_plain_weights_too(spark):
+    from roompulse.plans.batch import FIXED_MODEL
+    from roompulse.streaming.scoring import score_readings
+
+    schema = "mac string, rssi int, temperature double, humidity double, light double, timestamp timestamp"
+    whole = spark.createDataFrame([("a", 1, 20.0, 40.0, 900.0, None)], schema)
+    assert score_readings(whole, FIXED_MODEL, strict=True).count() == 1
+    for bad in (None, float("nan")):
+        broken = spark.createDataFrame([("a", 1, 20.0, 40.0, bad, None)], schema)
+        with pytest.raises(Exception, match="lacks a feature"):
+            score_readings(broken, FIXED_MODEL, strict=True).collect()
+        assert score_readings(broken, FIXED_MODEL).count() == 1
