@@ -27,6 +27,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value per stretch of an array between neighbouring bounds, over the array's own bytes.
+
+    (An Arrow array made from memory views would keep a reference to the whole array for ever.)
+    """
+    item = data.dtype.itemsize
+    kind, wide = (pa.binary(), np.int32) if data.nbytes < 1 << 31 else (pa.large_binary(), np.int64)
+    offsets = np.ascontiguousarray(bounds * item, dtype=wide)
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes; a longer row stands alone."""
     first, rows = 0, len(offsets) - 1

@@ -68,7 +68,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
                 ids, counts = encoder.encode(
                     data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                 ends = np.cumsum(counts)
-                wide = np.insert(ids, ends, end_id).astype("<u4").data.cast("B")
+                wide = np.insert(ids, ends, end_id).astype("<u4")
                 row, start, length, place = [], [], [], 0
                 sizes = (counts + 1).tolist()
                 for i, size in enumerate(sizes):
@@ -79,7 +79,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
                         start.append(at)
                         length.append(part)
                         at += part
-                bounds = np.cumsum([0, *length]) * 4
+                bounds = np.cumsum([0, *length])
                 classes = [capacity // n for n in length]
                 rank = []
                 for j in classes:
@@ -91,7 +91,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
                     pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(np.array(sizes)[row], pa.int64()), pa.array(classes, pa.int32()),
                     pa.array(np.full(len(row), worker), pa.int32()), pa.array(rank, pa.int64()),
-                    pa.array([wide[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()),
+                    bytetext.binaries(wide, bounds),
                 ], names=["doc_id", "start", "length", "doc_tokens", "class", "worker", "rank", "ids"])
 
     return saved(documents(docs, id_col, text_col).transform(mapped, cut, PIECES), "pieces")

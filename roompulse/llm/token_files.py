@@ -38,7 +38,7 @@ from roompulse.workspace import new_folder
 
 NULL_ID = -(1 << 63)
 MANIFEST = "worker int, name string, docs long, tokens long"
-BATCH_DOCS = 1000
+BATCH_DOCS, BATCH_TOKENS = 1000, 1 << 21
 
 
 def _store(folder: str) -> tuple[pa.fs.FileSystem, str]:
@@ -83,11 +83,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                     ids, counts = encoder.encode(
                         data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                     ends = np.cumsum(counts)
-                    raw = np.insert(ids, ends, end_id).astype(f"<u{width}").data.cast("B")
-                    bounds = (np.append(0, ends + np.arange(1, len(ends) + 1)) * width).tolist()
+                    whole = np.insert(ids, ends, end_id).astype(f"<u{width}")
+                    bounds = np.append(0, ends + np.arange(1, len(ends) + 1))
                     yield pa.RecordBatch.from_arrays([
                         batch["doc_id"].slice(first, last - first).cast(pa.int64()), batch["part"].slice(first, last - first),
-                        pa.array([raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+                        bytetext.binaries(whole, bounds),
                     ], names=["doc_id", "part", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,16 +169,14 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         _ranges(store, f"{path}.off", "<i8") as off, _ranges(store, f"{path}.doc", "<i8") as doc:
                     for first in range(0, part["docs"], BATCH_DOCS):
                         last = min(first + BATCH_DOCS, part["docs"])
-                        some = off[first:last + 1]
-                        block = ids[int(some[0]):int(some[-1])].astype("<u4")
-                        wide = (some - some[0]) * 4
-                        names = np.asarray(doc[first:last])
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(names, pa.int64(), mask=names == NULL_ID),
-                            pa.array(part["base"] + some[:-1], pa.int64()),
-                            pa.array([block.data.cast("B")[a:b] for a, b in zip(wide[:-1].tolist(), wide[1:].tolist(), strict=True)],
-                                     pa.binary()),
-                        ], names=["doc_id", "start", "ids"])
+                        borders, names = off[first:last + 1], np.asarray(doc[first:last])
+                        for a, b in bytetext.slices(np.asarray(borders), BATCH_TOKENS):
+                            some = borders[a:b + 1]
+                            block = ids[int(some[0]):int(some[-1])].astype("<u4")
+                            yield pa.RecordBatch.from_arrays([
+                                pa.array(names[a:b], pa.int64(), mask=names[a:b] == NULL_ID),
+                                pa.array(part["base"] + some[:-1], pa.int64()), bytetext.binaries(block, some - some[0]),
+                            ], names=["doc_id", "start", "ids"])
 
     # A stated count keeps adaptive execution from reading all files in one task.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
