@@ -35,6 +35,8 @@ LETTERS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 def _codes(ranks: np.ndarray) -> np.ndarray:
     """Code points from 1, past the surrogates."""
+    if len(ranks) and int(ranks.max()) + 1 + 0x800 > 0x10FFFF:
+        raise ValueError("a block of items has more distinct words than there are code points; one item isn't divided")
     codes = (ranks + 1).astype(np.uint32)
     codes[codes >= 0xD800] += 0x800
     return codes

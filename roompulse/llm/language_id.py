@@ -210,7 +210,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     if not languages:
         return [], {}
     share = F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(min(1.0, 1.2 * train_docs / counts[k])))))
-    drawn = rows.where((F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)) < share[F.col("label")])
+    drawn = rows.where((F.pmod(F.xxhash64(F.lit("train"), "doc_id", "text"), F.lit(1 << 20)) / F.lit(1 << 20)) < share[F.col("label")])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.session import importable, session_conf
@@ -39,14 +39,20 @@ def dropped(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, whatever characters that has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def documents(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """The id and the text, under fixed names, so that other columns can't clash; those to carry along get ``own_`` before theirs."""
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in carry))
+    return df.select(named(id_col).alias("doc_id"), named(text_col).alias("text"), *(named(c).alias(f"own_{c}") for c in carry))
 
 
 def own_columns(df: DataFrame) -> str:
     """The carried columns as the end of a schema string."""
-    return "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name.startswith("own_"))
+    kinds = ((f.name.replace("`", "``"), f.dataType.simpleString()) for f in df.schema.fields if f.name.startswith("own_"))
+    return "".join(f", `{name}` {kind}" for name, kind in kinds)
 
 
 def finished(spark: SparkSession) -> None:

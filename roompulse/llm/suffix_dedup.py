@@ -32,11 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm import bytetext
-from roompulse.llm.storage import dropped, finished, mapped, own_columns, saved
+from roompulse.llm.storage import dropped, finished, mapped, named, own_columns, saved
 from roompulse.workspace import new_folder
 
 WIDTH = 100
 GRAM = 32
+#: Windows of a run at most (its place keeps their number in a byte), and the longest strings whose runs fit.
+RUN_WINDOWS = 255
+MAX_WIDTH = GRAM + RUN_WINDOWS - 1
 HOT_RUNS = 8192
 BLOCK_BYTES = 1 << 20
 _STEP = 1 << 20
@@ -44,12 +47,12 @@ _PLACE = np.uint64((1 << 24) - 1)
 NULL_ID = -(1 << 63)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first window start in the row, number of windows and gram hash of each anchor run."""
+def runs(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Row, first window start in the row, number of windows and gram hash of each run, and whether its gram stands in it twice."""
     total = len(data)
     empty = np.empty(0, np.int64)
     if total < width:
-        return empty, empty, empty, np.empty(0, np.uint64)
+        return empty, empty, empty, np.empty(0, np.uint64), np.empty(0, bool)
     gram = min(GRAM, width)
     inside = np.zeros(total + 1, np.int32)
     long_enough = np.diff(offsets) >= width
@@ -72,13 +75,17 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray,
     begins = np.zeros(total, bool)
     begins[offsets[:-1][long_enough]] = True
     begins[0] = True
-    begins[1:] |= anchor[1:] != anchor[:-1]
+    # Windows with the same gram are one run wherever in them it stands: a text of one letter has few runs.
+    value = grams[anchor]
+    begins[1:] |= value[1:] != value[:-1]
+    at = np.arange(total)
+    begins |= (at - np.maximum.accumulate(np.where(begins, at, 0))) % RUN_WINDOWS == 0
     first = np.flatnonzero(valid & begins)
     stop = np.append(begins[1:], True)
     stop[:-1] |= ~valid[1:]
     last = np.flatnonzero(valid & stop)
     row = np.searchsorted(offsets, first, side="right") - 1
-    return row, first - offsets[row], last - first + 1, grams[anchor[first]]
+    return row, first - offsets[row], last - first + 1, grams[anchor[first]], anchor[first] != anchor[last]
 
 
 def suffix_buckets(text: np.ndarray, first: np.ndarray, count: np.ndarray, width: int) -> np.ndarray:
@@ -98,15 +105,31 @@ def suffix_buckets(text: np.ndarray, first: np.ndarray, count: np.ndarray, width
     code = np.zeros(size, np.uint64)
     for k in range(min(8, width)):
         code = (code << np.uint64(8)) | padded[k:k + size]
+    # A bucket's number is how many suffixes stand before it, so parts of one get numbers without moving the others.
     bucket = np.zeros(size, np.int64)
     needed = np.flatnonzero(place < windows + sum(steps))
-    bucket[needed] = np.unique(code[needed], return_inverse=True)[1]
+    order = needed[np.argsort(code[needed], kind="stable")]
+    heads = np.append(True, code[order][1:] != code[order][:-1])[:len(order)]
+    bucket[order] = np.flatnonzero(heads)[np.cumsum(heads) - 1]
     for k, step in enumerate(steps):
         needed = np.flatnonzero(place < windows + sum(steps[k + 1:]))
-        pair = bucket[needed] * size + bucket[needed + step]
-        # Each round reads the pointers that the round before has refined.
-        bucket[needed] = np.unique(pair, return_inverse=True)[1]
-    return bucket[bytetext.ragged(first, count)]
+        # A bucket of one is final. The others are sorted by the pointers further on, which earlier rounds have refined.
+        members = np.bincount(bucket[needed], minlength=size)
+        open_ = needed[members[bucket[needed]] > 1]
+        if not len(open_):
+            break
+        pair = bucket[open_] * size + bucket[open_ + step]
+        order = np.argsort(pair, kind="stable")
+        pair, old = pair[order], bucket[open_[order]]
+        at = np.arange(len(order))
+        first_of = lambda new: np.maximum.accumulate(np.where(new, at, 0))
+        begins = first_of(np.append(True, old[1:] != old[:-1]))
+        parts = first_of(np.append(True, pair[1:] != pair[:-1]))
+        bucket[open_[order]] = old + parts - begins
+    found = bucket[bytetext.ragged(first, count)]
+    used = np.zeros(size + 1, bool)
+    used[found] = True
+    return (np.cumsum(used) - 1)[found]
 
 
 def _true_runs(flags: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,10 +152,10 @@ def _anchor_rows(width: int):
             data, offsets = bytetext.utf8(batch["text"])
             ids, keys = batch["doc_id"].to_numpy(), batch["text_key"].to_numpy()
             for a, b in bytetext.slices(offsets):
-                row, start, count, gram = runs(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
+                row, start, count, gram, twice = runs(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(gram.view(np.int64)), pa.array(ids[a + row]), pa.array(keys[a + row]),
-                    pa.array(start << 8 | count)], names=["gram", "doc_id", "text_key", "place"])
+                    pa.array(start << 8 | count), pa.array(twice)], names=["gram", "doc_id", "text_key", "place", "twice"])
 
     return run
 
@@ -312,16 +335,18 @@ def repeats_removed(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     base = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"),
-        F.hash(F.col(text_col)).alias("text_key"), *(F.col(c).alias(f"own_{c}") for c in carry))
+        F.coalesce(named(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), named(text_col).alias("text"),
+        F.hash(named(text_col)).alias("text_key"), *(named(c).alias(f"own_{c}") for c in carry))
+    if width > MAX_WIDTH:
+        raise ValueError(f"strings of {width} bytes: a run of windows would not fit its place")
     texts = base.select("doc_id", "text_key", "text")
-    anchors = texts.transform(mapped, _anchor_rows(width), "gram long, doc_id long, text_key int, place long")
-    counts = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(
+    anchors = texts.transform(mapped, _anchor_rows(width), "gram long, doc_id long, text_key int, place long, twice boolean")
+    counts = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 or twice").select(
         "gram", F.ceil(F.col("n") / HOT_RUNS).cast("int").alias("salts"))
     old = [new_folder(spark, "grams"), new_folder(spark, "runs")]
     counts = saved(counts, "grams", old[0])
     finished(spark)
-    shared = saved(anchors.join(counts, "gram"), "runs", old[1])
+    shared = saved(anchors.drop("twice").join(counts, "gram"), "runs", old[1])
     finished(spark)
     lists = shared.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("gram", "salts", "place")).alias("runs"))
     found = saved(texts.join(lists, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "runs").transform(

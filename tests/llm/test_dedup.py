@@ -225,3 +225,29 @@ def test_contamination_of_nothing(spark, docs, empty):
 def test_digest_of_kept_bytes_is_of_the_text(docs):
     rows = {r["doc_id"]: r for r in suffix_dedup.repeats_removed(docs).collect()}
     assert hashlib.sha256(bytes(rows[13]["kept"])).hexdigest() == hashlib.sha256(b"x").hexdigest()
+
+
+@pytest.mark.parametrize("text", [b"a" * 5000, b"ab" * 3000, b"abc" * 500 + b"x" * 4000 + b"abc" * 500, bytes(range(256)) * 20])
+def test_texts_of_few_letters_have_few_runs(text):
+    """Runs cover each window once, in order, and none is longer than its place can tell."""
+    data = np.frombuffer(text, np.uint8)
+    row, start, count, _, twice = suffix_dedup.runs(data, np.array([0, len(text)]), 100)
+    assert (row == 0).all() and start[0] == 0 and (start[1:] == start[:-1] + count[:-1]).all()
+    assert start[-1] + count[-1] == len(text) - 99 and count.max() <= suffix_dedup.RUN_WINDOWS
+    if len(set(text)) < 3:
+        assert len(start) < len(text) // 40 and twice[0]
+
+
+def test_columns_with_odd_names(spark):
+    """Names with dots and backticks, through an operator that carries columns along and through the pipeline's stages."""
+    import corpus_pipeline
+
+    text = "The same long sentence stands here twice and is longer than a hundred bytes, so that it is found and cut out of one."
+    rows = spark.createDataFrame([(1, text + " One.", "en"), (2, "Two. " + text, "en"), (3, "short words only", "en")], "doc_id long, text string, lang string")
+    table = rows.selectExpr("*", "'d' AS `a.b`", "'t' AS `a``b`", "struct(1 AS x) AS `own_ids`", "length(text) AS n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, "/root/testdata/sf0.001")
+        assert out.columns == table.columns, name
+        assert {r["a.b"] for r in out.collect()} == {"d"}
+    with pytest.raises(ValueError):
+        suffix_dedup.repeats_removed(rows, width=suffix_dedup.MAX_WIDTH + 1)
