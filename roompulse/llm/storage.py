@@ -73,10 +73,16 @@ def release_memory() -> None:
 def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` whose tasks give their memory back at the end."""
 
+    # Spark looks the columns up by name, and takes a dot or a backtick in one for syntax.
+    names = df.columns
+    odd = any("." in name or "`" in name for name in names)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if odd:
+            batches = (pa.RecordBatch.from_arrays(batch.columns, names=names) for batch in batches)
         try:
             yield from function(batches)
         finally:
             release_memory()
 
-    return df.mapInArrow(task, schema)
+    return (df.toDF(*(f"c{i}" for i in range(len(names)))) if odd else df).mapInArrow(task, schema)
