@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roompulse.llm import chosen_path, decontaminate, language_id, packing, suffix_dedup
 from roompulse.llm.encoding import tokenizer_path
-from roompulse.llm.storage import importable, saved, table
+from roompulse.llm.storage import importable, named, saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,7 +20,7 @@ def _carried(docs: DataFrame) -> tuple[str, ...]:
 
 def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of documents, in their order, from those that an operator carried along."""
-    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"own_{c}").alias(c) for c in docs.columns))
+    return rows.select(*(named(c) if c in ("doc_id", "text") else named(f"own_{c}").alias(c) for c in docs.columns))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     carry = ("text", *_carried(docs))
     found = language_id.predicted(docs, languages, weights, carry=carry).where(F.col("lang_pred") != language_id.UNKNOWN)
     return found.select(*(
-        F.col("doc_id") if c == "doc_id" else F.col("lang_pred").alias(c) if c == "lang" else F.col(f"own_{c}").alias(c)
+        F.col("doc_id") if c == "doc_id" else F.col("lang_pred").alias(c) if c == "lang" else named(f"own_{c}").alias(c)
         for c in docs.columns))
 
 
@@ -47,11 +47,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     apart = rows.where("label is null").select("doc_id", "text_key").distinct().withColumn("apart", F.lit(True))
     chosen = kept.unionByName(apart).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "apart")
     # Documents go as one struct, so that their columns can have any name.
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"),
+    keyed = docs.select(F.struct(*map(named, docs.columns)).alias("document"),
                         F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
     out = keyed.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
-    # Rows repeated whole are one document; without words and id they may be different ones.
-    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(1)))
+    # Rows with one id and text are one document, of which the first by its other columns stays; without words and id they may
+    # be different ones.
+    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64(F.col("document").cast("string")), F.col("document").cast("string")))
     return out.withColumn("rank", rank).where("rank = 1 or (apart and id is null)").select("document.*")
 
 
