@@ -175,6 +175,13 @@ _BINARY: dict[str, Callable[[Any, Any], Any]] = {
 
 def fold(node: Node) -> Node:
     """A node whose operands are constants becomes a constant."""
+    try:
+        return _folded(node)
+    except (TypeError, AttributeError, ValueError) as error:
+        raise TemplateError(f"{node[0]} of constants that don't fit: {error}") from error
+
+
+def _folded(node: Node) -> Node:
     if node[0] in _BINARY and node[1][0] == node[2][0] == "const":
         return ("const", _BINARY[node[0]](node[1][1], node[2][1]))
     if node[0] == "not" and node[1][0] == "const":
@@ -372,13 +379,34 @@ def _step(node: Node) -> Step:
     return loop
 
 
+def _one_pass(nodes: Any, name: str) -> bool:
+    """Whether a template takes a name only once, as what one loop goes over: then its items needn't be held."""
+
+    def uses(node: Any) -> int:
+        if node == ("name", name):
+            return 1
+        return sum(map(uses, node)) if isinstance(node, (tuple, list)) else 0
+
+    def loops(node: Any) -> int:
+        """Loops over the name that stand in no other loop."""
+        if isinstance(node, tuple) and node[:1] == ("for",):
+            return int(node[2] == ("name", name))
+        return sum(map(loops, node)) if isinstance(node, (tuple, list)) else 0
+
+    return uses(nodes) == loops(nodes) == 1
+
+
 def compiled(source: str) -> Callable[[Iterator[dict]], Output]:
-    """A renderer of conversations (an iterable of messages with role and text)."""
-    body = _steps(parse(source))
+    """A renderer of conversations (an iterable of messages with role and text).
+
+    Messages are taken one by one where the template goes over them once; else a conversation's messages are held together.
+    """
+    tree = parse(source)
+    body, streams = _steps(tree), _one_pass(tree, "messages")
 
     def render(messages: Iterator[dict]) -> Output:
         out = Output()
-        body({"messages": messages}, out)
+        body({"messages": messages if streams else list(messages)}, out)
         return out
 
     return render
