@@ -32,7 +32,8 @@ def canonical_url(url: Column) -> Column:
     host = F.lower(F.regexp_extract(out, "^([A-Za-z]+://[^/?]*)", 1))
     rest = F.substring(out, F.length(host) + 1, F.length(out))
     host = F.regexp_replace(F.regexp_replace(host, "^http://(?:www\\.)?|^https://(?:www\\.)?", "https://"), ":(?:80|443)$", "")
-    return F.regexp_replace(F.concat(host, rest), "/+$", "")
+    # A slash at the end of a query is part of a value.
+    return F.regexp_replace(F.concat(host, rest), "^([^?]*?)/+$", "$1")
 
 
 def header(headers: str, name: str) -> Column:
@@ -127,7 +128,7 @@ WITH c AS (
 ), k AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''),
     '([?&])(?:utm_[A-Za-z]+|ref)=[^&]*', '\1', 'g'), '([?&])&+', '\1', 'g'), '[?&]+$', ''), '^https?://(www\.)?', 'https://') AS plain FROM c
-), q AS (SELECT *, regexp_replace(plain, '/+$', '') AS canonical FROM k),
+), q AS (SELECT *, regexp_replace(plain, '^([^?]*?)/+$', '\1') AS canonical FROM k),
 m AS (
   SELECT r.*, f.capture_id AS response_id, f.time AS response_time, f.tag AS full_tag, f.day AS full_day, f.size AS full_size
   FROM (SELECT * FROM q WHERE status = 304) r

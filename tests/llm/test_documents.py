@@ -72,6 +72,38 @@ def test_template_language():
             chat.parse(bad)
 
 
+@pytest.mark.parametrize("source, expected", [
+    ("{% for m in messages %}{{ m.text }}{% endfor %}|{% for m in messages %}{{ m.text }}{% endfor %}", "ab|ab"),
+    ("{{ messages|length }}{% for m in messages %}{{ m.text }}{% endfor %}", "2ab"),
+    ("{% set all = messages %}{% for m in all %}{{ m.text }}{% endfor %}{% for m in all %}{{ m.text }}{% endfor %}", "abab"),
+    ("{% for m in messages %}{{ m.text }}{% for n in messages %}{{ n.text }}{% endfor %}{% endfor %}", "aabbab"),
+    ("{% if messages %}{% for m in messages %}{{ m.text }}{% endfor %}{% endif %}", "ab"),
+    ("{% for m in messages %}{{ m.text }}{% endfor %}", "ab"),
+])
+def test_templates_that_go_over_the_messages_again(source, expected):
+    out = chat.compiled(source)(iter([{"text": "a"}, {"text": "b"}]))
+    assert "".join(out.parts) == expected
+
+
+def test_messages_are_taken_one_by_one_where_once_is_enough():
+    taken = []
+
+    def messages():
+        for i in range(3):
+            taken.append(i)
+            yield {"text": str(len(taken))}
+
+    # The loop looks one message ahead, for loop.last, and no further.
+    assert "".join(chat.compiled("{% for m in messages %}{{ m.text }}{% endfor %}")(messages()).parts) == "123"
+    assert not chat._one_pass(chat.parse("{% for x in messages %}{% endfor %}{{ messages|length }}"), "messages")
+
+
+@pytest.mark.parametrize("bad", ["{{ 1|length }}", "{{ 'a' + 1 }}", "{% if 'a' + 1 == 2 %}{% endif %}"])
+def test_constants_that_do_not_fit(bad):
+    with pytest.raises(chat.TemplateError):
+        chat.parse(bad)
+
+
 @pytest.mark.parametrize("text", ["", "<|", "<\\|", "a<\\\\|b<|im_end|>\n<|im_start|>user\n", "<", "|", "\\n\n\\"])
 def test_escapes_are_reversible(text):
     assert "<|" not in chat.escape(text) and chat.unescape(chat.escape(text)) == text
@@ -175,10 +207,11 @@ def test_line_cleaning_of_nothing(empty):
 
 def test_canonical_urls(spark, docs):
     same = ["http://www.Example.com/a/?utm_source=x#top", "https://example.com/a", "https://EXAMPLE.com:443/a/", "http://example.com/a?ref=1&utm_medium=y"]
-    other = ["https://example.com/A", "https://example.com/a?page=2&ref=x"]
+    other = ["https://example.com/A", "https://example.com/a?page=2&ref=x", "http://example.com/p?next=/", "http://example.com/p?next="]
     rows = spark.createDataFrame([(u,) for u in same + other], "u string").select(revisits.canonical_url(F.col("u")).alias("c")).collect()
     assert {r["c"] for r in rows[:4]} == {"https://example.com/a"}
-    assert [r["c"] for r in rows[4:]] == ["https://example.com/A", "https://example.com/a?page=2"]
+    assert [r["c"] for r in rows[4:]] == ["https://example.com/A", "https://example.com/a?page=2", "https://example.com/p?next=/",
+                                          "https://example.com/p?next="]
 
 
 @pytest.mark.parametrize("segment", [1, 7, 4096])
