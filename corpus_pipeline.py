@@ -86,7 +86,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("benchmark decontamination", decontaminate_documents),
     ("packing", pack),
 ]
-# Training, suffix sorting and tokenizing are beyond SQL; tests hold near-dedup, and the operators of most other stages, against a
+# Training, suffix sorting and tokenizing are beyond SQL; tests hold every stage, and run() as a whole, against a
 # brute-force version.
 ORACLE_SQL = None
 
