@@ -270,7 +270,8 @@ def live_scores(
     rows = parse_readings(_messages(spark, settings), ROOM_READING)
     outputs = [index_output(settings)] + ([console_output()] if console else [])
     rejects = index_output(settings, f"{settings.index}_rejected")
-    callback = score_batches(model, fan_out(outputs), rejects, strict)
+    # The readings are held by the callback; scoring them again for another output is arithmetic.
+    callback = score_batches(model, fan_out(outputs, kept=True), rejects, strict)
     return start(to_batches(rows, "live_scores", checkpoints, callback), spark, trigger)
 
 

@@ -14,16 +14,22 @@ from roompulse.sources.index import OWN_BATCH_ID
 from roompulse.sinks.stream import BatchFunction, batch_folder, write_batch
 
 
-def fan_out(outputs: Sequence[BatchFunction]) -> BatchFunction:
-    """One pass over the source for several outputs: each micro-batch is computed once."""
+def fan_out(outputs: Sequence[BatchFunction], kept: bool = False) -> BatchFunction:
+    """One pass over the source for several outputs: each micro-batch is computed once.
+
+    A batch is held for that, unless there is one output only or the caller holds what the batch is made from (``kept``).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        hold = len(outputs) > 1 and not kept
+        if hold:
+            batch.persist()
         try:
             for output in outputs:
                 output(batch, batch_id)
         finally:
-            batch.unpersist()
+            if hold:
+                batch.unpersist()
 
     return write
 
