@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from roompulse.llm import chosen_path, decontaminate, language_id, packing, suffix_dedup
 from roompulse.llm.encoding import tokenizer_path
-from roompulse.llm.storage import importable, named, saved, table
+from roompulse.llm.storage import dropped, importable, named, saved, table
+from roompulse.workspace import new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -93,7 +94,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each one's table is committed before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        folder = new_folder(spark, f"pipeline-{name.replace(' ', '-')}")
+        docs = saved(stage(spark, docs, sf_dir), name, folder)
+        if before is not None:
+            dropped(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
