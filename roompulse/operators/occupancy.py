@@ -137,9 +137,10 @@ def exact_occupancy(
         F.bit_or("mask").alias("mask")
     )
     is_set = F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(one) == 1
-    bits = seen.select(
-        "mac", "word", "mask", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS - 1))).alias("bit")
-    )
+    # From a mask's lowest set bit to its highest one.
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - one)
+    highest = F.length(F.bin("mask")) - 1
+    bits = seen.select("mac", "word", "mask", F.explode(F.sequence(lowest, highest)).alias("bit"))
     counts = bits.filter(is_set).groupBy("word", "bit").agg(F.count("mac").alias("distinct_macs"))
     start = (F.col("word") * MASK_BITS + F.col("bit")) * slide_seconds
     window = F.struct(

@@ -42,11 +42,13 @@ def read_appended_csv(
     The first line's names give the order of the columns; without names there it is the schema's. Rows are
     read as text, the header rows are filtered out, and each column is cast with ``try_cast``: a bad value
     nulls its own column and never drops a row. Whole numbers may be written as decimals. A later header
-    row with another order fails. ``text`` names a column for the fields as they were read.
+    row with another order fails. ``text`` names a column for the fields as they were read; a line with more or fewer
+    fields than columns is there as it came, whole.
     """
     names = _first_names(spark, path, schema)
-    text_schema = T.StructType([T.StructField(name, T.StringType(), True) for name in names])
-    rows = spark.read.schema(text_schema).options(**_APPENDED).csv(path)
+    whole = [] if text is None else ["_whole_line"]
+    text_schema = T.StructType([T.StructField(name, T.StringType(), True) for name in [*names, *whole]])
+    rows = spark.read.schema(text_schema).options(**_APPENDED, columnNameOfCorruptRecord="_whole_line").csv(path)
     is_header = F.lit(True)
     for name in names:
         is_header = is_header & F.col(name).eqNullSafe(name)
@@ -55,7 +57,8 @@ def read_appended_csv(
     rows = rows.filter(~is_header).filter(F.coalesce(checked, F.lit(True)))
     typed = [_typed(field).alias(field.name) for field in schema]
     if text is not None:
-        typed.append(F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in names]).alias(text))
+        joined = F.concat_ws(",", *[F.coalesce(name, F.lit("")) for name in names])
+        typed.append(F.coalesce("_whole_line", joined).alias(text))
     return rows.select(*typed)
 
 

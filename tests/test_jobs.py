@@ -205,3 +205,13 @@ def test_json_and_container_logs_are_parsed_in_one_pass(spark, tmp_path):
     assert [r[2] for r in rows if r[0]] == [("x", 3)]
     with pytest.raises(ValueError):
         jobs.parse_logs(spark, str(tmp_path / "in.log"), "json", f"{tmp_path}/other")
+
+
+def test_lines_with_other_numbers_of_fields_are_kept_whole(spark, tmp_path):
+    from roompulse.schemas import TRAINING_ROW
+    from roompulse.sources.files import read_appended_csv
+
+    (tmp_path / "rows.csv").write_text("light,temperature,humidity,comfortable\n1,2,3,1\n1,2,3,1,more,fields\n4,5\n6,x,7,0\n")
+    rows = read_appended_csv(spark, str(tmp_path / "rows.csv"), TRAINING_ROW, text="line").collect()
+    found = sorted((r["line"], r["light"], r["temperature"], r["comfortable"]) for r in rows)
+    assert found == [("1,2,3,1", 1.0, 2.0, 1), ("1,2,3,1,more,fields", 1.0, 2.0, 1), ("4,5", 4.0, 5.0, None), ("6,x,7,0", 6.0, None, 0)]
