@@ -53,7 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     out = keyed.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
     # Rows with one id and text are one document, of which the first by its other columns stays; without words and id they may
     # be different ones.
-    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64(F.col("document").cast("string")), F.col("document").cast("string")))
+    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64(F.col("document").cast("string"))))
     return out.withColumn("rank", rank).where("rank = 1 or (apart and id is null)").select("document.*")
 
 
