@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from roompulse.llm import chosen_path, decontaminate, suffix_dedup
@@ -72,6 +73,47 @@ def test_bucket_pointers_sort_suffixes():
         assert suffix_dedup.suffix_buckets(text, first, count, width).tolist() == [ranks[w] for w in windows]
 
 
+@pytest.mark.parametrize("letters", [1, 2, 90, 256])
+def test_bucket_pointers_with_any_letters(letters):
+    draw = np.random.default_rng(letters)
+    count = draw.integers(1, 300, 40)
+    text = np.concatenate([np.tile(draw.integers(256 - letters, 256, 150).astype(np.uint8), 3)[:c + 99] for c in count])
+    first = np.cumsum(count + 99) - (count + 99)
+    windows = [text[f + k:f + k + 100].tobytes() for f, c in zip(first, count) for k in range(c)]
+    ranks = {w: i for i, w in enumerate(sorted(set(windows)))}
+    assert suffix_dedup.suffix_buckets(text, first, count, 100).tolist() == [ranks[w] for w in windows]
+
+
+def test_values_too_large_to_be_packed_sort_alike():
+    values = np.random.default_rng(2).integers(0, 50, 1000)
+    for limit in (50, 1 << 60):
+        order, found = suffix_dedup._in_order(values, limit)
+        assert found.tolist() == sorted(values.tolist()) == values[order].tolist()
+        assert sorted(order.tolist()) == list(range(1000))
+
+
+def test_blocks_fit_a_cache(monkeypatch):
+    """Sorting blocks of 1 MB cost three times the time; a gram is whole in one block."""
+    sizes, grams = [], []
+    block = suffix_dedup._block
+
+    def noted(rows, width):
+        sizes.append(sum(map(len, rows["body"].to_pylist())))
+        grams.append(set(rows["gram"].to_pylist()))
+        return block(rows, width)
+
+    monkeypatch.setattr(suffix_dedup, "_block", noted)
+    n = 10_000
+    rows = pa.record_batch({
+        "kind": pa.array([0] * n, pa.int32()), "gram": pa.array([i // 3 for i in range(n)], pa.int64()), "salt": pa.array([0] * n, pa.int32()),
+        "salts": pa.array([1] * n, pa.int32()), "doc_id": pa.array(range(n), pa.int64()), "text_key": pa.array(range(n), pa.int32()),
+        "start": pa.array([0] * n, pa.int64()), "windows": pa.array([1] * n, pa.int32()),
+        "body": pa.array([f"{i // 2:0100d}".encode() for i in range(n)], pa.binary())})
+    list(suffix_dedup._refine(100)(iter(rows.slice(i, 1000) for i in range(0, n, 1000))))
+    assert max(sizes) <= 1 << 18
+    assert sum(sizes) == 100 * n and sum(map(len, grams)) == len(set().union(*grams))
+
+
 def test_repeats_of_nothing(empty):
     assert suffix_dedup.repeats_removed(empty).count() == 0
 
