@@ -97,6 +97,33 @@ def _floor_div(value: Column, step: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))
 
 
+def start_mask(first: Column, last: Column) -> Column:
+    """A LONG with the bits from ``first`` to ``last`` set, those of them that are below ``MASK_BITS``."""
+    from_first = F.call_function("shiftleft", F.lit(-1).cast("long"), F.greatest(first, F.lit(0)).cast("int"))
+    to_last = F.call_function(
+        "shiftright", F.lit((1 << MASK_BITS) - 1), (F.lit(MASK_BITS - 1) - F.least(last, F.lit(MASK_BITS - 1))).cast("int"))
+    return from_first.bitwiseAND(to_last)
+
+
+def mask_bits(masks: DataFrame) -> DataFrame:
+    """One row per set bit of the column ``mask``, its number in ``bit``."""
+    one = F.lit(1).cast("long")
+    is_set = F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(one) == 1
+    # From a mask's lowest set bit to its highest one.
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - one)
+    highest = F.length(F.bin("mask")) - 1
+    return masks.select("*", F.explode(F.sequence(lowest, highest)).alias("bit")).filter(is_set).drop("mask")
+
+
+def window_starts(timestamp: str, window_seconds: int, slide_seconds: int) -> list[Column]:
+    """The ``first`` and ``last`` window that hold a time, counted in slides since the epoch."""
+    slide, size = slide_seconds * 1_000_000, window_seconds * 1_000_000
+    return [
+        (_floor_div(F.unix_micros(timestamp) - size, slide) + 1).alias("first"),
+        _floor_div(F.unix_micros(timestamp), slide).alias("last"),
+    ]
+
+
 def exact_occupancy(
     readings: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
@@ -111,37 +138,20 @@ def exact_occupancy(
     task sends one row per device and half hour, and neither a hot device nor a hot window gathers
     its readings in one place. The set bits are then counted per window, with partial counts first.
     """
-    slide, size = slide_seconds * 1_000_000, window_seconds * 1_000_000
-    # Window starts are counted in slides since the epoch.
     spans = readings.filter(F.col("timestamp").isNotNull()).select(
-        "mac",
-        _floor_div(F.unix_micros("timestamp"), slide).alias("last"),
-        (_floor_div(F.unix_micros("timestamp") - size, slide) + 1).alias("first"),
-    )
+        "mac", *window_starts("timestamp", window_seconds, slide_seconds))
     words = spans.select(
         "mac", "first", "last",
         F.explode(
             F.sequence(_floor_div(F.col("first"), MASK_BITS), _floor_div(F.col("last"), MASK_BITS))
         ).alias("word"),
     )
-    low = F.greatest(F.col("first") - F.col("word") * MASK_BITS, F.lit(0))
-    high = F.least(F.col("last") - F.col("word") * MASK_BITS, F.lit(MASK_BITS - 1))
-    one = F.lit(1).cast("long")
-    # (2 ^ n - 1) << low, with the two shifts as SQL functions of columns.
-    mask = F.call_function(
-        "shiftleft",
-        F.call_function("shiftleft", one, (high - low + 1).cast("int")) - one,
-        low.cast("int"),
-    )
+    before = F.col("word") * MASK_BITS
+    mask = start_mask(F.col("first") - before, F.col("last") - before)
     seen = words.select("mac", "word", mask.alias("mask")).groupBy("mac", "word").agg(
         F.bit_or("mask").alias("mask")
     )
-    is_set = F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(one) == 1
-    # From a mask's lowest set bit to its highest one.
-    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - one)
-    highest = F.length(F.bin("mask")) - 1
-    bits = seen.select("mac", "word", "mask", F.explode(F.sequence(lowest, highest)).alias("bit"))
-    counts = bits.filter(is_set).groupBy("word", "bit").agg(F.count("mac").alias("distinct_macs"))
+    counts = mask_bits(seen).groupBy("word", "bit").agg(F.count("mac").alias("distinct_macs"))
     start = (F.col("word") * MASK_BITS + F.col("bit")) * slide_seconds
     window = F.struct(
         F.timestamp_seconds(start).alias("start"),

@@ -34,7 +34,7 @@ from roompulse.streaming.carry_forward import KnownValues, carry_forward_batches
 from roompulse.streaming.labelling import label_batches, labelled_readings
 from roompulse.streaming.late import split_late
 from roompulse.streaming.occupancy import (
-    approximate_windows, exact_windows, newest_windows, sketch_panes, sketched_windows,
+    approximate_windows, block_windows, exact_windows, newest_windows, sketch_panes, sketched_windows,
 )
 from roompulse.streaming.outputs import csv_output, fan_out, table_output
 from roompulse.streaming.routing import route_batches
@@ -424,7 +424,7 @@ def occupancy_stream_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def occupancy_stream_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All windows, newest first: the closed ones of the output, the open ones read from the stream's state."""
     root = new_folder(spark, "occupancy_complete")
-    windows = exact_windows(sightings(events_stream(spark, sf_dir)))
+    windows = block_windows(sightings(events_stream(spark, sf_dir)))
     drain(to_files(windows, "occupancy_stream_complete", f"{root}/checkpoints", f"{root}/out"), spark)
     checkpoint = checkpoint_folder(f"{root}/checkpoints", "occupancy_stream_complete")
     return occupancy_text(newest_windows(spark, checkpoint, spark.read.parquet(f"{root}/out")))

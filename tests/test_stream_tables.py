@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from roompulse.operators.evaluation import rank_area
 from roompulse.operators.occupancy import exact_occupancy, occupancy_from_panes, pane_sketches
+from roompulse.plans import stream as plans
 from roompulse.sinks.stream import checkpoint_folder, committed_batches, drain, to_batches, to_files
 from roompulse.streaming.late import split_late
-from roompulse.streaming.occupancy import exact_windows, newest_windows, open_windows, sketch_panes
+from roompulse.streaming.occupancy import block_windows, exact_windows, newest_windows, open_windows, sketch_panes
 from roompulse.streaming.outputs import table_output
 from roompulse.streaming.watch import StreamWatch, lost_messages, watched_events
 from test_streaming import deliver, sightings, windows
@@ -34,6 +35,47 @@ def test_open_and_closed_windows_are_all_windows(spark, tmp_path):
         assert all(start + 120 > newest - 60 for start in windows(open_windows(spark, checkpoint)))
 
 
+@pytest.mark.parametrize("size, slide", [(120, 30), (600, 60), (100, 30), (4000, 40)])
+def test_blocks_give_all_windows_from_a_state_row_per_device_and_block(spark, tmp_path, size, slide):
+    draw = random.Random(size)
+    everything, block = [], 60 * slide
+    for k in range(3):
+        rows = [(draw.choice("abc"), k * block + draw.uniform(-block, block)) for _ in range(60)]
+        rows += [("a", float(k * block)), (None, k * block - 0.000001), ("b", k * block + slide * 59.0), ("c", None)]
+        # No reading is late, and none is before 1970, where a stream's first watermark stands.
+        rows = [(m, None if t is None else t + (2 * k + 200) * block) for m, t in rows]
+        everything += rows
+        stream = deliver(spark, rows, f"{tmp_path}/in")
+        query = drain(to_files(block_windows(stream, "1 hour", size, slide), "q", f"{tmp_path}/cp", f"{tmp_path}/out"), spark)
+        seen = query.recentProgress[0].stateOperators[-1].numRowsUpdated
+        timed = {(m, t // block) for m, t in rows if t is not None}
+        assert seen <= len(timed) * (2 + size // block) <= 4 * 4 * (2 + size // block)
+        closed = spark.read.schema("start timestamp, end timestamp, distinct_macs long, approx_people double").parquet(f"{tmp_path}/out")
+        found = newest_windows(spark, checkpoint_folder(f"{tmp_path}/cp", "q"), closed, window_seconds=size, slide_seconds=slide)
+        assert windows(found) == windows(exact_occupancy(sightings(spark, everything), size, slide))
+        assert found.count() == len(windows(found))
+    assert closed.count()
+
+
+def test_newest_windows_hold_few_state_rows(spark, tmp_path, monkeypatch):
+    """A reading was a state row in each of its four windows."""
+    updated = []
+
+    def noted(*args):
+        query = drain(*args)
+        updated.append(max(op.numRowsUpdated for op in query.recentProgress[0].stateOperators))
+        return query
+
+    rows = [(i, f"2024-01-01 0{i % 4}:{i % 60:02}:{i % 7:02}", i % 50, "view", 1.0, "{}") for i in range(2000)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(plans, "drain", noted)
+    found = plans.occupancy_stream_complete(spark, str(tmp_path))
+    devices_and_blocks = {(r[2], r[0] % 4, r[0] % 60 // 30) for r in rows}
+    assert updated[0] <= 1.5 * len(devices_and_blocks)
+    assert found.count() > 0
+
+
 def test_panes_give_windows_of_any_size(spark, tmp_path):
     rows = [(f"m{i % 700}", float(i % 1900)) for i in range(5000)]
     stream = deliver(spark, [*rows, ("end", 4000.0)], f"{tmp_path}/in")
