@@ -107,3 +107,78 @@ def test_article_copies_stay(spark):
     table = spark.createDataFrame([(i, "http://a.example/", page) for i in range(5)], "page_id long, url string, html string")
     assert {r["text"] for r in page_text.main_text(table).collect()} == {("the same long story " * 30).strip()}
     assert re.search("menu", page)
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<body><form id='aspnetForm'><input><nav>n</nav><div><article><p>a</p><form>f</form></article></div>g</form></body>", "a"),
+    ("<form><main><p>m</p></main></form>", "m"),
+    ("<main><form><article>a</article></form></main>", "a"),
+    ("<nav><form><article>n</article></form></nav><article><form><article>reply</article></form>a</article>", "a"),
+    ("<form class='newsletter'><article>n</article></form><form><aside><article>s</article></aside></form><article>a</article>", "a"),
+    ("<html><head><meta charset=utf-8><title>t</title><script>s</script><body class=x><article>a</article>", "a"),
+    ("<head><title>t</title>\n<article>a</article>", "a"),
+    ("<head><style>s</style>plain <b>words</b>", "plain words"),
+])
+def test_what_surrounds_an_article_leaves_it_whole(page, expected):
+    assert text(page) == expected
+
+
+def plain_gone_beside_main(pages, run):
+    """Open blocks with at least half of their words in windows of two pages of the host, and in none of its main texts."""
+    def spans(stream, chosen):
+        return {k for i in range(len(stream) - run + 1) if chosen(tuple(stream[i:i + run])) for k in range(i, i + run)}
+
+    places, main = defaultdict(set), set()
+    outside = [[w for role, words in blocks if role != page_text.MAIN for w in words] for _, blocks in pages]
+    for row, (host, blocks) in enumerate(pages):
+        inside = [w for role, words in blocks if role == page_text.MAIN for w in words]
+        main.update((host, tuple(inside[i:i + run])) for i in range(len(inside) - run + 1))
+        for i in range(len(outside[row]) - run + 1):
+            places[host, tuple(outside[row][i:i + run])].add(row)
+    out = []
+    for (host, blocks), stream in zip(pages, outside):
+        covered = spans(stream, lambda w: len(places[host, w]) > 1) - spans(stream, lambda w: (host, w) in main)
+        gone, at = [], 0
+        for role, words in blocks:
+            size = len(words) if role != page_text.MAIN else 0
+            gone.append(role == page_text.OPEN and 2 * sum(k in covered for k in range(at, at + size)) >= size)
+            at += size
+        out.append(gone)
+    return out
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 16])
+@pytest.mark.parametrize("chunk", [40, 400, 1 << 20])
+def test_repeated_runs_beside_main_texts_against_a_plain_search(spark, monkeypatch, chunk, buckets):
+    monkeypatch.setattr(page_text, "CHUNK", chunk)
+    monkeypatch.setattr(page_text, "BUCKETS", buckets)
+    draw = np.random.default_rng(11)
+    shared = [" ".join(f"s{i}w{draw.integers(0, 6)}" for _ in range(int(draw.integers(2, 14)))) for i in range(10)]
+    rows, pages = [], []
+    for i in range(150):
+        host = ["big.example", "big.example", "a.example", "b.example", f"h{i % 9}.example"][i % 5]
+        article = host != "b.example" and draw.random() < 0.4
+        parts = [shared[draw.integers(0, 10)] if draw.random() < 0.6 else " ".join(f"u{i}x{draw.integers(0, 50)}" for _ in range(int(draw.integers(1, 12))))
+                 for _ in range(int(draw.integers(0, 5)))]
+        tags = ["footer" if draw.random() < 0.2 else "article" if article and draw.random() < 0.6 else "div" for _ in parts]
+        article = "article" in tags
+        roles = [page_text.MAIN if t == "article" else page_text.OPEN if t == "div" and not article else page_text.ASIDE for t in tags]
+        rows.append((i, f"http://{host}/{i}", "".join(f"<{t}>{p}</{t}>" for t, p in zip(tags, parts))))
+        pages.append((host, [(r, p.split()) for r, p in zip(roles, parts)]))
+    plain = plain_gone_beside_main(pages, 4)
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {r["page_id"]: r["text"] for r in page_text.main_text(table, run=4).collect()}
+    for (i, _, _), (_, blocks), gone in zip(rows, pages, plain):
+        assert found[i] == " ".join(" ".join(w) for (role, w), g in zip(blocks, gone) if role != page_text.ASIDE and not g)
+    without = plain_gone([(host, [b for b in blocks if b[0] != page_text.MAIN]) for host, blocks in pages], 4)
+    assert sum(map(sum, plain)) < sum(map(sum, without))
+
+
+def test_an_articles_words_are_main_text_on_pages_without_article(spark):
+    story, notice = "the long story of one page and its plain copies " * 5, "this site asks all of its readers to agree with it"
+    pages = [f"<div>{notice}</div><article><p>{story}</p></article>", *[f"<div>{notice}</div><div>{story}</div><div>{k}</div>" for k in "xy"]]
+    table = spark.createDataFrame([(k, f"http://{host}/{k}", page) for host in ("a.example", "b.example") for k, page in enumerate(pages)
+                                   if host == "a.example" or k], "page_id long, url string, html string")
+    found = {(r["url"]): r["text"] for r in page_text.main_text(table).collect()}
+    assert found == {"http://a.example/0": story.strip(), "http://a.example/1": f"{story}x", "http://a.example/2": f"{story}y",
+                     "http://b.example/1": "x", "http://b.example/2": "y"}
